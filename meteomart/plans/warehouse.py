@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 
 from meteomart.operators import gold as G
 from meteomart.operators.silver import stg_weather
+from meteomart.plans.docs import with_comments
 from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS
 from meteomart.plans.materialize import new_scratch, write_and_reread
 
@@ -41,11 +42,13 @@ def build_gold(raw: DataFrame, root: str | None = None, on_bad: str = "error",
                latest_station: bool = False,
                broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> Gold:
     root = root or new_scratch(raw)
-    stg = write_and_reread(stg_weather(raw, on_bad), f"{root}/silver/stg_inmet_weather")
-    station = write_and_reread(G.dim_station(stg, latest_station), f"{root}/gold/dim_station")
-    calendar = write_and_reread(G.dim_date(stg), f"{root}/gold/dim_date")
-    time_dim = write_and_reread(G.dim_time(stg), f"{root}/gold/dim_time")
-    fact = write_and_reread(
-        G.fact_weather_hourly(stg, station, calendar, time_dim, broadcast_max_rows),
-        f"{root}/gold/fact_weather_hourly")
+    def save(df, layer, name):
+        return write_and_reread(with_comments(df, name), f"{root}/{layer}/{name}")
+
+    stg = save(stg_weather(raw, on_bad), "silver", "stg_inmet_weather")
+    station = save(G.dim_station(stg, latest_station), "gold", "dim_station")
+    calendar = save(G.dim_date(stg), "gold", "dim_date")
+    time_dim = save(G.dim_time(stg), "gold", "dim_time")
+    fact = save(G.fact_weather_hourly(stg, station, calendar, time_dim, broadcast_max_rows),
+                "gold", "fact_weather_hourly")
     return Gold(stg, station, calendar, time_dim, fact, root)
