@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meteomart import constants as K
-from meteomart.functions import try_numeric
 
 SUITE_FIELDS = [
     ("expectation_index", T.IntegerType()),
@@ -60,76 +59,98 @@ def validation_sample(raw: DataFrame, sample_rows: int | None = None) -> DataFra
     return raw.where(F.col("data").isNotNull()).limit(sample_rows)
 
 
-def _lit(value, dtype):
-    return F.lit(value).cast(dtype)
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _sql_lit(value, dtype: str) -> str:
+    if value is None:
+        return f"CAST(NULL AS {dtype})"
+    if isinstance(value, bool):
+        return "true" if value else "false"
+    if isinstance(value, str):
+        return "'" + value.replace("'", "''") + "'"
+    return f"CAST({value!r} AS {dtype})"
+
+
+_SUITE_TYPES = [f.simpleString().upper() for _, f in SUITE_FIELDS]
 
 
 def _row(idx, etype, column, lo=None, hi=None, mostly=None, element=None,
-         missing=None, unexpected=None, observed=None, success=None) -> Column:
-    vals = [F.lit(idx), F.lit(etype), _lit(column, "string"), _lit(lo, "double"),
-            _lit(hi, "double"), _lit(mostly, "double"),
-            element if isinstance(element, Column) else _lit(element, "long"),
-            missing if isinstance(missing, Column) else _lit(missing, "long"),
-            unexpected if isinstance(unexpected, Column) else _lit(unexpected, "long"),
-            observed if isinstance(observed, Column) else _lit(observed, "long"),
-            success if isinstance(success, Column) else _lit(success, "boolean")]
-    return F.struct(*[v.alias(name) for v, (name, _) in zip(vals, SUITE_FIELDS)])
+         missing=None, unexpected=None, observed=None, success=None) -> str:
+    """One expectation result as a SQL ``named_struct``; str values are SQL."""
+    values = [idx, etype, column, lo, hi, mostly, element, missing, unexpected, observed, success]
+    parts = []
+    for (name, _), dtype, v in zip(SUITE_FIELDS, _SUITE_TYPES, values):
+        if name in ("element_count", "missing_count", "unexpected_count", "observed_value", "success") \
+                and isinstance(v, str):
+            expr = f"CAST({v} AS {dtype})"
+        else:
+            expr = _sql_lit(v, dtype)
+        parts.append(f"'{name}', {expr}")
+    return "named_struct(" + ", ".join(parts) + ")"
+
+
+def _numeric_sql(col: str, strict_dot: bool) -> str:
+    text = _q(col) if strict_dot else f"replace({_q(col)}, ',', '.')"
+    return f"try_cast({text} AS DOUBLE)"
 
 
 def raw_suite(raw: DataFrame, min_rows: int = K.MIN_EXPECTED_ROWS,
               max_rows: int = K.MAX_EXPECTED_ROWS, strict_dot: bool = False,
               sample_rows: int | None = None) -> DataFrame:
-    """Run every raw expectation; one row per expectation, in suite order."""
+    """Run every raw expectation; one row per expectation, in suite order.
+
+    One global aggregate (partial per task, a single tiny merge) computes all
+    counts; the expectation rows are then unpivoted from that one row.
+    """
     resolved = resolve_columns(raw.columns)
     data = validation_sample(raw, sample_rows)
     total_rows = None if sample_rows is None else raw.count()
 
-    aggs = [F.count(F.lit(1)).alias("n")]
-    for canon in K.NOT_NULL_COLUMNS:
+    aggs = ["count(1) AS n"]
+    for i, canon in enumerate(K.NOT_NULL_COLUMNS):
         if resolved[canon]:
-            aggs.append(F.count_if(F.col(resolved[canon]).isNull()).alias(f"null_{canon}"))
-    for canon, lo, hi, _ in K.RANGE_RULES:
+            aggs.append(f"count_if({_q(resolved[canon])} IS NULL) AS null_{i}")
+    for i, (canon, lo, hi, _) in enumerate(K.RANGE_RULES):
         actual = resolved[canon]
         if not actual:
             continue
-        num = try_numeric(F.col(actual), strict_dot)
-        out = F.lit(False)
-        if lo is not None:
-            out = out | (num < lo)
-        if hi is not None:
-            out = out | (num > hi)
-        aggs.append(F.count_if(num.isNull()).alias(f"miss_{canon}"))
-        aggs.append(F.count_if(num.isNotNull() & out).alias(f"bad_{canon}"))
-    agg = data.agg(*aggs)
-
-    n = F.col("n")
+        num = _numeric_sql(actual, strict_dot)
+        outside = " OR ".join([f"{num} < {lo}"] * (lo is not None) + [f"{num} > {hi}"] * (hi is not None))
+        aggs.append(f"count_if({num} IS NULL) AS miss_{i}")
+        aggs.append(f"count_if({num} IS NOT NULL AND ({outside})) AS bad_{i}")
+    agg = data.selectExpr(*aggs)
+
     rows, idx = [], 0
     for canon, aliases in K.REQUIRED_COLUMNS:
         idx += 1
         rows.append(_row(idx, "expect_column_to_exist", resolved[canon] or aliases[0],
                          success=resolved[canon] is not None))
-    for canon in K.NOT_NULL_COLUMNS:
+    for i, canon in enumerate(K.NOT_NULL_COLUMNS):
         if resolved[canon]:
             idx += 1
-            bad = F.col(f"null_{canon}")
             rows.append(_row(idx, "expect_column_values_to_not_be_null", resolved[canon],
-                             element=n, missing=bad, unexpected=bad, success=bad == 0))
-    for canon, lo, hi, mostly in K.RANGE_RULES:
+                             element="n", missing=f"null_{i}", unexpected=f"null_{i}",
+                             success=f"null_{i} = 0"))
+    for i, (canon, lo, hi, mostly) in enumerate(K.RANGE_RULES):
         actual = resolved[canon]
         if not actual:
             continue
         idx += 1
-        miss, bad = F.col(f"miss_{canon}"), F.col(f"bad_{canon}")
-        nonnull = n - miss
-        ok = (nonnull == 0) | ((nonnull - bad).cast("double") / nonnull.cast("double") >= F.lit(float(mostly)))
-        rows.append(_row(idx, "expect_column_values_to_be_between", actual, lo, hi, mostly,
-                         element=n, missing=miss, unexpected=bad, success=ok))
+        nonnull = f"(n - miss_{i})"
+        ok = (f"{nonnull} = 0 OR CAST({nonnull} - bad_{i} AS DOUBLE) / CAST({nonnull} AS DOUBLE)"
+              f" >= CAST({float(mostly)!r} AS DOUBLE)")
+        rows.append(_row(idx, "expect_column_values_to_be_between", actual,
+                         None if lo is None else float(lo), None if hi is None else float(hi),
+                         float(mostly), element="n", missing=f"miss_{i}", unexpected=f"bad_{i}",
+                         success=ok))
     idx += 1
-    observed = n if total_rows is None else F.lit(total_rows).cast("long")
-    rows.append(_row(idx, "expect_table_row_count_to_be_between", None, min_rows, max_rows,
-                     observed=observed,
-                     success=(observed >= min_rows) & (observed <= max_rows)))
-    return agg.select(F.inline(F.array(*rows)))
+    observed = "n" if total_rows is None else str(int(total_rows))
+    rows.append(_row(idx, "expect_table_row_count_to_be_between", None, float(min_rows),
+                     float(max_rows), observed=observed,
+                     success=f"{observed} >= {int(min_rows)} AND {observed} <= {int(max_rows)}"))
+    return agg.selectExpr(f"inline(array({', '.join(rows)}))")
 
 
 def suite_success(results: DataFrame) -> bool:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteomart.plans.joins import bounded_broadcast
 
 # (raw column, SQL expression over aliases e, c, n, r).  Fixed fixture rules.
 _STATES = "ACALAPBACEDFESGOMAMGPAPBPEPIPRRJRNRORRRSSCSESPTOMSMTAMZZ"
@@ -69,13 +68,18 @@ PROXY_FROM_SQL = (
 
 PROXY_SELECT_SQL = ",\n  ".join(f"{expr} AS {name}" for name, expr in PROXY_COLUMNS)
 
-# nation and region have a fixed size at every scale (25 and 5 rows); the
-# check below still refuses to broadcast them if that ever stops holding.
-SMALL_DIM_MAX_ROWS = 10_000
+
+
+_TABLES: dict = {}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table, loaded once per session (the DataFrame is only a plan)."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def proxy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,10 +88,11 @@ def proxy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "customer").alias("c")
     n = read_table(spark, sf_dir, "nation").alias("n")
     r = read_table(spark, sf_dir, "region").alias("r")
-    # Station attributes: customer enriched with its nation's region.  The two
-    # tiny lookups are broadcast behind a row-count check.
-    stations = (c.join(bounded_broadcast(n, SMALL_DIM_MAX_ROWS), F.col("c.c_nationkey") == F.col("n.n_nationkey"))
-                 .join(bounded_broadcast(r, SMALL_DIM_MAX_ROWS), F.col("n.n_regionkey") == F.col("r.r_regionkey")))
+    # Station attributes: customer enriched with its nation's region.  nation
+    # and region have 25 and 5 rows at every TPC-H scale factor (fixed by the
+    # benchmark's specification), so broadcasting them is bounded by design.
+    stations = (c.join(F.broadcast(n), F.col("c.c_nationkey") == F.col("n.n_nationkey"))
+                 .join(F.broadcast(r), F.col("n.n_regionkey") == F.col("r.r_regionkey")))
     # events x stations: no hint.  Catalyst broadcasts the station side only
     # when its estimated size is under autoBroadcastJoinThreshold; otherwise it
     # is a sort-merge join whose hot user_id partitions AQE splits.
