@@ -58,22 +58,24 @@ def stg_weather(raw: DataFrame, on_bad: str = "error") -> DataFrame:
 
     day = _raw(raw, "data")
     data_ref = day.try_cast("date") if on_bad == "null" else day.cast("date")
-    hora = validated_time(_raw(raw, "hora_referencia"), on_bad)
-    uf = clean_text(_raw(raw, "meta_uf"))
-    out = raw.select(
+    typed = raw.select(
         clean_text(_raw(raw, "meta_codigo_wmo")).alias("codigo_wmo"),
         clean_text(_raw(raw, "meta_estacao")).alias("nome_estacao"),
-        uf.alias("uf"),
+        clean_text(_raw(raw, "meta_uf")).alias("uf"),
         clean_text(_raw(raw, "meta_regiao")).alias("regiao"),
         clean_decimal(clean_text(_raw(raw, "meta_latitude")), 10, 6, on_bad).alias("latitude"),
         clean_decimal(clean_text(_raw(raw, "meta_longitude")), 10, 6, on_bad).alias("longitude"),
         clean_decimal(clean_text(_raw(raw, "meta_altitude")), 10, 2, on_bad).alias("altitude"),
         data_ref.alias("data_referencia"),
-        hora.alias("hora_referencia"),
-        local_time(data_ref, hora, uf).alias("data_hora_local"),
+        validated_time(_raw(raw, "hora_referencia"), on_bad).alias("hora_referencia"),
         *[dec(src, p, s).alias(name) for name, src, p, s in MEASURES],
         _raw(raw, "source_year").alias("source_year"),
         _raw(raw, "source_file").alias("source_file"),
         _raw(raw, "loaded_at").cast("timestamp_ntz").alias("loaded_at"),
-    )
-    return out.where(F.col("data_referencia").isNotNull())
+    ).where(F.col("data_referencia").isNotNull())
+    # Local time reads the already-typed date, hour and state: each input is
+    # computed once per row (the optimizer keeps non-trivial expressions that
+    # are referenced several times in their own projection).
+    local = local_time(F.col("data_referencia"), F.col("hora_referencia"), F.col("uf"))
+    return typed.select(*[local.alias(c) if c == "data_hora_local" else F.col(c)
+                          for c in SILVER_COLUMNS])

@@ -1,0 +1,17 @@
+"""Parallelism guard for inputs that arrive in fewer splits than cores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``min_partitions`` tasks only when it has fewer.
+
+    A large table already scans as many splits as it has row groups, so this
+    is a no-op at scale; a small input stored as one row group (one task)
+    gets spread before heavy per-row work.  Counting partitions plans the
+    query but runs no job.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
