@@ -62,21 +62,48 @@ def read_archives(spark: SparkSession, root: str, years) -> DataFrame:
     return members.repartition(spark.sparkContext.defaultParallelism)
 
 
-def read_csv_dirs(spark: SparkSession, root: str, years) -> DataFrame:
-    """``<root>/<year>/*.csv`` (any case) -> one row per file."""
+# Files above this size are read line by line (splittable) instead of as one
+# row: a single huge file must not become one task.
+LARGE_FILE_BYTES = 256 * 1024 * 1024
+
+
+def _csv_listing(spark: SparkSession, root: str, years) -> DataFrame | None:
     paths = [f"{root.rstrip('/')}/{int(y)}" for y in years]
     paths = [p for p in paths if _exists(spark, p)]
     if not paths:
-        return spark.createDataFrame([], FILE_COLUMNS)
+        return None
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(paths)
     return files.select(
+        "path", "length", "content",
         F.regexp_extract("path", r"/(\d+)/[^/]*$", 1).alias("source_year"),
-        F.regexp_extract("path", r"([^/]*)$", 1).alias("source_file"),
-        "content")
+        F.regexp_extract("path", r"([^/]*)$", 1).alias("source_file"))
+
+
+def read_csv_dirs(spark: SparkSession, root: str, years,
+                  max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
+    """``<root>/<year>/*.csv`` (any case) up to ``max_bytes`` -> one row per file.
+
+    The size filter is pushed into the binaryFile listing: larger files are
+    never loaded whole.
+    """
+    files = _csv_listing(spark, root, years)
+    if files is None:
+        return spark.createDataFrame([], FILE_COLUMNS)
+    return files.where(F.col("length") <= max_bytes).select("source_year", "source_file", "content")
+
+
+def large_csv_files(spark: SparkSession, root: str, years,
+                    max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
+    """(source_year, source_file, path) of files over ``max_bytes`` (no content read)."""
+    files = _csv_listing(spark, root, years)
+    if files is None:
+        return spark.createDataFrame([], "source_year string, source_file string, path string")
+    return files.where(F.col("length") > max_bytes).select("source_year", "source_file", "path")
 
 
-def read_station_files(spark: SparkSession, root: str, years) -> DataFrame:
-    return read_archives(spark, root, years).unionByName(read_csv_dirs(spark, root, years))
+def read_station_files(spark: SparkSession, root: str, years,
+                       max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
+    return read_archives(spark, root, years).unionByName(read_csv_dirs(spark, root, years, max_bytes))
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -121,14 +148,7 @@ def file_structure(files: DataFrame) -> DataFrame:
     meta_end = F.when((cand > 0) & (cand <= K.HEADER_SCAN_LINES), cand - 1).otherwise(F.lit(K.HEADER_SCAN_LINES))
     df = df.select("*", header_pos.alias("header_pos"), meta_end.alias("meta_end"))
 
-    entries = F.transform(
-        F.filter(F.slice("lines", 1, F.col("meta_end")), lambda l: F.instr(l, ":") > 0),
-        lambda l: F.struct(normalize_col(F.substring_index(l, ":", 1)).alias("k"),
-                           _strip(F.regexp_extract(l, r"(?s)^[^:]*:(.*)$", 1)).alias("v")))
-    # Python dict semantics: a repeated key keeps its last value.
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries) + 1),
-                                                     lambda x: x["k"] == e["k"]))
-    meta = F.map_from_entries(last)
+    meta = _metadata_map(F.col("lines"), F.col("meta_end"))
     return df.select(
         "source_year", "source_file",
         (F.col("header_pos") - 1).alias("header_idx"),
@@ -139,6 +159,115 @@ def file_structure(files: DataFrame) -> DataFrame:
     )
 
 
+# ---------------------------------------------------------------------------
+# Whole files -> per-file info + table lines
+# ---------------------------------------------------------------------------
+INFO_COLUMNS = ["source_year", "source_file", "header_line", "meta"]
+
+
+def small_parts(structure: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(info, lines) from :func:`file_structure` (one row per file)."""
+    info = structure.select(*INFO_COLUMNS)
+    lines = (structure.where(F.col("header_idx").isNotNull())
+             .select("source_year", "source_file", "header_idx", "header_line", "meta",
+                     F.posexplode("table_lines").alias("pos", "line"))
+             .select("source_year", "source_file", "header_line", "meta",
+                     (F.col("header_idx") + F.col("pos") + 2).cast("long").alias("line_no"), "line"))
+    return info, lines
+
+
+# ---------------------------------------------------------------------------
+# Large files: splittable line reader, per-file aggregates with O(1) state
+# ---------------------------------------------------------------------------
+# The CSV source in line mode decodes latin-1 per line and splits files at
+# block boundaries.  Separator, quote and escape are disabled so each line is
+# one untouched value.  It skips empty lines, so line numbers there count
+# non-empty lines only.
+CSV_LINE_OPTIONS = {
+    "encoding": "ISO-8859-1", "sep": "\u0001", "quote": "\u0000", "escape": "\u0000",
+    "header": "false", "nullValue": "\u0000", "emptyValue": "", "mode": "PERMISSIVE",
+}
+_EXTRA_BREAKS = "[\u000b\u000c\u001c\u001d\u001e\u0085]"
+
+
+def read_large_lines(spark: SparkSession, large: DataFrame) -> DataFrame:
+    """Lines of the listed files: (source_year, source_file, block, mid, sub, line).
+
+    (block, mid, sub) orders lines within a file: a block (file split) is read
+    in order by one task, where monotonically_increasing_id grows.
+    """
+    paths = [r[0] for r in large.select("path").collect()]   # file names only
+    raw = spark.read.format("csv").options(**CSV_LINE_OPTIONS).schema("line string").load(paths)
+    df = raw.select(
+        F.regexp_extract("_metadata.file_path", r"/(\d+)/[^/]*$", 1).alias("source_year"),
+        F.regexp_extract("_metadata.file_path", r"([^/]*)$", 1).alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("mid"),
+        F.coalesce(F.col("line"), F.lit("")).alias("line"))
+    return df.select("source_year", "source_file", "block", "mid",
+                     F.posexplode(F.split("line", _EXTRA_BREAKS, -1)).alias("sub", "line"))
+
+
+def large_parts(lines: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(info, lines) for files read line by line.
+
+    Header rules and metadata follow the whole-file path: the first header
+    candidate (2nd rule) or the first line with >= 10 separators (3rd rule)
+    comes from per-block then per-file minima; the preamble comes from the
+    first 40 lines of the first block, collected per file (bounded).
+    """
+    from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+    max_rows = max_rows or DEFAULT_BROADCAST_MAX_ROWS
+    key = ["source_year", "source_file"]
+    ordered = F.struct("block", "mid", "sub", "line")
+    n_sep = F.size(F.split("line", ";", -1)) - 1
+    # Pass 1: one row per block (partial aggregation inside each task).
+    blocks = (lines.groupBy(*key, "block")
+              .agg(F.min("mid").alias("bmin"),
+                   F.min(F.when(_is_header(F.col("line")), ordered)).alias("cand"),
+                   F.min(F.when(n_sep >= K.HEADER_MIN_SEPARATORS, ordered)).alias("wide")))
+    per_file = blocks.groupBy(*key).agg(
+        F.min("cand").alias("cand"), F.min("wide").alias("wide"),
+        F.min(F.when(F.col("block") == 0, F.col("bmin"))).alias("m0"))
+    # Pass 2: the first 40 lines of block 0, per file.
+    first = (lines.where(F.col("block") == 0)
+             .join(bounded_broadcast(per_file.select(*key, "m0"), max_rows), key)
+             .where(F.col("mid") - F.col("m0") < K.HEADER_SCAN_LINES)
+             .groupBy(*key)
+             .agg(F.sort_array(F.collect_list(F.struct("mid", "sub", "line"))).alias("h")))
+    head = first.select(*key, F.slice(F.transform("h", lambda x: x["line"]), 1, K.HEADER_SCAN_LINES).alias("lines"))
+    cand = F.array_position(F.transform("lines", _is_header), True).cast("int")
+    meta_end = F.when(cand > 0, cand - 1).otherwise(F.lit(K.HEADER_SCAN_LINES))
+    meta = head.select(*key, _metadata_map(F.col("lines"), meta_end).alias("meta"))
+    header = F.coalesce(F.col("cand"), F.col("wide"))
+    files = (per_file.join(meta, key, "left")
+             .select(*key, header.alias("hdr"),
+                     F.coalesce("meta", F.create_map().cast("map<string,string>")).alias("meta")))
+    info = files.select(*key, F.col("hdr.line").alias("header_line"), "meta")
+    # Pass 3: data lines after the header, numbered within their block.
+    starts = blocks.select(*key, "block", "bmin")
+    with_file = files.where(F.col("hdr").isNotNull()).select(
+        *key, F.col("hdr.line").alias("header_line"), "meta",
+        F.struct(F.col("hdr.block"), F.col("hdr.mid"), F.col("hdr.sub")).alias("hpos"))
+    data = (lines.join(bounded_broadcast(starts, max_rows), key + ["block"])
+            .join(bounded_broadcast(with_file, max_rows), key)
+            .where(F.struct("block", "mid", "sub") > F.col("hpos")))
+    out = data.select(*key, "header_line", "meta",
+                      (F.col("block") + F.col("mid") - F.col("bmin") + 1).alias("line_no"), "line")
+    return info, out
+
+
+def _metadata_map(lines: Column, end: Column) -> Column:
+    """``key:value`` lines among ``lines[:end]`` -> map (a repeated key keeps its last value)."""
+    entries = F.transform(
+        F.filter(F.slice(lines, 1, end), lambda l: F.instr(l, ":") > 0),
+        lambda l: F.struct(normalize_col(F.substring_index(l, ":", 1)).alias("k"),
+                           _strip(F.regexp_extract(l, r"(?s)^[^:]*:(.*)$", 1)).alias("v")))
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries) + 1),
+                                                     lambda x: x["k"] == e["k"]))
+    return F.map_from_entries(last)
+
+
 # ---------------------------------------------------------------------------
 # Header layouts (driver side, a handful of distinct lines)
 # ---------------------------------------------------------------------------
@@ -175,17 +304,21 @@ def resolve_header(header_line: str) -> list[tuple[int, str]]:
     return [(i, rename.get(c, c)) for i, c in cols]
 
 
-def header_layouts(structure: DataFrame) -> dict[str, list[tuple[int, str]]]:
-    lines = [r[0] for r in structure.where(F.col("header_line").isNotNull())
+def header_layouts(info: DataFrame) -> dict[str, list[tuple[int, str]]]:
+    lines = [r[0] for r in info.where(F.col("header_line").isNotNull())
              .select("header_line").distinct().collect()]
     return {line: resolve_header(line) for line in lines}
 
 
-def metadata_keys(structure: DataFrame) -> list[str]:
-    keys = structure.select(F.explode(F.map_keys("meta")).alias("k")).distinct().collect()
+def metadata_keys(info: DataFrame) -> list[str]:
+    keys = info.select(F.explode(F.map_keys("meta")).alias("k")).distinct().collect()
     return sorted(r[0] for r in keys)
 
 
+def files_without_header(info: DataFrame) -> DataFrame:
+    return info.where(F.col("header_line").isNull()).select("source_year", "source_file")
+
+
 # ---------------------------------------------------------------------------
 # Rows
 # ---------------------------------------------------------------------------
@@ -199,22 +332,18 @@ def _layout_lookup(layouts: dict, value_of) -> Column:
     return F.try_element_at(m, F.col("header_line"))
 
 
-def station_rows(structure: DataFrame, layouts: dict, meta_keys: list[str],
+def station_rows(lines: DataFrame, layouts: dict, meta_keys: list[str],
                  loaded_at: Column | None = None, load_id: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Explode table lines into all-text raw rows; returns (rows, quarantine).
+    """Table lines -> all-text raw rows; returns (rows, quarantine).
 
     Rows with more fields than their header are quarantined instead of failing
     the whole year; blank lines are skipped.
     """
-    ok = structure.where(F.col("header_idx").isNotNull())
     width = max([len(line.split(";")) for line in layouts] + [1])
-    rows = ok.select("source_year", "source_file", "header_idx", "header_line", "meta",
-                     F.posexplode("table_lines").alias("pos", "line"))
-    rows = rows.where(F.col("line") != "")
+    rows = lines.where(F.col("line") != "")
     n_fields = F.size(F.split("line", ";", -1))
     header_width = F.size(F.split("header_line", ";", -1))
-    line_no = (F.col("header_idx") + F.col("pos") + 2).cast("int")   # 1-based line in the file
-    rows = rows.select("*", (n_fields > header_width).alias("_extra"), line_no.alias("line_no"))
+    rows = rows.select("*", (n_fields > header_width).alias("_extra"))
 
     quarantine = rows.where("_extra").select("source_year", "source_file", "line_no", "line")
 
@@ -260,15 +389,19 @@ def station_rows(structure: DataFrame, layouts: dict, meta_keys: list[str],
     return good.select(*out_cols), quarantine
 
 
-def files_without_header(structure: DataFrame) -> DataFrame:
-    return structure.where(F.col("header_idx").isNull()).select("source_year", "source_file")
-
+def station_parts(spark: SparkSession, files: DataFrame, large: DataFrame | None = None):
+    """(info, lines) over whole files plus, when given, large files read by line."""
+    info, lines = small_parts(file_structure(files))
+    if large is not None and large.limit(1).count() > 0:
+        linfo, llines = large_parts(read_large_lines(spark, large))
+        info, lines = info.unionByName(linfo), lines.unionByName(llines)
+    return info, lines
 
-def parse_station_files(files: DataFrame, load_id: str | None = None):
-    """files (source_year, source_file, content) -> (rows, quarantine, structure)."""
-    structure = file_structure(files)
-    layouts = header_layouts(structure)
-    keys = metadata_keys(structure)
-    rows, quarantine = station_rows(structure, layouts, keys, load_id=load_id)
-    return rows, quarantine, structure
 
+def parse_station_files(files: DataFrame, load_id: str | None = None, large: DataFrame | None = None):
+    """files (source_year, source_file, content) -> (rows, quarantine, info)."""
+    info, lines = station_parts(files.sparkSession, files, large)
+    layouts = header_layouts(info)
+    keys = metadata_keys(info)
+    rows, quarantine = station_rows(lines, layouts, keys, load_id=load_id)
+    return rows, quarantine, info
