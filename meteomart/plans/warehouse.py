@@ -40,10 +40,13 @@ class Gold:
 
 def build_gold(raw: DataFrame, root: str | None = None, on_bad: str = "error",
                latest_station: bool = False,
-               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> Gold:
+               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, path_of=None) -> Gold:
+    """``path_of(layer, name)`` names each table's folder (default: under ``root``)."""
     root = root or new_scratch(raw)
+    path_of = path_of or (lambda layer, name: f"{root}/{layer}/{name}")
+
     def save(df, layer, name):
-        return write_and_reread(with_comments(df, name), f"{root}/{layer}/{name}")
+        return write_and_reread(with_comments(df, name), path_of(layer, name))
 
     stg = save(stg_weather(raw, on_bad), "silver", "stg_inmet_weather")
     station = save(G.dim_station(stg, latest_station), "gold", "dim_station")

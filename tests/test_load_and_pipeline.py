@@ -86,3 +86,20 @@ def test_pipeline_stops_on_failed_validation(spark, workdir):
     cfg = P.PipelineConfig(src, wh, years="2026")     # default minimum of 100,000 rows
     with pytest.raises(Q.ValidationError):
         P.run_pipeline(spark, cfg)
+
+
+def test_layer_routing_and_latest_station(spark, workdir):
+    from meteomart.operators import gold as G
+    t = P.Tables("/wh", {"gold": " marts_gold ", "silver": None})
+    assert t.path("gold", "dim_date") == "/wh/marts_gold/dim_date"
+    assert t.path("silver", "x") == "/wh/silver/x"
+    rows = [("A1", "N", "SP", "SE", 1.0, "2024-01-01 00:00:00"),
+            ("A1", "N", "SP", "SE", 2.0, "2024-02-01 00:00:00")]
+    stg = spark.createDataFrame(rows, "codigo_wmo string, nome_estacao string, uf string, regiao string, "
+                                      "altitude double, loaded_at string") \
+        .withColumn("latitude", F.lit(None).cast("decimal(10,6)")) \
+        .withColumn("longitude", F.lit(None).cast("decimal(10,6)")) \
+        .withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
+    assert G.dim_station(stg).count() == 2                 # parity: drift duplicates the key
+    latest = G.dim_station(stg, latest=True).collect()
+    assert len(latest) == 1 and latest[0]["altitude"] == 2.0
