@@ -39,10 +39,15 @@ SILVER_COLUMNS = [
 ]
 
 
-def _raw(raw: DataFrame, name: str) -> Column:
+def _raw_getter(raw: DataFrame):
     # A column no loaded file ever had is NULL, as in a table whose schema
-    # grew by ALTER TABLE ADD COLUMN.
-    return F.col(name) if name in raw.columns else F.lit(None).cast("string")
+    # grew by ALTER TABLE ADD COLUMN.  (Schema resolved once: each
+    # ``.columns`` call re-analyses the plan.)
+    present = set(raw.columns)
+
+    def get(name: str) -> Column:
+        return F.col(name) if name in present else F.lit(None).cast("string")
+    return get
 
 
 def stg_weather(raw: DataFrame, on_bad: str = "error") -> DataFrame:
@@ -53,6 +58,11 @@ def stg_weather(raw: DataFrame, on_bad: str = "error") -> DataFrame:
     ``on_bad='error'`` fails on unparsable numbers/dates/times (ANSI casts);
     ``'null'`` turns them into NULL instead.
     """
+    _raw_col = _raw_getter(raw)
+
+    def _raw(_, name):
+        return _raw_col(name)
+
     def dec(name, p, s):
         return clean_decimal(_raw(raw, name), p, s, on_bad)
 

@@ -36,6 +36,7 @@ PROXY_LOADED_AT = "2024-02-01 06:00:00"
 
 def clear_cache() -> None:
     _GOLD.clear()
+    _PLANS.clear()
 
 
 def as_double(df: DataFrame) -> DataFrame:
@@ -44,9 +45,20 @@ def as_double(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
+_PLANS: dict = {}
+
+
+def _plan(spark: SparkSession, sf_dir: str, name: str, build):
+    """A DataFrame definition reused within a session (a plan, not data)."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
+    if key not in _PLANS:
+        _PLANS[key] = build()
+    return _PLANS[key]
+
+
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return proxy_raw(spark, sf_dir)
+    return _plan(spark, sf_dir, "raw", lambda: proxy_raw(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
@@ -57,7 +69,7 @@ def gold(spark: SparkSession, sf_dir: str) -> Gold:
 
 
 def _stg(spark, sf_dir):
-    return stg_weather(raw(spark, sf_dir))
+    return _plan(spark, sf_dir, "stg", lambda: stg_weather(raw(spark, sf_dir)))
 
 
 def _proxy_log(batch: DataFrame) -> DataFrame:
