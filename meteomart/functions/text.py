@@ -77,7 +77,9 @@ def clean_decimal(c: Column, precision: int, scale: int, on_bad: str = "error")
     The cast rounds half-up.  ``on_bad='error'`` keeps the ANSI behaviour of
     failing the query on unparsable text; ``'null'`` turns it into NULL.
     """
-    text = F.nullif(F.nullif(F.replace(c, F.lit(","), F.lit(".")), F.lit("")), F.lit("NULL"))
+    # Same result as NULLIF(NULLIF(REPLACE(c, ',', '.'), ''), 'NULL'): the comma
+    # swap never makes or breaks '' / 'NULL', so test the input and replace once.
+    text = F.when(~c.isin("", "NULL"), F.replace(c, F.lit(","), F.lit(".")))
     dtype = f"decimal({precision},{scale})"
     return text.try_cast(dtype) if on_bad == "null" else text.cast(dtype)
 
