@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from meteomart.plans import pipeline as P
 from meteomart.session import configure
+from meteomart.sources import station_files as SF
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -28,7 +29,12 @@ BINARY_FILE_SCHEMA = T.StructType([
 
 def station_file_stream(spark: SparkSession, source_root: str,
                         max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming (source_year, source_file, content) of ``<root>/<year>/*.csv``."""
+    """Streaming listing (source_year, source_file, path, length) of ``<root>/<year>/*.csv``.
+
+    Only file names and sizes flow through the stream (the content column is
+    pruned, so no file is loaded here); each micro-batch then reads its files
+    by size class.
+    """
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", "*.[cC][sS][vV]").option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
@@ -37,33 +43,48 @@ def station_file_stream(spark: SparkSession, source_root: str,
     return files.select(
         F.regexp_extract("path", r"/(\d+)/[^/]*$", 1).alias("source_year"),
         F.regexp_extract("path", r"([^/]*)$", 1).alias("source_file"),
-        "content")
+        "path", "length")
 
 
-def _batch_writer(tables: P.Tables, run_name: str):
+def _batch_writer(tables: P.Tables, run_name: str, large_file_bytes: int):
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         load_id = f"stream-{run_name}-{epoch_id}"
         log = P.read_log(spark, tables)
         if log.where(F.col("load_id") == load_id).limit(1).count() > 0:
             return                                    # replayed epoch: already committed
-        years = sorted(int(r[0]) for r in batch.select("source_year").distinct().collect())
-        if not years:
-            return
-        P.load_files(spark, tables, batch, None, years, "incremental", load_id,
-                     stop_on_failure=False)
+        listing = batch.persist()
+        try:
+            years = sorted(int(r[0]) for r in listing.select("source_year").distinct().collect())
+            if not years:
+                return
+            small = [r[0] for r in listing.where(F.col("length") <= large_file_bytes)
+                     .select("path").collect()]
+            large = listing.where(F.col("length") > large_file_bytes).select(
+                "source_year", "source_file", "path")
+            if small:
+                content = spark.read.format("binaryFile").load(small).select(
+                    F.regexp_extract("path", r"/(\d+)/[^/]*$", 1).alias("source_year"),
+                    F.regexp_extract("path", r"([^/]*)$", 1).alias("source_file"), "content")
+            else:
+                content = spark.createDataFrame([], SF.FILE_COLUMNS)
+            P.load_files(spark, tables, content, large, years, "incremental", load_id,
+                         stop_on_failure=False)
+        finally:
+            listing.unpersist()
     return write
 
 
 def run_stream_ingest(spark: SparkSession, source_root: str, warehouse: str,
                       run_name: str = "ingest", checkpoint: str | None = None,
-                      max_files_per_trigger: int | None = None) -> None:
+                      max_files_per_trigger: int | None = None,
+                      large_file_bytes: int = SF.LARGE_FILE_BYTES) -> None:
     """Process every station file not seen before, then stop (availableNow)."""
     configure(spark)
     tables = P.Tables(warehouse)
     checkpoint = checkpoint or tables.path("_streams", run_name)
     query = (station_file_stream(spark, source_root, max_files_per_trigger)
-             .writeStream.foreachBatch(_batch_writer(tables, run_name))
+             .writeStream.foreachBatch(_batch_writer(tables, run_name, large_file_bytes))
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())

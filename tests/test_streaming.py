@@ -22,3 +22,18 @@ def test_stream_loads_new_files_once(spark, workdir):
     log = P.read_log(spark, P.Tables(wh))
     assert log.where("status = 'success'").count() == 2
     assert log.where("status = 'error'").first()["source_file"] == "2027.zip"
+
+
+def test_stream_routes_large_files_to_line_reader(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    d = f"{src}/2026"
+    SD.write_file(d, "A001.csv", SD.preamble() + [SD.MODERN_HEADER] +
+                  [SD.row("2026/01/01", f"{h:02d}00 UTC") for h in range(5)])
+    SD.write_file(d, "A002.csv", SD.preamble(code="A002") + [SD.MODERN_HEADER] +
+                  [SD.row("2026/01/02", f"{h:02d}00 UTC") for h in range(3)])
+    import os
+    size = os.path.getsize(f"{d}/A002.csv")
+    run_stream_ingest(spark, src, wh, large_file_bytes=size - 1)   # A002 counts as large
+    raw = P.read_raw(spark, P.Tables(wh))
+    assert raw.count() == 8
+    assert raw.where("source_file = 'A002.csv' AND hora_referencia = '02:00:00'").count() == 1
