@@ -20,9 +20,10 @@ def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` when its row count is proven small, else ``df`` as is.
+    """``broadcast(df)`` when its row count is proven small, else a sort-merge join.
 
-    Without the hint the planner falls back to a shuffle join (sort-merge,
-    with AQE splitting skewed partitions).
+    Beyond the bound the side is hinted ``merge`` so the planner does not
+    broadcast it on a compressed-file-size estimate; AQE then splits skewed
+    partitions of the other side.
     """
-    return F.broadcast(df) if row_count_at_most(df, max_rows) else df
+    return F.broadcast(df) if row_count_at_most(df, max_rows) else df.hint("merge")
