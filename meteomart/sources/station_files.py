@@ -315,6 +315,21 @@ def metadata_keys(info: DataFrame) -> list[str]:
     return sorted(r[0] for r in keys)
 
 
+def facts_by_year(info: DataFrame) -> dict:
+    """One small job: per year, its distinct header lines, metadata keys and
+    the first file without a header (None when every file has one).
+
+    Bounded by years x header layouts x metadata keys, never by rows.
+    """
+    keyed = info.select("source_year", "source_file", "header_line",
+                        F.explode_outer(F.map_keys("meta")).alias("k"))
+    out = keyed.groupBy("source_year").agg(
+        F.collect_set("header_line").alias("headers"),
+        F.collect_set("k").alias("keys"),
+        F.min(F.when(F.col("header_line").isNull(), F.col("source_file"))).alias("bad"))
+    return {int(r["source_year"]): (r["headers"], r["keys"], r["bad"]) for r in out.collect()}
+
+
 def files_without_header(info: DataFrame) -> DataFrame:
     return info.where(F.col("header_line").isNull()).select("source_year", "source_file")
 
