@@ -40,15 +40,20 @@ class Gold:
 
 def build_gold(raw: DataFrame, root: str | None = None, on_bad: str = "error",
                latest_station: bool = False,
-               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, path_of=None) -> Gold:
-    """``path_of(layer, name)`` names each table's folder (default: under ``root``)."""
+               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS, path_of=None,
+               silver: DataFrame | None = None) -> Gold:
+    """``path_of(layer, name)`` names each table's folder (default: under ``root``).
+
+    ``silver`` may pass an already defined ``stg_weather(raw, on_bad)`` plan.
+    """
     root = root or new_scratch(raw)
     path_of = path_of or (lambda layer, name: f"{root}/{layer}/{name}")
 
     def save(df, layer, name):
         return write_and_reread(with_comments(df, name), path_of(layer, name))
 
-    stg = save(stg_weather(raw, on_bad), "silver", "stg_inmet_weather")
+    stg = save(silver if silver is not None else stg_weather(raw, on_bad),
+               "silver", "stg_inmet_weather")
     station = save(G.dim_station(stg, latest_station), "gold", "dim_station")
     calendar = save(G.dim_date(stg), "gold", "dim_date")
     time_dim = save(G.dim_time(stg), "gold", "dim_time")

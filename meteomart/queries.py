@@ -61,10 +61,15 @@ def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plan(spark, sf_dir, "raw", lambda: proxy_raw(spark, sf_dir))
 
 
+def build(spark: SparkSession, sf_dir: str) -> Gold:
+    """Write silver, dimensions and fact for ``sf_dir`` (a fresh build every call)."""
+    return build_gold(raw(spark, sf_dir), silver=_stg(spark, sf_dir))
+
+
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     if key not in _GOLD:
-        _GOLD[key] = build_gold(raw(spark, sf_dir))
+        _GOLD[key] = build(spark, sf_dir)
     return _GOLD[key]
 
 
