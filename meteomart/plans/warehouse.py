@@ -8,6 +8,7 @@ so the fact's joins can check their real row counts before broadcasting.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -54,9 +55,13 @@ def build_gold(raw: DataFrame, root: str | None = None, on_bad: str = "error",
 
     stg = save(silver if silver is not None else stg_weather(raw, on_bad),
                "silver", "stg_inmet_weather")
-    station = save(G.dim_station(stg, latest_station), "gold", "dim_station")
-    calendar = save(G.dim_date(stg), "gold", "dim_date")
-    time_dim = save(G.dim_time(stg), "gold", "dim_time")
+    # The three dimensions only read silver: submit them as concurrent jobs so
+    # small stages and stragglers of one overlap with the others.
+    with ThreadPoolExecutor(max_workers=3) as pool:
+        futures = [pool.submit(save, G.dim_station(stg, latest_station), "gold", "dim_station"),
+                   pool.submit(save, G.dim_date(stg), "gold", "dim_date"),
+                   pool.submit(save, G.dim_time(stg), "gold", "dim_time")]
+        station, calendar, time_dim = [f.result() for f in futures]
     fact = save(G.fact_weather_hourly(stg, station, calendar, time_dim, broadcast_max_rows),
                 "gold", "fact_weather_hourly")
     return Gold(stg, station, calendar, time_dim, fact, root)
