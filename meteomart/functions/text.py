@@ -35,14 +35,18 @@ def _latin1_ascii_folding():
 _FOLD_SRC, _FOLD_DST, _FOLD_DELETE, _FOLD_MULTI = _latin1_ascii_folding()
 
 
-def normalize_col(c: Column) -> Column:
-    """Spark version of the header-name normaliser (exact for latin-1 text)."""
+def fold_lower(c: Column) -> Column:
+    """ASCII folding + lower case: the letters and digits a name normalises to."""
     x = c
     for ch, folded in _FOLD_MULTI:
         x = F.replace(x, F.lit(ch), F.lit(folded))
     # translate() deletes characters of the source list that have no partner.
-    x = F.translate(x, _FOLD_SRC + _FOLD_DELETE, _FOLD_DST)
-    x = F.lower(x)
+    return F.lower(F.translate(x, _FOLD_SRC + _FOLD_DELETE, _FOLD_DST))
+
+
+def normalize_col(c: Column) -> Column:
+    """Spark version of the header-name normaliser (exact for latin-1 text)."""
+    x = fold_lower(c)
     x = F.regexp_replace(x, "[^a-z0-9]+", "_")
     return F.regexp_replace(x, "^_+|_+$", "")
 
@@ -122,5 +126,8 @@ def py_parse_hour(raw_value):
 
 def coerce_date(c: Column) -> Column:
     """Year-first date text ('2024-01-31' or '2024/01/31') -> ISO text, else NULL."""
-    parsed = F.coalesce(F.try_to_date(c, "yyyy-MM-dd"), F.try_to_date(c, "yyyy/MM/dd"))
+    # A pattern can only match text containing its literal separator; testing
+    # that first skips the parser's (costly) failure path for the other form.
+    parsed = F.coalesce(F.when(c.contains("-"), F.try_to_date(c, "yyyy-MM-dd")),
+                        F.when(c.contains("/"), F.try_to_date(c, "yyyy/MM/dd")))
     return F.date_format(parsed, "yyyy-MM-dd")

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from meteomart import constants as K
 from meteomart.functions import coerce_date, na_to_null, normalize_col, parse_hour, py_normalize_col
+from meteomart.functions.text import fold_lower
 
 # Python's str.splitlines() boundaries that can occur in latin-1 text.
 LINE_BREAKS = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085]"
@@ -120,12 +121,24 @@ def _strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
 
 
+def _separators(line: Column) -> Column:
+    """Number of ';' in a line, without splitting it."""
+    return F.length(line) - F.length(F.replace(line, F.lit(";"), F.lit("")))
+
+
 def _is_header(line: Column) -> Column:
-    """Line with ';' whose 1st normalised field starts 'data' and 2nd has 'hora'."""
-    parts = F.split(line, ";", -1)
-    first = normalize_col(F.get(parts, 0))
-    second = F.coalesce(normalize_col(F.get(parts, 1)), F.lit(""))
-    return (F.instr(line, ";") > 0) & first.startswith("data") & second.contains("hora")
+    """Line with ';' whose 1st normalised field starts 'data' and 2nd has 'hora'.
+
+    Normalising only maps runs of non-alphanumerics to '_', so a normalised
+    field contains 'hora' exactly when its folded, lower-cased text does: that
+    cheap test (no regex) runs first and rejects data rows.
+    """
+    has_sep = F.instr(line, ";") > 0
+    second_raw = F.when(has_sep, F.substring_index(F.substring_index(line, ";", 2), ";", -1))
+    maybe = has_sep & fold_lower(second_raw).contains("hora")
+    first = normalize_col(F.substring_index(line, ";", 1))
+    return F.when(maybe, first.startswith("data") & normalize_col(second_raw).contains("hora")) \
+        .otherwise(F.lit(False))
 
 
 def file_structure(files: DataFrame) -> DataFrame:
@@ -133,27 +146,37 @@ def file_structure(files: DataFrame) -> DataFrame:
 
     ``header_idx`` is 0-based, NULL when no header rule matches.
     """
-    text = F.decode("content", "ISO-8859-1")
-    lines0 = F.split(text, LINE_BREAKS, -1)
+    # Each expensive value gets its own projection, so it is computed once per
+    # file (the optimizer does not inline a non-trivial expression into
+    # several references).
+    split = files.select("source_year", "source_file",
+                         F.split(F.decode("content", "ISO-8859-1"), LINE_BREAKS, -1).alias("l0"))
     # splitlines() yields no trailing empty element for a final line break.
-    lines = F.when(F.element_at(lines0, -1) == "", F.slice(lines0, 1, F.size(lines0) - 1)).otherwise(lines0)
-    df = files.select("source_year", "source_file", lines.alias("lines"))
-
-    cand = F.array_position(F.transform("lines", _is_header), True).cast("int")  # 1-based, 0 = none
+    l0 = F.col("l0")
+    fixed = F.when(F.element_at(l0, -1) == "", F.slice(l0, 1, F.size(l0) - 1)).otherwise(l0)
+    df = split.select("source_year", "source_file", fixed.alias("lines"))
+
+    # Header rules, cheapest first.  A CASE branch is only evaluated when taken,
+    # so the whole-file scans run only for files without a header in the first
+    # 40 lines (the usual header sits around line 9).
+    head = F.slice("lines", 1, K.HEADER_SCAN_LINES)
+    cand_head = F.array_position(F.transform(head, _is_header), True).cast("int")
+    cand_all = F.array_position(F.transform("lines", _is_header), True).cast("int")
+    df = df.select("*", F.when(cand_head > 0, cand_head).otherwise(cand_all).alias("cand"))
+    cand = F.col("cand")                                                      # 1-based, 0 = none
     wide = F.array_position(F.transform(
-        "lines", lambda l: F.size(F.split(l, ";", -1)) - 1 >= K.HEADER_MIN_SEPARATORS), True).cast("int")
-    header_pos = F.when(cand > 0, cand).when(wide > 0, wide)                  # 1-based or NULL
+        "lines", lambda l: _separators(l) >= K.HEADER_MIN_SEPARATORS), True).cast("int")
+    header_pos = F.when(cand > 0, cand).otherwise(F.when(wide > 0, wide))    # 1-based or NULL
     # Metadata comes from the lines visited before the header in the first pass:
     # lines[:header] when the header is within the first 40 lines, else lines[:40].
     meta_end = F.when((cand > 0) & (cand <= K.HEADER_SCAN_LINES), cand - 1).otherwise(F.lit(K.HEADER_SCAN_LINES))
     df = df.select("*", header_pos.alias("header_pos"), meta_end.alias("meta_end"))
-
-    meta = _metadata_map(F.col("lines"), F.col("meta_end"))
+    df = df.select("*", _metadata_entries(F.col("lines"), F.col("meta_end")).alias("entries"))
     return df.select(
         "source_year", "source_file",
         (F.col("header_pos") - 1).alias("header_idx"),
         F.element_at("lines", F.col("header_pos")).alias("header_line"),
-        meta.alias("meta"),
+        _entries_to_map(F.col("entries")).alias("meta"),
         F.when(F.col("header_pos").isNotNull(),
                F.slice("lines", F.col("header_pos") + 1, F.size("lines") + 1)).alias("table_lines"),
     )
@@ -220,7 +243,7 @@ def large_parts(lines: DataFrame, max_rows: int | None = None) -> tuple[DataFram
     max_rows = max_rows or DEFAULT_BROADCAST_MAX_ROWS
     key = ["source_year", "source_file"]
     ordered = F.struct("block", "mid", "sub", "line")
-    n_sep = F.size(F.split("line", ";", -1)) - 1
+    n_sep = _separators(F.col("line"))
     # Pass 1: one row per block (partial aggregation inside each task).
     blocks = (lines.groupBy(*key, "block")
               .agg(F.min("mid").alias("bmin"),
@@ -238,7 +261,8 @@ def large_parts(lines: DataFrame, max_rows: int | None = None) -> tuple[DataFram
     head = first.select(*key, F.slice(F.transform("h", lambda x: x["line"]), 1, K.HEADER_SCAN_LINES).alias("lines"))
     cand = F.array_position(F.transform("lines", _is_header), True).cast("int")
     meta_end = F.when(cand > 0, cand - 1).otherwise(F.lit(K.HEADER_SCAN_LINES))
-    meta = head.select(*key, _metadata_map(F.col("lines"), meta_end).alias("meta"))
+    meta = (head.select(*key, _metadata_entries(F.col("lines"), meta_end).alias("entries"))
+            .select(*key, _entries_to_map(F.col("entries")).alias("meta")))
     header = F.coalesce(F.col("cand"), F.col("wide"))
     files = (per_file.join(meta, key, "left")
              .select(*key, header.alias("hdr"),
@@ -257,12 +281,16 @@ def large_parts(lines: DataFrame, max_rows: int | None = None) -> tuple[DataFram
     return info, out
 
 
-def _metadata_map(lines: Column, end: Column) -> Column:
-    """``key:value`` lines among ``lines[:end]`` -> map (a repeated key keeps its last value)."""
-    entries = F.transform(
+def _metadata_entries(lines: Column, end: Column) -> Column:
+    """``key:value`` lines among ``lines[:end]`` -> array of (k, v) structs."""
+    return F.transform(
         F.filter(F.slice(lines, 1, end), lambda l: F.instr(l, ":") > 0),
         lambda l: F.struct(normalize_col(F.substring_index(l, ":", 1)).alias("k"),
                            _strip(F.regexp_extract(l, r"(?s)^[^:]*:(.*)$", 1)).alias("v")))
+
+
+def _entries_to_map(entries: Column) -> Column:
+    """(k, v) entries -> map; a repeated key keeps its last value (dict semantics)."""
     last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries) + 1),
                                                      lambda x: x["k"] == e["k"]))
     return F.map_from_entries(last)
@@ -359,9 +387,9 @@ def station_rows(lines: DataFrame, layouts: dict, meta_keys: list[str],
     quarantine = rows.where("_extra").select("source_year", "source_file", "line_no", "line")
 
     schema = ", ".join(f"_c{i} string" for i in range(width))
-    parsed = F.from_csv(F.col("line"), schema, {"sep": ";"})
-    fields = F.array(*[parsed[f"_c{i}"] for i in range(width)])
-    good = rows.where(~F.col("_extra")).select("*", fields.alias("fields"))
+    parsed = rows.where(~F.col("_extra")).select(
+        "*", F.from_csv(F.col("line"), schema, {"sep": ";"}).alias("parsed"))
+    good = parsed.select("*", F.array(*[F.col(f"parsed._c{i}") for i in range(width)]).alias("fields"))
 
     # Target columns: union of every layout's names, in first-seen order.
     targets: list[str] = []
@@ -371,6 +399,10 @@ def station_rows(lines: DataFrame, layouts: dict, meta_keys: list[str],
                 targets.append(name)
 
     def pick(name):
+        where = {next((i for i, c in cols if c == name), None) for cols in layouts.values()}
+        if len(where) == 1 and None not in where:
+            # every layout has the column at the same position: plain field access
+            return na_to_null(F.col(f"parsed._c{where.pop()}"))
         pos = _layout_lookup(layouts, lambda cols: next((i for i, c in cols if c == name), None))
         return na_to_null(F.get(F.col("fields"), pos.cast("int")))
 
