@@ -17,6 +17,7 @@ import io
 import zipfile
 
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -231,9 +232,14 @@ def read_large_lines(spark: SparkSession, large: DataFrame) -> DataFrame:
                      F.posexplode(F.split("line", _EXTRA_BREAKS, -1)).alias("sub", "line"))
 
 
-def large_parts(lines: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+def large_parts(lines: DataFrame, max_rows: int | None = None, cached: list | None = None
+                ) -> tuple[DataFrame, DataFrame]:
     """(info, lines) for files read line by line.
 
+    The per-block and per-file aggregates (one row per block / file) are
+    persisted, so later actions do not rescan the lines; they are appended to
+    ``cached`` for the caller to unpersist.
+
     Header rules and metadata follow the whole-file path: the first header
     candidate (2nd rule) or the first line with >= 10 separators (3rd rule)
     comes from per-block then per-file minima; the preamble comes from the
@@ -248,7 +254,10 @@ def large_parts(lines: DataFrame, max_rows: int | None = None) -> tuple[DataFram
     blocks = (lines.groupBy(*key, "block")
               .agg(F.min("mid").alias("bmin"),
                    F.min(F.when(_is_header(F.col("line")), ordered)).alias("cand"),
-                   F.min(F.when(n_sep >= K.HEADER_MIN_SEPARATORS, ordered)).alias("wide")))
+                   F.min(F.when(n_sep >= K.HEADER_MIN_SEPARATORS, ordered)).alias("wide"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    if cached is not None:
+        cached.append(blocks)
     per_file = blocks.groupBy(*key).agg(
         F.min("cand").alias("cand"), F.min("wide").alias("wide"),
         F.min(F.when(F.col("block") == 0, F.col("bmin"))).alias("m0"))
@@ -266,7 +275,10 @@ def large_parts(lines: DataFrame, max_rows: int | None = None) -> tuple[DataFram
     header = F.coalesce(F.col("cand"), F.col("wide"))
     files = (per_file.join(meta, key, "left")
              .select(*key, header.alias("hdr"),
-                     F.coalesce("meta", F.create_map().cast("map<string,string>")).alias("meta")))
+                     F.coalesce("meta", F.create_map().cast("map<string,string>")).alias("meta"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
+    if cached is not None:
+        cached.append(files)
     info = files.select(*key, F.col("hdr.line").alias("header_line"), "meta")
     # Pass 3: data lines after the header, numbered within their block.
     starts = blocks.select(*key, "block", "bmin")
@@ -436,7 +448,7 @@ def station_parts(spark: SparkSession, files: DataFrame, large: DataFrame | None
     """(info, lines) over whole files plus, when given, large files read by line."""
     info, lines = small_parts(file_structure(files))
     if large is not None and large.limit(1).count() > 0:
-        linfo, llines = large_parts(read_large_lines(spark, large))
+        linfo, llines = large_parts(read_large_lines(spark, large), cached=[])
         info, lines = info.unionByName(linfo), lines.unionByName(llines)
     return info, lines
 
