@@ -49,11 +49,17 @@ def station_file_stream(spark: SparkSession, source_root: str,
 def _batch_writer(tables: P.Tables, run_name: str, large_file_bytes: int):
     def write(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
-        load_id = f"stream-{run_name}-{epoch_id}"
+        listing = batch.persist()
+        # The load id names the batch by its content (an order-independent
+        # fingerprint of its file paths) as well as its epoch: a replayed epoch
+        # maps to the same id and is skipped, while a new stream whose epochs
+        # restart at 0 cannot collide with earlier loads.
+        fingerprint = listing.agg(F.bit_xor(F.xxhash64("path")), F.count(F.lit(1))).first()
+        load_id = f"stream-{run_name}-{epoch_id}-{fingerprint[0]}-{fingerprint[1]}"
         log = P.read_log(spark, tables)
         if log.where(F.col("load_id") == load_id).limit(1).count() > 0:
+            listing.unpersist()
             return                                    # replayed epoch: already committed
-        listing = batch.persist()
         try:
             years = sorted(int(r[0]) for r in listing.select("source_year").distinct().collect())
             if not years:

@@ -37,3 +37,13 @@ def test_stream_routes_large_files_to_line_reader(spark, workdir):
     raw = P.read_raw(spark, P.Tables(wh))
     assert raw.count() == 8
     assert raw.where("source_file = 'A002.csv' AND hora_referencia = '02:00:00'").count() == 1
+
+
+def test_new_stream_with_restarted_epochs_is_not_mistaken_for_a_replay(spark, workdir):
+    wh = f"{workdir}/wh"
+    for i, code in enumerate(["A010", "A011"]):
+        src = f"{workdir}/src{i}"
+        SD.write_file(f"{src}/2026", f"{code}.csv", SD.preamble(code=code) + [SD.MODERN_HEADER] +
+                      [SD.row("2026/01/01", f"{h:02d}00 UTC") for h in range(2 + i)])
+        run_stream_ingest(spark, src, wh, checkpoint=f"{workdir}/ckpt{i}")   # epochs start at 0 twice
+    assert P.read_raw(spark, P.Tables(wh)).count() == 5
