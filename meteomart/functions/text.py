@@ -51,12 +51,16 @@ def normalize_col(c: Column) -> Column:
     return F.regexp_replace(x, "^_+|_+$", "")
 
 
+_PY_FOLD = {**{ord(a): b for a, b in zip(_FOLD_SRC, _FOLD_DST)},
+            **{ord(ch): None for ch in _FOLD_DELETE},
+            **{ord(ch): folded for ch, folded in _FOLD_MULTI}}
+_NOT_ALNUM = re.compile("[^a-z0-9]+")
+
+
 def py_normalize_col(name) -> str:
-    """Plain-Python twin of :func:`normalize_col`, for plan-time names."""
-    value = unicodedata.normalize("NFKD", str(name)).encode("ascii", "ignore").decode("ascii")
-    value = value.strip().lower()
-    value = re.sub(r"[^a-z0-9]+", "_", value)
-    return value.strip("_")
+    """Plain-Python twin of :func:`normalize_col` (same fold table), for the
+    handful of header names resolved at plan time."""
+    return _NOT_ALNUM.sub("_", str(name).translate(_PY_FOLD).lower()).strip("_")
 
 
 def py_parse_years(raw_years: str) -> list[int]:
@@ -115,15 +119,6 @@ def parse_hour(c: Column) -> Column:
                                          F.substring(hhmm, 3, 2), F.lit(":00")))
 
 
-def py_parse_hour(raw_value):
-    value = (raw_value or "").upper().replace("UTC", "").strip()
-    digits = re.sub(r"[^0-9]", "", value)
-    if not digits:
-        return None
-    digits = digits.zfill(4)
-    return f"{digits[:2]}:{digits[2:4]}:00"
-
-
 def coerce_date(c: Column) -> Column:
     """Year-first date text ('2024-01-31' or '2024/01/31') -> ISO text, else NULL."""
     # A pattern can only match text containing its literal separator; testing

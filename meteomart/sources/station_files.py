@@ -333,15 +333,18 @@ def resolve_header(header_line: str) -> list[tuple[int, str]]:
         named.append(name)
     cols = [(i, py_normalize_col(n)) for i, n in enumerate(named)]
     cols = [(i, c) for i, c in cols if c and not c.startswith("unnamed")]
-    names = [c for _, c in cols]
-    rename: dict = {}
-    for canonical, prefix in K.CANONICAL_PREFIXES:
-        if canonical in names:
-            continue
-        match = next((c for c in names if c.startswith(prefix)), None)
-        if match:
-            rename[match] = canonical
-    return [(i, rename.get(c, c)) for i, c in cols]
+    return [(i, name) for (i, _), name in zip(cols, _canonical_names([c for _, c in cols]))]
+
+
+def _canonical_names(names: list[str]) -> list[str]:
+    """Rename by prefix: each canonical name absent from ``names`` is claimed by
+    the first name with its prefix; when two canonicals claim the same column
+    the later table entry wins (so a lone 'hora_utc' ends up as 'hora')."""
+    present = set(names)
+    claims = {next((n for n in names if n.startswith(prefix)), None): canonical
+              for canonical, prefix in K.CANONICAL_PREFIXES if canonical not in present}
+    claims.pop(None, None)
+    return [claims.get(n, n) for n in names]
 
 
 def header_layouts(info: DataFrame) -> dict[str, list[tuple[int, str]]]:

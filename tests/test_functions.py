@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meteomart import constants as K
 from meteomart.functions import (
     clean_decimal, clean_text, coerce_date, day_period, exact_avg_round, na_to_null,
-    normalize_col, parse_hour, py_normalize_col, py_parse_hour, py_parse_years,
+    normalize_col, parse_hour, py_normalize_col, py_parse_years,
     rain_intensity, surrogate_key, try_numeric, uf_timezone, wind_risk,
 )
 from meteomart.functions.timefmt import local_time, validated_time, weekday_name_padded
@@ -60,17 +60,33 @@ def test_clean_decimal_bad_text(spark):
         one_col(spark, ["abc"], "string", lambda c: clean_decimal(c, 10, 2))
 
 
+def nfkd_name(name):
+    """Independent reference: Unicode NFKD, drop non-ASCII, lower, runs of
+    other characters to one '_', no '_' at the ends."""
+    import re
+    import unicodedata
+    ascii_only = unicodedata.normalize("NFKD", name).encode("ascii", "ignore").decode()
+    return re.sub("[^a-z0-9]+", "_", ascii_only.lower()).strip("_")
+
+
+def hour_spec(text):
+    """Independent reference: the digits of the text, left-padded to 4, first 4 as HH:MM."""
+    digits = "".join(ch for ch in (text or "") if ch in "0123456789")
+    return None if not digits else f"{digits.zfill(4)[:2]}:{digits.zfill(4)[2:4]}:00"
+
+
 def test_normalize_matches_python_on_all_latin1(spark):
     samples = [chr(i) for i in range(1, 256)]
     samples += ["PRECIPITAÇÃO TOTAL, HORÁRIO (mm)", "TEMPERATURA DO AR - BULBO SECO, HORARIA (°C)",
                 "  Hora UTC ", "Unnamed: 3", "__x__y__", "½ e ¼", "ÅÝÿßØÆ", "RADIACAO GLOBAL (Kj/m²)"]
     got = one_col(spark, samples, "string", normalize_col)
-    assert got == [py_normalize_col(s) for s in samples]
+    assert got == [nfkd_name(s) for s in samples]
+    assert [py_normalize_col(s) for s in samples] == got
 
 
 def test_parse_hour_matches_python(spark):
     vals = ["0000 UTC", "0100 UTC", "7", "130", "123045", "abc", "", None, "23:00", "utc 12"]
-    assert one_col(spark, vals, "string", parse_hour) == [py_parse_hour(v) for v in vals]
+    assert one_col(spark, vals, "string", parse_hour) == [hour_spec(v) for v in vals]
     assert one_col(spark, ["7", "130", "123045", "abc"], "string", parse_hour) == [
         "00:07:00", "01:30:00", "12:30:00", None]
 

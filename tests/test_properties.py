@@ -6,9 +6,8 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from meteomart.functions import (
-    clean_decimal, exact_avg_round, normalize_col, parse_hour, py_normalize_col, py_parse_hour,
-)
+from meteomart.functions import clean_decimal, exact_avg_round, normalize_col, parse_hour
+from test_functions import hour_spec, nfkd_name
 
 LATIN1 = st.text(alphabet=st.characters(min_codepoint=1, max_codepoint=255), max_size=30)
 HOURS = st.one_of(LATIN1, st.from_regex(r"\A[0-9]{0,7}( ?UTC)?\Z"), st.none())
@@ -24,13 +23,13 @@ def column(spark, values, fn):
 @SETTINGS
 @given(st.lists(LATIN1, min_size=50, max_size=200))
 def test_normalize_col_matches_python(spark, names):
-    assert column(spark, names, normalize_col) == [py_normalize_col(n) for n in names]
+    assert column(spark, names, normalize_col) == [nfkd_name(n) for n in names]
 
 
 @SETTINGS
 @given(st.lists(HOURS, min_size=50, max_size=200))
 def test_parse_hour_matches_python(spark, values):
-    assert column(spark, values, parse_hour) == [py_parse_hour(v) for v in values]
+    assert column(spark, values, parse_hour) == [hour_spec(v) for v in values]
 
 
 @SETTINGS
