@@ -83,3 +83,10 @@ def test_gold_tests_fail(spark):
     assert Q.assert_humidity_range(m["fact_weather_hourly"]).count() == 1
     assert Q.assert_no_future_dates(m["fact_weather_hourly"], date(2026, 1, 1)).count() == 1
     assert Q.assert_no_future_dates(m["fact_weather_hourly"], date(2031, 1, 1)).count() == 0
+
+
+def test_gate_counts_match_the_failing_rows(spark):
+    m = gold_models(spark)
+    counts = Q.gold_test_failures(m, date(2026, 1, 1))
+    assert counts == {"unique": 1, "not_null": sum(r["failures"] for r in Q.test_not_null(m).collect()),
+                      "accepted_values": 3, "assert_humidity_range": 1, "assert_no_future_dates": 1}
