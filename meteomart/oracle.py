@@ -283,6 +283,13 @@ def oracle_queries() -> dict[str, str]:
     q["wind_risk"] = _with(
         f"SELECT cast(vento_rajada_ms as double) AS vento_rajada_ms, "
         f"{WIND_CASE.format(x='vento_rajada_ms')} AS risco_vento FROM stg")
+    q["classify_lineitem"] = (
+        "SELECT l_orderkey, l_linenumber, l_quantity, "
+        f"{RAIN_CASE.format(x='cast(l_quantity as decimal(10,2))')} AS intensidade_chuva, "
+        f"{WIND_CASE.format(x='cast(l_quantity as decimal(10,2))')} AS risco_vento FROM lineitem")
+    q["dim_date_orders"] = (
+        f"WITH stg AS (SELECT cast(o_orderdate as date) AS data_referencia FROM orders),\n{DIM_DATE_CTE}\n"
+        "SELECT * FROM dim_date")
     q["uf_timezone"] = _raw_with(
         f"SELECT DISTINCT ltrim(meta_uf, ';') AS uf, {_TZ_CASE} AS timezone FROM raw")
     # ---- silver / gold ---------------------------------------------------

@@ -18,6 +18,7 @@ from meteomart.functions import (
     clean_decimal, clean_text, coerce_date, na_to_null, normalize_col, parse_hour,
     py_parse_years, rain_intensity, surrogate_key, try_numeric, uf_timezone, wind_risk,
 )
+from meteomart.operators import gold as G
 from meteomart.operators import load as L
 from meteomart.operators import marts as M
 from meteomart.operators import quality as Q
@@ -206,6 +207,20 @@ def q_wind_risk(spark, sf):
     return as_double(s.select("vento_rajada_ms", wind_risk(F.col("vento_rajada_ms")).alias("risco_vento")))
 
 
+def q_classify_lineitem(spark, sf):
+    """Both classifiers over a second input: l_quantity (1-50) as mm and as m/s."""
+    li = read_table(spark, sf, "lineitem")
+    q = F.col("l_quantity").cast("decimal(10,2)")
+    return li.select("l_orderkey", "l_linenumber", F.col("l_quantity"),
+                     rain_intensity(q).alias("intensidade_chuva"), wind_risk(q).alias("risco_vento"))
+
+
+def q_dim_date_orders(spark, sf):
+    """The calendar dimension over a multi-year date source (order dates)."""
+    days = read_table(spark, sf, "orders").select(F.col("o_orderdate").cast("date").alias("data_referencia"))
+    return G.dim_date(days)
+
+
 def q_uf_timezone(spark, sf):
     uf = clean_text(F.col("meta_uf"))
     return raw(spark, sf).select(uf.alias("uf"), uf_timezone(uf).alias("timezone")).distinct()
