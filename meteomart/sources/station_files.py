@@ -1,11 +1,17 @@
 """Station files -> raw rows, as Spark jobs.
 
 A station file is latin-1 text: a ``KEY:;VALUE`` preamble, one ``;``-separated
-header line, then hourly rows.  Per file (one row per file, files in
-parallel) native expressions find the header, build the metadata map and cut
-the table lines; rows are then exploded and split into fields.  Only the
-distinct header layouts (a handful per archive era) reach the driver, where
-their column names are resolved exactly like the upstream reader names them.
+header line, then hourly rows.  Two paths produce the same (info, lines):
+
+* whole files up to ``LARGE_FILE_BYTES`` (real ones are ~1 MB): one row per
+  file, files in parallel; native array expressions find the header, build
+  the metadata map and cut the table lines;
+* larger files: a splittable line reader; header and preamble come from
+  per-block / per-file aggregates with O(1) state, so no file is one task.
+
+Rows are then split into fields.  Only the distinct header layouts (a handful
+per archive era) reach the driver, where their column names are resolved the
+way the upstream reader names them.
 
 Sources: ``<root>/<year>.zip`` archives (members ending ``.csv``) or
 ``<root>/<year>/*.csv`` directories.
@@ -24,6 +30,7 @@ from pyspark.sql import functions as F
 from meteomart import constants as K
 from meteomart.functions import coerce_date, na_to_null, normalize_col, parse_hour, py_normalize_col
 from meteomart.functions.text import fold_lower
+from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
 
 # Python's str.splitlines() boundaries that can occur in latin-1 text.
 LINE_BREAKS = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085]"
@@ -245,7 +252,6 @@ def large_parts(lines: DataFrame, max_rows: int | None = None, cached: list | No
     comes from per-block then per-file minima; the preamble comes from the
     first 40 lines of the first block, collected per file (bounded).
     """
-    from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
     max_rows = max_rows or DEFAULT_BROADCAST_MAX_ROWS
     key = ["source_year", "source_file"]
     ordered = F.struct("block", "mid", "sub", "line")
