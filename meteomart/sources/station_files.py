@@ -77,15 +77,27 @@ LARGE_FILE_BYTES = 256 * 1024 * 1024
 
 
 def _csv_listing(spark: SparkSession, root: str, years) -> DataFrame | None:
-    paths = [f"{root.rstrip('/')}/{int(y)}" for y in years]
-    paths = [p for p in paths if _exists(spark, p)]
-    if not paths:
+    """Every ``*.csv`` under ``<root>/<year>/`` (nested folders included):
+    path, size, content (read lazily), year and the name relative to the year
+    folder.  The year comes from the folder listed, not from parsing paths."""
+    parts = []
+    for y in years:
+        folder = f"{root.rstrip('/')}/{int(y)}"
+        if not _exists(spark, folder):
+            continue
+        prefix = _qualified(spark, folder) + "/"
+        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]")
+                 .option("recursiveFileLookup", "true").load(folder))
+        parts.append(files.select(
+            "path", "length", "content",
+            F.lit(str(int(y))).alias("source_year"),
+            F.substring("path", len(prefix) + 1, 1 << 20).alias("source_file")))
+    if not parts:
         return None
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]").load(paths)
-    return files.select(
-        "path", "length", "content",
-        F.regexp_extract("path", r"/(\d+)/[^/]*$", 1).alias("source_year"),
-        F.regexp_extract("path", r"([^/]*)$", 1).alias("source_file"))
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    return out
 
 
 def read_csv_dirs(spark: SparkSession, root: str, years,
@@ -115,6 +127,13 @@ def read_station_files(spark: SparkSession, root: str, years,
     return read_archives(spark, root, years).unionByName(read_csv_dirs(spark, root, years, max_bytes))
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.makeQualified(hpath).toString()
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
@@ -230,11 +249,13 @@ def read_large_lines(spark: SparkSession, large: DataFrame) -> DataFrame:
     paths = [r[0] for r in large.select("path").collect()]   # file names only
     raw = spark.read.format("csv").options(**CSV_LINE_OPTIONS).schema("line string").load(paths)
     df = raw.select(
-        F.regexp_extract("_metadata.file_path", r"/(\d+)/[^/]*$", 1).alias("source_year"),
-        F.regexp_extract("_metadata.file_path", r"([^/]*)$", 1).alias("source_file"),
+        F.col("_metadata.file_path").alias("path"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("mid"),
         F.coalesce(F.col("line"), F.lit("")).alias("line"))
+    # Year and name come from the listing (one row per large file).
+    names = bounded_broadcast(large.select("path", "source_year", "source_file"))
+    df = df.join(names, "path").drop("path")
     return df.select("source_year", "source_file", "block", "mid",
                      F.posexplode(F.split("line", _EXTRA_BREAKS, -1)).alias("sub", "line"))
 
