@@ -99,3 +99,57 @@ def proxy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                .join(F.broadcast(n), F.col("c.c_nationkey") == F.col("n.n_nationkey"))
                .join(F.broadcast(r), F.col("n.n_regionkey") == F.col("r.r_regionkey")))
     return joined.selectExpr(*[f"{expr} AS {name}" for name, expr in PROXY_COLUMNS])
+
+
+# ---------------------------------------------------------------------------
+# Station files derived from the proxy rows (input for the ingestion bench)
+# ---------------------------------------------------------------------------
+# Fixed layout of the files written here: preamble keys and one header line.
+_PREAMBLE = [("REGIAO:", "meta_regiao"), ("UF:", "meta_uf"), ("ESTACAO:", "meta_estacao"),
+             ("CODIGO (WMO):", "meta_codigo_wmo"), ("LATITUDE:", "meta_latitude"),
+             ("LONGITUDE:", "meta_longitude"), ("ALTITUDE:", "meta_altitude")]
+_HEADER = ("Data;Hora UTC;PRECIPITAÇÃO TOTAL, HORÁRIO (mm);"
+           "PRESSAO ATMOSFERICA AO NIVEL DA ESTACAO, HORARIA (mB);"
+           "TEMPERATURA DO AR - BULBO SECO, HORARIA (°C);UMIDADE RELATIVA DO AR, HORARIA (%);"
+           "VENTO, DIREÇÃO HORARIA (gr) (° (gr));VENTO, RAJADA MAXIMA (m/s);"
+           "VENTO, VELOCIDADE HORARIA (m/s);")
+_ROW_FIELDS = ["precipitacao_total_horario", "pressao_atmosferica_ao_nivel_da_estacao_horaria_mb",
+               "temperatura_do_ar_bulbo_seco_horaria", "umidade_relativa_do_ar_horaria",
+               "vento_direcao_horaria_gr_gr", "vento_rajada_maxima_m_s", "vento_velocidade_horaria_m_s"]
+_WRITE_OPTIONS = {"encoding": "ISO-8859-1", "sep": "\u0001", "quote": "\u0000",
+                  "escapeQuotes": "false", "emptyValue": "", "nullValue": ""}
+
+
+def station_file_lines(raw: DataFrame) -> DataFrame:
+    """(source_year, source_file, ord, k, line): the lines of one station file per
+    (year, station) of a raw batch: preamble, header, then hourly rows."""
+    key = ["source_year", "source_file"]
+    stations = raw.groupBy(*key).agg(*[F.first(c).alias(c) for _, c in _PREAMBLE])
+    preamble = F.array(*[F.concat(F.lit(label), F.col(c)) for label, c in _PREAMBLE],
+                       F.lit("DATA DE FUNDACAO:;01/01/00"), F.lit(_HEADER))
+    head = stations.select(*key, F.posexplode(preamble).alias("ord", "line"), F.lit("").alias("k"))
+    hour = F.when(F.col("hora_referencia").isNotNull(),
+                  F.concat(F.substring("hora_referencia", 1, 2), F.lit("00 UTC")))
+    fields = [F.replace(F.coalesce("data", F.lit("")), F.lit("-"), F.lit("/")),
+              F.coalesce(hour, F.lit(""))] + [F.coalesce(c, F.lit("")) for c in _ROW_FIELDS]
+    rows = raw.select(*key, F.lit(len(_PREAMBLE) + 2).alias("ord"),
+                      F.concat_ws(";", *fields, F.lit("")).alias("line"),
+                      F.concat_ws("|", F.coalesce("data", F.lit("")),
+                                  F.coalesce("hora_referencia", F.lit(""))).alias("k"))
+    return head.unionByName(rows)
+
+
+def write_station_files(raw: DataFrame, root: str) -> list[int]:
+    """Write ``<root>/<year>/source_file=<station>/part-*.csv`` (latin-1) from a
+    raw batch; returns the years written.  Each station's lines are written by
+    one task in file order (partition column first in the sort)."""
+    lines = station_file_lines(raw)
+    years = sorted(int(r[0]) for r in raw.select("source_year").distinct().collect())
+    for y in years:
+        (lines.where(F.col("source_year") == str(y))
+         .repartition("source_file")
+         .sortWithinPartitions("source_file", "ord", "k")
+         .select("source_file", "line")
+         .write.mode("overwrite").options(**_WRITE_OPTIONS).partitionBy("source_file")
+         .csv(f"{root.rstrip('/')}/{y}"))
+    return years
