@@ -100,31 +100,47 @@ def _csv_listing(spark: SparkSession, root: str, years) -> DataFrame | None:
     return out
 
 
-def read_csv_dirs(spark: SparkSession, root: str, years,
-                  max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
-    """``<root>/<year>/*.csv`` (any case) up to ``max_bytes`` -> one row per file.
+def csv_listing(spark: SparkSession, root: str, years) -> DataFrame | None:
+    """The ``*.csv`` files under the year folders, listed once; pass it to
+    :func:`small_csv_files` and :func:`large_csv_paths` (each DataFrame built
+    by ``load`` would list the folders again)."""
+    return _csv_listing(spark, root, years)
 
-    The size filter is pushed into the binaryFile listing: larger files are
-    never loaded whole.
-    """
-    files = _csv_listing(spark, root, years)
-    if files is None:
+
+def small_csv_files(listing: DataFrame | None, spark: SparkSession,
+                    max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
+    """Files up to ``max_bytes`` -> (source_year, source_file, content), one row per
+    file.  The size filter is pushed into the binaryFile scan: larger files are
+    never loaded whole."""
+    if listing is None:
         return spark.createDataFrame([], FILE_COLUMNS)
-    return files.where(F.col("length") <= max_bytes).select("source_year", "source_file", "content")
+    return listing.where(F.col("length") <= max_bytes).select("source_year", "source_file", "content")
 
 
-def large_csv_files(spark: SparkSession, root: str, years,
+def large_csv_paths(listing: DataFrame | None, spark: SparkSession,
                     max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
     """(source_year, source_file, path) of files over ``max_bytes`` (no content read)."""
-    files = _csv_listing(spark, root, years)
-    if files is None:
+    if listing is None:
         return spark.createDataFrame([], "source_year string, source_file string, path string")
-    return files.where(F.col("length") > max_bytes).select("source_year", "source_file", "path")
+    return listing.where(F.col("length") > max_bytes).select("source_year", "source_file", "path")
+
+
+def read_csv_dirs(spark: SparkSession, root: str, years,
+                  max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
+    """``<root>/<year>/**.csv`` (any case) up to ``max_bytes`` -> one row per file."""
+    return small_csv_files(_csv_listing(spark, root, years), spark, max_bytes)
+
+
+def large_csv_files(spark: SparkSession, root: str, years,
+                    max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
+    """(source_year, source_file, path) of files over ``max_bytes`` (no content read)."""
+    return large_csv_paths(_csv_listing(spark, root, years), spark, max_bytes)
 
 
 def read_station_files(spark: SparkSession, root: str, years,
-                       max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
-    return read_archives(spark, root, years).unionByName(read_csv_dirs(spark, root, years, max_bytes))
+                       max_bytes: int = LARGE_FILE_BYTES, listing: DataFrame | None = None) -> DataFrame:
+    listing = listing if listing is not None else _csv_listing(spark, root, years)
+    return read_archives(spark, root, years).unionByName(small_csv_files(listing, spark, max_bytes))
 
 
 def _qualified(spark: SparkSession, path: str) -> str:
