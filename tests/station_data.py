@@ -69,13 +69,13 @@ def build_year_2026(folder):
 def build_year_2018(folder):
     """<folder>/2018.zip: older header era, DST, a new column, attribute drift."""
     members = {
-        "2018/INMET_SE_SP_A701.CSV": preamble(code="A701", uf="SP", name="SAO PAULO", regiao="SE") + [
+        "2018/STATION_SE_SP_A701.CSV": preamble(code="A701", uf="SP", name="SAO PAULO", regiao="SE") + [
             OLDER_HEADER, row("2018-12-01", "03:00"), row("2018-12-01", "04:00", rain="30")],
         # one more column in this file's header
-        "2018/INMET_SE_SP_A702.CSV": preamble(code="A702", uf="SP", name="SAO PAULO 2", regiao="SE") + [
+        "2018/STATION_SE_SP_A702.CSV": preamble(code="A702", uf="SP", name="SAO PAULO 2", regiao="SE") + [
             OLDER_HEADER + "RADIACAO GLOBAL (Kj/m²);", row("2018-12-01", "05:00") + "1234;"],
         # same station code as A701 with another altitude (attribute drift)
-        "2018/INMET_SE_SP_A701_B.CSV": preamble(code="A701", uf="SP", name="SAO PAULO", regiao="SE",
+        "2018/STATION_SE_SP_A701_B.CSV": preamble(code="A701", uf="SP", name="SAO PAULO", regiao="SE",
                                                 alt="800") + [OLDER_HEADER, row("2018-12-02", "03:00")],
         "2018/readme.txt": ["not a station file"],
     }
