@@ -137,6 +137,13 @@ def large_csv_files(spark: SparkSession, root: str, years,
     return large_csv_paths(_csv_listing(spark, root, years), spark, max_bytes)
 
 
+def years_without_source(spark: SparkSession, root: str, years) -> list[int]:
+    """Years with neither ``<root>/<year>.zip`` nor a ``<root>/<year>/`` folder."""
+    base = root.rstrip("/")
+    return [int(y) for y in years
+            if not _exists(spark, f"{base}/{int(y)}.zip") and not _exists(spark, f"{base}/{int(y)}")]
+
+
 def read_station_files(spark: SparkSession, root: str, years,
                        max_bytes: int = LARGE_FILE_BYTES, listing: DataFrame | None = None) -> DataFrame:
     listing = listing if listing is not None else _csv_listing(spark, root, years)

@@ -103,3 +103,12 @@ def test_layer_routing_and_latest_station(spark, workdir):
     assert G.dim_station(stg).count() == 2                 # parity: drift duplicates the key
     latest = G.dim_station(stg, latest=True).collect()
     assert len(latest) == 1 and latest[0]["altitude"] == 2.0
+
+
+def test_year_without_source_fails_like_a_failed_download(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)                                   # only 2026 exists
+    res = P.ingest(spark, P.PipelineConfig(src, wh, years="2026,2027,2028"))
+    assert res.years_loaded == [2026] and res.failed_year == 2027 and res.rows_loaded == 36
+    err = P.read_log(spark, P.Tables(wh)).where("status = 'error'").collect()
+    assert [(r["source_year"], r["source_file"]) for r in err] == [(2027, "2027.zip")]
