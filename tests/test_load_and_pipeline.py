@@ -112,3 +112,20 @@ def test_year_without_source_fails_like_a_failed_download(spark, workdir):
     assert res.years_loaded == [2026] and res.failed_year == 2027 and res.rows_loaded == 36
     err = P.read_log(spark, P.Tables(wh)).where("status = 'error'").collect()
     assert [(r["source_year"], r["source_file"]) for r in err] == [(2027, "2027.zip")]
+
+
+def test_command_line_runs_the_gated_pipeline(spark, workdir):
+    import json
+    from contextlib import redirect_stdout
+    from io import StringIO
+
+    from meteomart.__main__ import main
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)
+    out = StringIO()
+    with redirect_stdout(out):
+        assert main(["--source", src, "--warehouse", wh, "--years", "2026", "--min-rows", "1",
+                     "--max-rows", "1000", "--today", "2026-12-01"]) == 0
+    summary = json.loads(out.getvalue().strip().splitlines()[-1])
+    assert summary["rows_loaded"] == 36 and summary["validation_success"]
+    assert set(summary["marts"]) >= {"rain_by_station_month", "temp_humidity_by_day"}
