@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meteomart.llm import lsh_forest, packing, pii, quality_qda, raking
+from meteomart.llm import lsh_forest, merkle, packing, pii, quality_qda, raking
 from meteomart.llm.tables import table
 
 
@@ -14,6 +14,10 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op3_merkle_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 
@@ -36,4 +40,4 @@ def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_queries() -> dict[str, str]:
-    return {}
+    return {"op3_merkle_tree": merkle.ORACLE}
