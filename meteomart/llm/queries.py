@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meteomart.llm import lsh_forest, merkle, packing, pii, quality_qda, raking
+from meteomart.llm import language_zstd, lsh_forest, merkle, packing, pii, quality_qda, raking
 from meteomart.llm.tables import table
 
 
@@ -18,6 +18,11 @@ def op3_merkle_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return language_zstd.predict(docs, language_zstd.dictionaries(docs))
+
+
 def op7_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(table(spark, sf_dir, "documents"))
 

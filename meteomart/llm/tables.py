@@ -2,15 +2,39 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from meteomart.plans.materialize import new_scratch, write_and_reread
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, once an application, as ``--py-files`` would."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    path = os.path.join(tempfile.mkdtemp(prefix="meteomart-py-"), "meteomart.zip")
+    with zipfile.ZipFile(path, "w") as z:
+        for folder, _, names in os.walk(package):
+            for n in sorted(names):
+                if n.endswith(".py"):
+                    full = os.path.join(folder, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(package)))
+    sc.addPyFile(path)
+    _shipped.add(sc.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
@@ -33,7 +57,3 @@ def bounded_sample(df: DataFrame, stratum: str, key: Column, most: int) -> DataF
     order = Window.partitionBy(stratum).orderBy(F.xxhash64(key), key)
     return (df.withColumn("_rank", F.row_number().over(order))
             .where(F.col("_rank") <= most).drop("_rank"))
-
-
-def schema_of(text: str) -> T.StructType:
-    return T._parse_datatype_string(text)
