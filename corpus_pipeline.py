@@ -9,31 +9,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from meteomart.llm import lsh_forest, packing, pii, quality_qda, raking
-from meteomart.llm.tables import cut, table
+from meteomart.llm.tables import cut, ship, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
+    ship(spark)
     return quality_qda.keep_good(docs, quality_qda.fit(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    ship(spark)
     return lsh_forest.keep_one(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their personal data masked."""
+    ship(spark)
     return pii.redact(docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled to the target weights."""
+    ship(spark)
     return raking.mix(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every piece of every document with its bucket, batch and place."""
+    ship(spark)
     return packing.pack(docs)
 
 
