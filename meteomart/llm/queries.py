@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meteomart.llm import language_zstd, lbl, lsh_forest, merkle, packing, pii, quality_qda, raking
+from meteomart.llm import language_zstd, lbl, lsh_forest, merkle, packing, pii, posting_lists, quality_qda, raking
 from meteomart.llm.tables import table
 
 
@@ -22,6 +22,10 @@ def op4_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lbl.score(table(spark, sf_dir, "documents"))
 
 
+def op5_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return posting_lists.search(table(spark, sf_dir, "embeddings"))
+
+
 def op6_zstd_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return language_zstd.predict(docs, language_zstd.dictionaries(docs))
