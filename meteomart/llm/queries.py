@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meteomart.llm import language_zstd, lbl, lsh_forest, merkle, packing, pii, posting_lists, quality_qda, raking
+from meteomart.llm import language_zstd, lbl, lsh_forest, merkle, packing, passages, pii, posting_lists, quality_qda, raking
 from meteomart.llm.tables import table
 
 
@@ -14,6 +14,10 @@ def op1_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"))
 
 
+def op2_collinear_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.shared(table(spark, sf_dir, "documents"))
+
+
 def op3_merkle_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.fingerprints(table(spark, sf_dir, "documents"))
 
