@@ -9,11 +9,12 @@ shingle sets.
 
 Documents with equal shingle sets are one class from the start.  Where a
 prefix has at most ``SMALL`` classes, all of them are compared.  A prefix with
-more is not expanded into pairs: its members are compared with a few hubs, the
-least members, then with a few hubs among the members that no hub explains,
-and so on until each member is explained by a hub.  Two members that were
-never compared thus share a hub that both are similar to, so no link between
-components is lost, and the work is members times hubs.
+more is not expanded into pairs.  Its members are compared with one hub, the
+member that meets most others over all trees; members similar to the same hub
+are linked through it.  The members that the hub does not explain are joined
+exactly with all members of such prefixes: two sets at the threshold must share
+one of their rarest shingles, at places that leave room for the overlap, so
+only the rarest fifth of each set is joined, by shingle.
 
 Defined results.  Null or empty texts and texts of white space have no
 shingles: each is a class of its own, without links.  A text of 1 to 4 words has
@@ -30,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from meteomart.llm import text as X
 from meteomart.llm.components import components
@@ -42,7 +44,6 @@ TREES = 20
 DEPTH = 8
 RECALL = 0.999
 SMALL = 24
-HUBS = 8
 ID_BROADCAST = 2_000_000      # rows of 8 bytes
 SEED = 20_011
 
@@ -161,21 +162,37 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tree
     sizes = meet.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     meet = cut(meet.join(sizes, "key"))
     links = _verified(_pairs_of_small(meet.where(F.col("n") <= SMALL)), docs, words, threshold)
-    large = meet.where(F.col("n") > SMALL).select("key", "id")
-    left = large
-    while left.limit(1).count():
-        hubs = (left.groupBy("key").agg(F.min("id").alias("h0"), F.max("id").alias("h1"),
-                                        *[F.min_by("id", F.xxhash64("id", F.lit(i))).alias(f"h{i}") for i in range(2, HUBS)])
-                .select("key", F.explode(F.array_distinct(F.array(*[f"h{i}" for i in range(HUBS)]))).alias("hub")))
-        hubs = cut(hubs)
-        tried = large.join(hubs, "key").where("id <> hub")
-        ordered = tried.select("key", "id", F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b"))
-        fresh = ordered.select("a", "b").join(links.select("a", "b"), ["a", "b"], "left_anti")
-        links = cut(links.unionByName(_verified(fresh, docs, words, threshold)))
-        explained = (ordered.join(links.select("a", "b"), ["a", "b"], "left_semi").select("key", "id")
-                     .unionByName(hubs.select("key", F.col("hub").alias("id"))))
-        left = cut(left.join(explained, ["key", "id"], "left_anti"))
-    return members, links
+    large = cut(meet.where(F.col("n") > SMALL).select("key", "id"))
+    central = meet.groupBy("id").agg(F.sum("n").alias("met"))
+    hubs = (large.join(central, "id").groupBy("key")
+            .agg(F.max_by("id", F.struct("met", -F.col("id"))).alias("hub")))
+    tried = large.join(hubs, "key").withColumns({"a": F.least("id", "hub"), "b": F.greatest("id", "hub")})
+    tried = cut(tried)
+    starred = _verified(tried.where("id <> hub").select("a", "b"), docs, words, threshold)
+    unexplained = cut(tried.where("id <> hub").join(starred, ["a", "b"], "left_anti").select("id").distinct())
+    exact = _verified(_rare_pairs(unexplained, cut(large.select("id").distinct()), docs, words, threshold), docs, words, threshold)
+    return members, cut(links.unionByName(starred).unionByName(exact).dropDuplicates(["a", "b"]))
+
+
+def _rare_pairs(asking: DataFrame, among: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Every pair of an id in ``asking`` and one in ``among`` (which has them all) that may reach the threshold.
+
+    The shingles of a set are ordered from rare to common.  If two sets reach
+    the threshold, the first shingle they share leaves at least the needed
+    overlap on both sides, and lies among the first size - threshold * size + 1.
+    """
+    sets = _sets(docs, among, words).select("id", F.size("shingles").alias("size"), F.explode("shingles").alias("s"))
+    sets = cut(sets)
+    counts = sets.groupBy("s").agg(F.count("*").alias("n"))
+    order = Window.partitionBy("id").orderBy("n", "s")
+    first = (sets.join(counts, "s").withColumn("left", F.col("size") - F.row_number().over(order) + 1)
+             .where(F.col("left") >= F.ceil(F.lit(threshold) * F.col("size") - 1e-6)).select("id", "size", "left", "s"))
+    first = cut(first)
+    mine = first.join(asking, "id", "left_semi").select("s", F.col("id").alias("i"), F.col("size").alias("i_size"), F.col("left").alias("i_left"))
+    theirs = first.select("s", F.col("id").alias("j"), F.col("size").alias("j_size"), F.col("left").alias("j_left"))
+    needed = F.lit(threshold / (1 + threshold)) * (F.col("i_size") + F.col("j_size")) - 1e-6
+    met = mine.join(theirs, "s").where((F.col("i") != F.col("j")) & (F.least("i_left", "j_left") >= needed))
+    return met.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
 
 
 def classes(docs: DataFrame, **settings) -> DataFrame:
