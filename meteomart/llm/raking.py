@@ -26,6 +26,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from meteomart.llm.tables import cut
+
 NULL_LEVEL, OTHER = "(none)", "(other)"
 DIMENSIONS = ("source", "lang", "topic")
 MAX_LEVELS = 200
@@ -123,7 +125,8 @@ def calibrate(docs: DataFrame, targets: dict[str, dict[str, float]] | None = Non
 
 
 def _cells(rows: DataFrame, targets, budget_share, max_levels) -> list[tuple]:
-    cells = rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens"))
+    # Written once: the texts are counted in one pass, the cells read several times.
+    cells = cut(rows.groupBy(*DIMENSIONS).agg(F.sum("n_tokens").alias("tokens")))
     kept = {}
     for d in DIMENSIONS:
         if targets and d in targets:
