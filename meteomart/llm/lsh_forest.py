@@ -11,8 +11,8 @@ Documents with equal shingle sets are one class from the start.  Where a
 prefix has at most ``SMALL`` classes, all of them are compared.  A prefix with
 more is not expanded into pairs.  Its members are compared with one hub, the
 member that meets most others over all trees; members similar to the same hub
-are linked through it.  The members that the hub does not explain are joined
-exactly with all members of such prefixes: two sets at the threshold must share
+are linked through it.  The members that neither the hub nor the links found so
+far join to the hub's component are joined exactly with all members of such prefixes: two sets at the threshold must share
 one of their rarest shingles, at places that leave room for the overlap, so
 only the rarest fifth of each set is joined, by shingle.
 
@@ -169,9 +169,14 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tree
     tried = large.join(hubs, "key").withColumns({"a": F.least("id", "hub"), "b": F.greatest("id", "hub")})
     tried = cut(tried)
     starred = _verified(tried.where("id <> hub").select("a", "b"), docs, words, threshold)
-    unexplained = cut(tried.where("id <> hub").join(starred, ["a", "b"], "left_anti").select("id").distinct())
+    links = cut(links.unionByName(starred).dropDuplicates(["a", "b"]))
+    # A member that some links join to its hub's component is explained too.
+    named = components(links)
+    mine, theirs = (named.select(F.col("id").alias(c), F.col("component").alias(f"{c}_name")) for c in ("id", "hub"))
+    unexplained = cut(tried.join(mine, "id", "left").join(theirs, "hub", "left")
+                      .where(F.coalesce("id_name", "id") != F.coalesce("hub_name", "hub")).select("id").distinct())
     exact = _verified(_rare_pairs(unexplained, cut(large.select("id").distinct()), docs, words, threshold), docs, words, threshold)
-    return members, cut(links.unionByName(starred).unionByName(exact).dropDuplicates(["a", "b"]))
+    return members, cut(links.unionByName(exact).dropDuplicates(["a", "b"]))
 
 
 def _rare_pairs(asking: DataFrame, among: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
@@ -188,10 +193,13 @@ def _rare_pairs(asking: DataFrame, among: DataFrame, docs: DataFrame, words: int
     first = (sets.join(counts, "s").withColumn("left", F.col("size") - F.row_number().over(order) + 1)
              .where(F.col("left") >= F.ceil(F.lit(threshold) * F.col("size") - 1e-6)).select("id", "size", "left", "s"))
     first = cut(first)
-    mine = first.join(asking, "id", "left_semi").select("s", F.col("id").alias("i"), F.col("size").alias("i_size"), F.col("left").alias("i_left"))
-    theirs = first.select("s", F.col("id").alias("j"), F.col("size").alias("j_size"), F.col("left").alias("j_left"))
+    asks = asking.select("id", F.lit(True).alias("asks"))
+    first = first.join(asks, "id", "left").withColumn("asks", F.coalesce("asks", F.lit(False)))
+    mine = first.where("asks").select("s", F.col("id").alias("i"), F.col("size").alias("i_size"), F.col("left").alias("i_left"))
+    theirs = first.select("s", F.col("id").alias("j"), F.col("size").alias("j_size"), F.col("left").alias("j_left"), "asks")
     needed = F.lit(threshold / (1 + threshold)) * (F.col("i_size") + F.col("j_size")) - 1e-6
-    met = mine.join(theirs, "s").where((F.col("i") != F.col("j")) & (F.least("i_left", "j_left") >= needed))
+    once = (F.col("i") < F.col("j")) | (~F.col("asks") & (F.col("i") != F.col("j")))
+    met = mine.join(theirs, "s").where(once & (F.least("i_left", "j_left") >= needed))
     return met.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
 
 
