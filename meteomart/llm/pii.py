@@ -33,7 +33,7 @@ THRESHOLD = 0.6
 
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _LOCAL_CHAR = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
-_DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+){3,}")
+_DOTTED = re.compile(r"[0-9]++(?:\.[0-9]++)*+")
 _NUMBER = re.compile(r"[0-9]")
 _CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
