@@ -41,6 +41,7 @@ REPLICAS = 6
 BOUNDARY = 0.12
 DEGREE = 24
 FEWEST_LISTS = 4
+EXPANDED = 16
 TARGET = 0.98
 CALIBRATION = 400
 BLOCK = 4096
@@ -121,7 +122,7 @@ class Graph:
         """Distances to the centroids met; infinite for the others.
 
         A row goes on until the nearest centroid not yet expanded is beyond the
-        ratio and ``2 * fewest`` centroids were expanded.
+        ratio and at least ``EXPANDED`` centroids were expanded.
         """
         n, many = len(x), len(self.centroids)
         entries = np.linspace(0, many - 1, min(many, 8)).astype(int)
@@ -133,7 +134,7 @@ class Graph:
             best = waiting[rows].argmin(axis=1)
             near = waiting[rows, best]
             steps += 1
-            go = np.isfinite(near) & ((near <= (1 + ratio) * out[rows].min(axis=1)) | (steps <= 2 * fewest))
+            go = np.isfinite(near) & ((near <= (1 + ratio) * out[rows].min(axis=1)) | (steps <= max(EXPANDED, 2 * fewest)))
             rows, best = rows[go], best[go]
             waiting[rows, best] = np.inf
             nb = self.neighbours[best]
