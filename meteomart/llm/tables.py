@@ -57,3 +57,19 @@ def bounded_sample(df: DataFrame, stratum: str, key: Column, most: int) -> DataF
     order = Window.partitionBy(stratum).orderBy(F.xxhash64(key), key)
     return (df.withColumn("_rank", F.row_number().over(order))
             .where(F.col("_rank") <= most).drop("_rank"))
+
+
+def sift(df: DataFrame, key: str, ids: DataFrame, bits: int = 1 << 26) -> DataFrame:
+    """The rows of ``df`` whose ``key`` may be in ``ids`` (id): all that are, and a few more.
+
+    A bitmap of hashed ids, ``bits // 8`` bytes at any size of ``ids``, is broadcast
+    (in parts of 4 KB), so that an exact join after it shuffles fewer rows.
+    """
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(bits)) + 1
+    maps = (ids.select(place("id").alias("_place")).groupBy(F.bitmap_bucket_number("_place").alias("_part"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_place")).alias("_map")))
+    bit = F.bitmap_bit_position("_place")
+    byte = F.conv(F.hex(F.substring("_map", F.expr("cast(bitmap_bit_position(_place) div 8 + 1 as int)"), F.lit(1))), 16, 10).cast("int")
+    return (df.withColumn("_place", place(key)).withColumn("_part", F.bitmap_bucket_number("_place"))
+            .join(F.broadcast(maps), "_part").where(F.getbit(byte, (bit % 8).cast("int")) == 1)
+            .select(*[f"`{c}`" for c in df.columns]))
