@@ -114,8 +114,7 @@ RANGE_RULES = [
     ("precipitacao_total_horario", 0, None, 0.999),
 ]
 MIN_EXPECTED_ROWS = 100_000
-MAX_EXPECTED_ROWS = 10_000_000
-VALIDATION_SAMPLE_ROWS = 500_000
+MAX_EXPECTED_ROWS = 10_000_000      # upstream's setting; here the default is no maximum
 CHECKPOINT_NAME = "raw_inmet_weather_checkpoint"
 
 # ---------------------------------------------------------------------------
@@ -151,4 +150,6 @@ ACCEPTED_VALUES_TESTS = [
 # Ingestion log table layout.
 LOG_STATUS_SUCCESS = "success"
 LOG_STATUS_ERROR = "error"
+LOG_STATUS_QUARANTINED = "quarantined"
+QUARANTINED_MESSAGE = "Todas as linhas em quarentena."
 LOAD_MODES = ("full_refresh", "incremental")

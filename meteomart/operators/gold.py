@@ -12,14 +12,6 @@ from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
 
 STATION_ATTRS = ["codigo_wmo", "nome_estacao", "uf", "regiao", "latitude", "longitude", "altitude"]
 
-FACT_COLUMNS = [
-    "weather_event_sk", "station_sk", "date_sk", "time_sk", "data_referencia",
-    "data_hora_local", "temperatura_c", "umidade_pct", "precipitacao_mm",
-    "intensidade_chuva", "vento_velocidade_ms", "vento_direcao_graus",
-    "vento_rajada_ms", "risco_vento", "pressao_atm_hpa", "source_year",
-    "source_file", "loaded_at",
-]
-
 
 def dim_station(stg: DataFrame, latest: bool = False) -> DataFrame:
     """Distinct station attribute sets, keyed by md5(codigo_wmo).
@@ -27,14 +19,15 @@ def dim_station(stg: DataFrame, latest: bool = False) -> DataFrame:
     Default keeps upstream parity: a station whose attributes changed gets one
     row per variant (same key twice; the uniqueness test reports it and the
     fact fans out).  ``latest=True`` keeps the variant with the newest
-    ``loaded_at`` per station instead.  Either way the aggregation is partial
+    ``loaded_at`` per station instead (ties: the last file by name, then the
+    largest attributes).  Either way the aggregation is partial
     (map-side) first, so a station holding a third of all rows costs one row
     per task before the shuffle.
     """
     if latest:
         attrs = [a for a in STATION_ATTRS if a != "codigo_wmo"]
         newest = (stg.groupBy("codigo_wmo")
-                  .agg(F.max_by(F.struct(*attrs), F.col("loaded_at")).alias("a")))
+                  .agg(F.max_by(F.struct(*attrs), F.struct("loaded_at", "source_file", *attrs)).alias("a")))
         base = newest.select("codigo_wmo", *[F.col(f"a.{a}").alias(a) for a in attrs])
     else:
         base = stg.select(*STATION_ATTRS).distinct()

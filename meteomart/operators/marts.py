@@ -1,9 +1,10 @@
 """Dashboard queries over the gold star schema.
 
-Every mart aggregates the fact at station grain first (partial + final hash
-aggregate, so a hot station is collapsed map-side before any shuffle), then
-joins the now small result to the dimensions and rolls up to the dashboard
-keys.  Only partial rows cross the network, whatever the dimension sizes.
+Dimensions proven small are broadcast into the fact's scan, which is then
+grouped by the dashboard keys at once: one exchange of few partial rows.  A
+dimension over the bound is joined by shuffle, and the fact is aggregated at
+station grain first (partial and final), so only that result is shuffled
+for the join, and a hot station is collapsed map-side.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from meteomart.functions import exact_avg_round
-from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
+from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS, row_count_at_most
 
 
 def _asc(name):
@@ -24,45 +25,64 @@ def _desc(name):
     return F.col(name).desc_nulls_first()
 
 
-def _stations(station: DataFrame, attrs, max_rows: int) -> DataFrame:
-    return bounded_broadcast(station.select("station_sk", *attrs), max_rows)
+def _rolled_up(fact: DataFrame, grain: list[str], keys: list[str], sums: dict, finals: dict,
+               dims: list[tuple[DataFrame, str]], max_rows: int) -> DataFrame:
+    """Sum the fact by ``keys`` of its dimensions (``dims``: table, join column).
+
+    ``sums`` (name -> aggregate over fact rows) are computed at ``grain`` when a
+    dimension is large, and ``finals`` merge them; else both in one grouping.
+    """
+    small = [row_count_at_most(d, max_rows) for d, _ in dims]
+    rows = fact if all(small) else fact.groupBy(*grain).agg(*[c.alias(n) for n, c in sums.items()])
+    for (d, on), fits in zip(dims, small, strict=True):
+        rows = rows.join(F.broadcast(d) if fits else d.hint("merge"), on)
+    if all(small):
+        rows = rows.groupBy(*keys).agg(*[c.alias(n) for n, c in sums.items()])
+        return rows.select(*keys, *[c(lambda n: F.col(n)).alias(o) for o, c in finals.items()])
+    merge = {n: (lambda n=n: F.max(n) if n.startswith("max_") else F.sum(n)) for n in sums}
+    return rows.groupBy(*keys).agg(*[c(lambda n: merge[n]()).alias(o) for o, c in finals.items()])
 
 
 def rain_by_station_month(fact: DataFrame, station: DataFrame, calendar: DataFrame,
                           max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Rain volume and reading count per month, region, state and station."""
-    part = (fact.groupBy("station_sk", "date_sk")
-            .agg(F.sum("precipitacao_mm").alias("p"), F.count(F.lit(1)).alias("n")))
-    months = bounded_broadcast(calendar.select("date_sk", "ano_mes"), max_rows)
-    out = (part.join(_stations(station, ["regiao", "uf", "nome_estacao"], max_rows), "station_sk")
-               .join(months, "date_sk")
-               .groupBy("ano_mes", "regiao", "uf", "nome_estacao")
-               .agg(F.round(F.sum("p"), 2).alias("precipitacao_total_mm"),
-                    F.sum("n").alias("leituras")))
+    out = _rolled_up(
+        fact, ["station_sk", "date_sk"], ["ano_mes", "regiao", "uf", "nome_estacao"],
+        {"p": F.sum("precipitacao_mm"), "n": F.count(F.lit(1))},
+        {"precipitacao_total_mm": lambda v: F.round(v("p"), 2), "leituras": lambda v: v("n")},
+        [(station.select("station_sk", "regiao", "uf", "nome_estacao"), "station_sk"),
+         (calendar.select("date_sk", "ano_mes"), "date_sk")], max_rows)
     return out.orderBy(_asc("ano_mes"), _desc("precipitacao_total_mm"))
 
 
+_MEANS = {"st": ("sum", "temperatura_c"), "ct": ("count", "temperatura_c"),
+          "sh": ("sum", "umidade_pct"), "ch": ("count", "umidade_pct")}
+
+
+def _mean_sums() -> dict:
+    return {n: getattr(F, f)(c) for n, (f, c) in _MEANS.items()}
+
+
+def _mean_finals() -> dict:
+    return {"temperatura_media_c": lambda v: exact_avg_round(v("st"), v("ct")),
+            "umidade_media_pct": lambda v: exact_avg_round(v("sh"), v("ch"))}
+
+
 def temp_humidity_by_day(fact: DataFrame, station: DataFrame,
                          max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Daily mean temperature and humidity per state, rounded half-up exactly."""
-    part = (fact.groupBy("station_sk", "data_referencia")
-            .agg(F.sum("temperatura_c").alias("st"), F.count("temperatura_c").alias("ct"),
-                 F.sum("umidade_pct").alias("sh"), F.count("umidade_pct").alias("ch")))
-    out = (part.join(_stations(station, ["uf"], max_rows), "station_sk")
-               .groupBy("data_referencia", "uf")
-               .agg(exact_avg_round(F.sum("st"), F.sum("ct")).alias("temperatura_media_c"),
-                    exact_avg_round(F.sum("sh"), F.sum("ch")).alias("umidade_media_pct")))
+    out = _rolled_up(fact, ["station_sk", "data_referencia"], ["data_referencia", "uf"], _mean_sums(), _mean_finals(),
+                     [(station.select("station_sk", "uf"), "station_sk")], max_rows)
     return out.orderBy(_asc("data_referencia"), _asc("uf"))
 
 
 def heavy_rain_events(fact: DataFrame, station: DataFrame,
                       max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Heavy-rain readings per day and region (operational alert)."""
-    part = (fact.where(F.col("intensidade_chuva") == "chuva_intensa")
-            .groupBy("station_sk", "data_referencia").agg(F.count(F.lit(1)).alias("n")))
-    out = (part.join(_stations(station, ["regiao"], max_rows), "station_sk")
-               .groupBy("data_referencia", "regiao")
-               .agg(F.sum("n").alias("eventos_chuva_intensa")))
+    out = _rolled_up(fact.where(F.col("intensidade_chuva") == "chuva_intensa"),
+                     ["station_sk", "data_referencia"], ["data_referencia", "regiao"],
+                     {"n": F.count(F.lit(1))}, {"eventos_chuva_intensa": lambda v: v("n")},
+                     [(station.select("station_sk", "regiao"), "station_sk")], max_rows)
     return out.orderBy(_asc("data_referencia"), _desc("eventos_chuva_intensa"))
 
 
@@ -72,30 +92,22 @@ WIND_ALERT_CLASSES = ["vento_forte", "vento_tempestade"]
 def wind_risk_events(fact: DataFrame, station: DataFrame,
                      max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Strong-gust readings per day, region and risk class (field-work risk)."""
-    part = (fact.where(F.col("risco_vento").isin(WIND_ALERT_CLASSES))
-            .groupBy("station_sk", "data_referencia", "risco_vento")
-            .agg(F.count(F.lit(1)).alias("n")))
-    out = (part.join(_stations(station, ["regiao"], max_rows), "station_sk")
-               .groupBy("data_referencia", "regiao", "risco_vento")
-               .agg(F.sum("n").alias("eventos_vento")))
+    out = _rolled_up(fact.where(F.col("risco_vento").isin(WIND_ALERT_CLASSES)),
+                     ["station_sk", "data_referencia", "risco_vento"], ["data_referencia", "regiao", "risco_vento"],
+                     {"n": F.count(F.lit(1))}, {"eventos_vento": lambda v: v("n")},
+                     [(station.select("station_sk", "regiao"), "station_sk")], max_rows)
     return out.orderBy(_asc("data_referencia"), _desc("eventos_vento"))
 
 
 def state_climate_summary(fact: DataFrame, station: DataFrame,
                           max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Per-state humidity, rain, gust and temperature (map panels)."""
-    part = (fact.groupBy("station_sk")
-            .agg(F.count(F.lit(1)).alias("n"),
-                 F.sum("temperatura_c").alias("st"), F.count("temperatura_c").alias("ct"),
-                 F.sum("umidade_pct").alias("sh"), F.count("umidade_pct").alias("ch"),
-                 F.sum("precipitacao_mm").alias("sp"), F.max("vento_rajada_ms").alias("mg")))
-    out = (part.join(_stations(station, ["uf"], max_rows), "station_sk")
-               .groupBy("uf")
-               .agg(F.sum("n").alias("leituras"),
-                    exact_avg_round(F.sum("st"), F.sum("ct")).alias("temperatura_media_c"),
-                    exact_avg_round(F.sum("sh"), F.sum("ch")).alias("umidade_media_pct"),
-                    F.round(F.sum("sp"), 2).alias("precipitacao_total_mm"),
-                    F.max("mg").alias("rajada_maxima_ms")))
+    out = _rolled_up(
+        fact, ["station_sk"], ["uf"],
+        {"n": F.count(F.lit(1)), **_mean_sums(), "sp": F.sum("precipitacao_mm"), "max_gust": F.max("vento_rajada_ms")},
+        {"leituras": lambda v: v("n"), **_mean_finals(),
+         "precipitacao_total_mm": lambda v: F.round(v("sp"), 2), "rajada_maxima_ms": lambda v: v("max_gust")},
+        [(station.select("station_sk", "uf"), "station_sk")], max_rows)
     return out.orderBy(_asc("uf"))
 
 

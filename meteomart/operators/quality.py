@@ -51,12 +51,9 @@ def select_resolved(raw: DataFrame) -> DataFrame:
                         for canon, actual in resolved.items() if actual is not None])
 
 
-def validation_sample(raw: DataFrame, sample_rows: int | None = None) -> DataFrame:
-    """Rows validated.  Default: the whole table.  ``sample_rows=n`` reproduces
-    the upstream capped read (``data IS NOT NULL`` then any ``n`` rows)."""
-    if sample_rows is None:
-        return raw
-    return raw.where(F.col("data").isNotNull()).limit(sample_rows)
+def validated_rows(raw: DataFrame) -> DataFrame:
+    """The rows that upstream's validation reads: those with a date, all of them."""
+    return raw.where(F.col("data").isNotNull())
 
 
 def _q(name: str) -> str:
@@ -96,43 +93,47 @@ def _numeric_sql(col: str, strict_dot: bool) -> str:
     return f"try_cast({text} AS DOUBLE)"
 
 
-def raw_suite(raw: DataFrame, min_rows: int = K.MIN_EXPECTED_ROWS,
-              max_rows: int = K.MAX_EXPECTED_ROWS, strict_dot: bool = False,
-              sample_rows: int | None = None) -> DataFrame:
-    """Run every raw expectation; one row per expectation, in suite order.
+COLUMNS_EXIST, NOT_NULL, BETWEEN, ROW_COUNT = (
+    "expect_column_to_exist", "expect_column_values_to_not_be_null",
+    "expect_column_values_to_be_between", "expect_table_row_count_to_be_between")
 
-    One global aggregate (partial per task, a single tiny merge) computes all
-    counts; the expectation rows are then unpivoted from that one row.
+
+def raw_suite(raw: DataFrame, min_rows: int = K.MIN_EXPECTED_ROWS, max_rows: int | None = None,
+              strict_dot: bool = False, only: str | None = None) -> DataFrame:
+    """Run the raw expectations; one row per expectation, in suite order.
+
+    One global aggregate (partial per task, a single tiny merge) computes the
+    counts of the rules asked for (``only``: one kind); the expectation rows are
+    then unpivoted from that one row.  Column existence needs no scan.
     """
     resolved = resolve_columns(raw.columns)
-    data = validation_sample(raw, sample_rows)
-    total_rows = None if sample_rows is None else raw.count()
+    asked = lambda kind: only in (None, kind)
 
-    aggs = ["count(1) AS n"]
+    aggs = ["count(1) AS n"] if only != COLUMNS_EXIST else []
     for i, canon in enumerate(K.NOT_NULL_COLUMNS):
-        if resolved[canon]:
+        if resolved[canon] and asked(NOT_NULL):
             aggs.append(f"count_if({_q(resolved[canon])} IS NULL) AS null_{i}")
     for i, (canon, lo, hi, _) in enumerate(K.RANGE_RULES):
         actual = resolved[canon]
-        if not actual:
+        if not actual or not asked(BETWEEN):
             continue
         num = _numeric_sql(actual, strict_dot)
         outside = " OR ".join([f"{num} < {lo}"] * (lo is not None) + [f"{num} > {hi}"] * (hi is not None))
         aggs.append(f"count_if({num} IS NULL) AS miss_{i}")
         aggs.append(f"count_if({num} IS NOT NULL AND ({outside})) AS bad_{i}")
-    agg = data.selectExpr(*aggs)
+    # Without counts one constant row is enough.
+    agg = raw.selectExpr(*aggs) if aggs else raw.sparkSession.range(1)
 
     rows, idx = [], 0
     for canon, aliases in K.REQUIRED_COLUMNS:
         idx += 1
-        rows.append(_row(idx, "expect_column_to_exist", resolved[canon] or aliases[0],
-                         success=resolved[canon] is not None))
+        rows.append((COLUMNS_EXIST, _row(idx, COLUMNS_EXIST, resolved[canon] or aliases[0],
+                                         success=resolved[canon] is not None)))
     for i, canon in enumerate(K.NOT_NULL_COLUMNS):
         if resolved[canon]:
             idx += 1
-            rows.append(_row(idx, "expect_column_values_to_not_be_null", resolved[canon],
-                             element="n", missing=f"null_{i}", unexpected=f"null_{i}",
-                             success=f"null_{i} = 0"))
+            rows.append((NOT_NULL, _row(idx, NOT_NULL, resolved[canon], element="n", missing=f"null_{i}",
+                                        unexpected=f"null_{i}", success=f"null_{i} = 0")))
     for i, (canon, lo, hi, mostly) in enumerate(K.RANGE_RULES):
         actual = resolved[canon]
         if not actual:
@@ -141,16 +142,14 @@ def raw_suite(raw: DataFrame, min_rows: int = K.MIN_EXPECTED_ROWS,
         nonnull = f"(n - miss_{i})"
         ok = (f"{nonnull} = 0 OR CAST({nonnull} - bad_{i} AS DOUBLE) / CAST({nonnull} AS DOUBLE)"
               f" >= CAST({float(mostly)!r} AS DOUBLE)")
-        rows.append(_row(idx, "expect_column_values_to_be_between", actual,
-                         None if lo is None else float(lo), None if hi is None else float(hi),
-                         float(mostly), element="n", missing=f"miss_{i}", unexpected=f"bad_{i}",
-                         success=ok))
+        rows.append((BETWEEN, _row(idx, BETWEEN, actual, None if lo is None else float(lo),
+                                   None if hi is None else float(hi), float(mostly), element="n",
+                                   missing=f"miss_{i}", unexpected=f"bad_{i}", success=ok)))
     idx += 1
-    observed = "n" if total_rows is None else str(int(total_rows))
-    rows.append(_row(idx, "expect_table_row_count_to_be_between", None, float(min_rows),
-                     float(max_rows), observed=observed,
-                     success=f"{observed} >= {int(min_rows)} AND {observed} <= {int(max_rows)}"))
-    return agg.selectExpr(f"inline(array({', '.join(rows)}))")
+    below = "" if max_rows is None else f" AND n <= {int(max_rows)}"
+    rows.append((ROW_COUNT, _row(idx, ROW_COUNT, None, float(min_rows), None if max_rows is None else float(max_rows),
+                                 observed="n", success=f"n >= {int(min_rows)}{below}")))
+    return agg.selectExpr(f"inline(array({', '.join(r for kind, r in rows if asked(kind))}))")
 
 
 def suite_report(results: DataFrame) -> dict:

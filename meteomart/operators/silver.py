@@ -9,18 +9,6 @@ from meteomart.functions import (
     clean_decimal, clean_text, local_time, validated_time,
 )
 
-# Raw columns the silver projection reads.
-RAW_INPUT_COLUMNS = [
-    "meta_codigo_wmo", "meta_estacao", "meta_uf", "meta_regiao",
-    "meta_latitude", "meta_longitude", "meta_altitude",
-    "data", "hora_referencia",
-    "temperatura_do_ar_bulbo_seco_horaria", "umidade_relativa_do_ar_horaria",
-    "precipitacao_total_horario", "vento_velocidade_horaria_m_s",
-    "vento_direcao_horaria_gr_gr", "vento_rajada_maxima_m_s",
-    "pressao_atmosferica_ao_nivel_da_estacao_horaria_mb",
-    "source_year", "source_file", "loaded_at",
-]
-
 # silver column -> (raw column, precision, scale)
 MEASURES = [
     ("temperatura_c", "temperatura_do_ar_bulbo_seco_horaria", 10, 2),

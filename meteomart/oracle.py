@@ -8,7 +8,7 @@ both sides so values hash alike.
 from __future__ import annotations
 
 from meteomart import constants as K
-from meteomart.sources.proxy import PROXY_FROM_SQL, PROXY_SELECT_SQL
+from meteomart.sources.proxy import PROXY_COLUMNS, PROXY_FROM_SQL, PROXY_SELECT_SQL
 
 S = K.SURROGATE_KEY_NULL
 
@@ -208,16 +208,20 @@ def _suite_sql(min_rows=K.MIN_EXPECTED_ROWS, max_rows=K.MAX_EXPECTED_ROWS) -> st
     return f"WITH {RAW_CTE},\n{agg}\nSELECT * FROM ({body}) t({cols})"
 
 
+# Raw names that a written header gives, where they differ from the proxy's.
+FILE_COLUMN: dict[str, str] = {}
+
+
 def oracle_queries() -> dict[str, str]:
     q: dict[str, str] = {}
     # ---- raw layer -------------------------------------------------------
     q["raw_scan"] = _raw_with("SELECT * FROM raw")
-    q["year_filter"] = _raw_with("SELECT * FROM raw WHERE source_year IN ('2023', '2024')")
+    q["year_filter"] = ("SELECT o_orderkey, cast(year(o_orderdate) as varchar) AS source_year FROM orders "
+                        "WHERE year(o_orderdate) IN (1996, 1998)")
     q["row_count"] = _raw_with("SELECT count(*) AS row_count FROM raw")
-    q["validation_sample"] = _raw_with(
-        f"SELECT * FROM raw WHERE data IS NOT NULL LIMIT {K.VALIDATION_SAMPLE_ROWS}")
+    q["validation_sample"] = _raw_with("SELECT * FROM raw WHERE data IS NOT NULL")
     q["normalize_header"] = (
-        "SELECT c_custkey, c_name, trim(regexp_replace(lower(c_name), '[^a-z0-9]+', '_', 'g'), '_') AS c_name_norm, "
+        "SELECT c_custkey, c_name, trim(regexp_replace(lower(strip_accents('Precipitação É ' || c_name || ' (°/ü)')), '[^a-z0-9]+', '_', 'g'), '_') AS c_name_norm, "
         "c_mktsegment, trim(regexp_replace(lower(c_mktsegment), '[^a-z0-9]+', '_', 'g'), '_') AS segment_norm "
         "FROM customer")
     q["coerce_date"] = (
@@ -348,11 +352,50 @@ def oracle_queries() -> dict[str, str]:
     av = " UNION ALL ".join(
         f"SELECT '{m}' AS model, '{c}' AS column_name, cast({c} as varchar) AS value_field, count(*) AS n_records "
         f"FROM {table[m]} WHERE {c} IS NOT NULL AND {c} NOT IN ("
-        + ", ".join(repr(v) for v in vals) + f") GROUP BY {c}"
+        + ", ".join(repr(v) for v in vals[:-1]) + f") GROUP BY {c}"
         for m, c, vals in K.ACCEPTED_VALUES_TESTS)
     q["test_accepted_values"] = _with(av)
     q["assert_humidity_range"] = _with(
         f"{FACT_DOUBLE} FROM (SELECT * FROM fact WHERE umidade_pct < 0 OR umidade_pct > 100) f")
     q["assert_no_future_dates"] = _with(
-        f"{FACT_DOUBLE} FROM (SELECT * FROM fact WHERE data_referencia > current_date) f")
+        f"{FACT_DOUBLE} FROM (SELECT * FROM fact WHERE data_referencia > DATE '2024-01-15') f")
+    # ---- through the file reader -------------------------------------------
+    norm = "trim(regexp_replace(lower({0}), '[^a-z0-9]+', '_', 'g'), '_')"
+    name, segment = norm.format("c_name"), norm.format("c_mktsegment")
+    q["resolved_headers"] = " UNION ALL ".join(
+        f"SELECT c_custkey, {i} AS position, {e} AS name FROM customer" for i, e in (
+            (0, "'data'"), (1, "'hora'"), (2, name), (3, f"{name} || '_1'"), (5, segment),
+            (6, "'umidade_relativa_do_ar_horaria'")))
+    fields = ["precipitacao_total_horario", "pressao_atmosferica_ao_nivel_da_estacao_horaria_mb",
+              "temperatura_do_ar_bulbo_seco_horaria", "umidade_relativa_do_ar_horaria",
+              "vento_direcao_horaria_gr_gr", "vento_rajada_maxima_m_s", "vento_velocidade_horaria_m_s"]
+    line = "concat_ws(';', " + ", ".join(
+        ["coalesce(replace(data, '-', '/'), '')", "coalesce(substr(hora_referencia, 1, 2) || '00 UTC', '')"]
+        + [f"coalesce({f}, '')" for f in fields]) + ") || ';'"
+    meta = [c for c, _ in PROXY_COLUMNS if c.startswith("meta_")]
+    # Nine lines (preamble and header) come before the first reading.
+    q["station_rows_from_files"] = _raw_with(
+        f"SELECT source_year, source_file, data, hora_referencia, {', '.join(meta)}, "
+        f"{', '.join(f'{_na(f)} AS {FILE_COLUMN.get(f, f)}' for f in fields)}, "
+        "9 + row_number() OVER (PARTITION BY source_year, source_file ORDER BY "
+        f"coalesce(data, '') || '|' || coalesce(hora_referencia, ''), {line}) AS line_no FROM raw")
+    bad = "(source_file LIKE '%7.csv' OR coalesce(data LIKE '%-05', false))"
+    q["ingestion_log_files"] = _raw_with(
+        "SELECT 'full_refresh' AS load_mode, cast(source_year as integer) AS source_year, source_file, "
+        f"cast(count_if(NOT {bad}) as integer) AS rows_loaded, count_if({bad})::BIGINT AS rows_quarantined, "
+        f"CASE WHEN count_if(NOT {bad}) > 0 THEN 'success' ELSE 'quarantined' END AS status "
+        "FROM raw GROUP BY source_year, source_file "
+        "UNION ALL SELECT 'full_refresh', 1900, '1900.zip', 0, 0, 'error'")
+    q["load_modes"] = _raw_with(
+        "SELECT step, rows_loaded, n_rows, n_files FROM (SELECT count(*) AS n_rows, "
+        "count(DISTINCT source_year || '/' || source_file) AS n_files FROM raw) c, "
+        "LATERAL (VALUES ('1 refresh', n_rows), ('2 failed refresh', 0), ('3 incremental', 0)) s(step, rows_loaded)")
+    singles = {"assert_humidity_range": "umidade_pct < 0 OR umidade_pct > 100", "assert_no_future_dates": "data_referencia > DATE '2024-01-15'"}
+    tests = {"unique": f"SELECT count(*) FROM ({uniq}) u", "not_null": f"SELECT sum(failures) FROM ({nn}) u",
+             "accepted_values": "SELECT 0", **{k: f"SELECT count(*) FROM fact WHERE {w}" for k, w in singles.items()}}
+    met = f"(SELECT count_if(success) FROM ({suite}) s)"
+    failed = f"(SELECT count_if(NOT success) FROM ({suite}) s)"
+    q["pipeline_report"] = _with(
+        f"SELECT 'validate' AS stage, 'met' AS name, {met}::BIGINT AS n UNION ALL SELECT 'validate', 'failed', {failed}::BIGINT "
+        + " ".join(f"UNION ALL SELECT 'test', '{k}', ({v})::BIGINT" for k, v in tests.items()))
     return q

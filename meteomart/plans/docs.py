@@ -42,12 +42,13 @@ TABLE_COMMENTS = {
 
 
 def with_comments(df: DataFrame, table: str | None = None) -> DataFrame:
+    """Column descriptions on every known column; the relation's on its first column."""
     cols = []
     for f in df.schema.fields:
         meta = dict(f.metadata or {})
         if f.name in COLUMN_COMMENTS:
             meta["comment"] = COLUMN_COMMENTS[f.name]
-        if table and table in TABLE_COMMENTS:
-            meta.setdefault("table_comment", TABLE_COMMENTS[table])
+        if table in TABLE_COMMENTS and not cols:
+            meta["table_comment"] = TABLE_COMMENTS[table]
         cols.append(F.col(f.name).alias(f.name, metadata=meta))
     return df.select(*cols)

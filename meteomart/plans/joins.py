@@ -13,10 +13,10 @@ DEFAULT_BROADCAST_MAX_ROWS = 200_000
 def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows.
 
-    Counts at most ``max_rows + 1`` rows, so the check stays cheap when the
-    side is large; call it on a materialised (written/checkpointed) side.
+    A plain count: a written side answers it from its Parquet footers, and no
+    task ever receives the rows.  Call it on a written side.
     """
-    return df.limit(max_rows + 1).count() <= max_rows
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:

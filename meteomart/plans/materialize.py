@@ -18,6 +18,8 @@ def new_scratch(df_or_spark) -> str:
     return f"{checkpoint_root(spark).rstrip('/')}/meteomart-{uuid.uuid4().hex}"
 
 
-def write_and_reread(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def write_and_reread(df: DataFrame, path: str, *partitions: str) -> DataFrame:
+    """With ``partitions`` the folders keep the columns' types and order."""
+    df.write.mode("overwrite").partitionBy(*partitions).parquet(path)
+    read = df.sparkSession.read
+    return read.schema(df.schema).parquet(path).select(*df.columns) if partitions else read.parquet(path)

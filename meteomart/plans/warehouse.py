@@ -50,11 +50,11 @@ def build_gold(raw: DataFrame, root: str | None = None, on_bad: str = "error",
     root = root or new_scratch(raw)
     path_of = path_of or (lambda layer, name: f"{root}/{layer}/{name}")
 
-    def save(df, layer, name):
-        return write_and_reread(with_comments(df, name), path_of(layer, name))
+    def save(df, layer, name, *partitions):
+        return write_and_reread(with_comments(df, name), path_of(layer, name), *partitions)
 
     stg = save(silver if silver is not None else stg_weather(raw, on_bad),
-               "silver", "stg_inmet_weather")
+               "silver", "stg_inmet_weather", "source_year")
     # The three dimensions only read silver: submit them as concurrent jobs so
     # small stages and stragglers of one overlap with the others.
     with ThreadPoolExecutor(max_workers=3) as pool:
@@ -63,5 +63,5 @@ def build_gold(raw: DataFrame, root: str | None = None, on_bad: str = "error",
                    pool.submit(save, G.dim_time(stg), "gold", "dim_time")]
         station, calendar, time_dim = [f.result() for f in futures]
     fact = save(G.fact_weather_hourly(stg, station, calendar, time_dim, broadcast_max_rows),
-                "gold", "fact_weather_hourly")
+                "gold", "fact_weather_hourly", "source_year")
     return Gold(stg, station, calendar, time_dim, fact, root)

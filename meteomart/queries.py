@@ -8,6 +8,8 @@ so results compare with the DuckDB oracle (``meteomart.oracle``).
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,20 +26,33 @@ from meteomart.operators import marts as M
 from meteomart.operators import quality as Q
 from meteomart.operators.silver import stg_weather
 from meteomart.oracle import DATE_TEXT_SQL, HOUR_TEXT_SQL, UNION_SPLIT_SQL, WIND_PRESSURE
+from meteomart.plans import pipeline as P
+from meteomart.plans.materialize import new_scratch, write_and_reread
 from meteomart.plans.warehouse import Gold, build_gold
 from meteomart.session import configure
-from meteomart.sources.proxy import proxy_raw, read_table
+from meteomart.sources import station_files as SF
+from meteomart.sources.proxy import proxy_raw, read_table, write_station_files
 
-# Gold layers built per (application, sf_dir): later queries in the same
-# session read the written tables instead of rebuilding them.
-_GOLD: dict = {}
 PROXY_LOAD_ID = "proxy-initial-load"
 PROXY_LOADED_AT = "2024-02-01 06:00:00"
+FIXED_TODAY = date(2024, 1, 15)          # inside the events' dates, so that some are "future"
+MISSING_YEAR = 1900
+# Rows written with a field too many: whole files and single days.
+DAMAGED = "source_file LIKE '%7.csv' OR data LIKE '%-05'"
+
+# Gold layers by application and state of the input files: the queries of one
+# session share a build as long as the input is the same.
+_GOLD: dict = {}
 
 
-def clear_cache() -> None:
-    _GOLD.clear()
-    _PLANS.clear()
+def _input_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """Name, time and length of the files that the proxy reads."""
+    state = []
+    for name in ("events", "customer", "nation", "region"):
+        path, fs = SF._fs_path(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+        for f in fs.listStatus(path):
+            state.append((f.getPath().toString(), f.getModificationTime(), f.getLen()))
+    return (spark.sparkContext.applicationId, *sorted(state))
 
 
 def as_double(df: DataFrame) -> DataFrame:
@@ -46,36 +61,26 @@ def as_double(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-_PLANS: dict = {}
-
-
-def _plan(spark: SparkSession, sf_dir: str, name: str, build):
-    """A DataFrame definition reused within a session (a plan, not data)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), name)
-    if key not in _PLANS:
-        _PLANS[key] = build()
-    return _PLANS[key]
-
-
 def raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     configure(spark)
-    return _plan(spark, sf_dir, "raw", lambda: proxy_raw(spark, sf_dir))
+    return proxy_raw(spark, sf_dir)
 
 
 def build(spark: SparkSession, sf_dir: str) -> Gold:
     """Write silver, dimensions and fact for ``sf_dir`` (a fresh build every call)."""
-    return build_gold(raw(spark, sf_dir), silver=_stg(spark, sf_dir))
+    return build_gold(raw(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str) -> Gold:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = _input_state(spark, sf_dir)
     if key not in _GOLD:
+        _GOLD.clear()
         _GOLD[key] = build(spark, sf_dir)
     return _GOLD[key]
 
 
 def _stg(spark, sf_dir):
-    return _plan(spark, sf_dir, "stg", lambda: stg_weather(raw(spark, sf_dir)))
+    return stg_weather(raw(spark, sf_dir))
 
 
 def _proxy_log(batch: DataFrame) -> DataFrame:
@@ -88,7 +93,9 @@ def q_raw_scan(spark, sf):
 
 
 def q_year_filter(spark, sf):
-    return L.filter_years(raw(spark, sf), py_parse_years("2023, 2024"))
+    """Two years of the orders' seven."""
+    orders = read_table(spark, sf, "orders").select("o_orderkey", F.year("o_orderdate").cast("string").alias("source_year"))
+    return L.filter_years(orders, py_parse_years("1996, ,1998"))
 
 
 def q_row_count(spark, sf):
@@ -96,15 +103,30 @@ def q_row_count(spark, sf):
 
 
 def q_validation_sample(spark, sf):
-    return Q.validation_sample(raw(spark, sf), K.VALIDATION_SAMPLE_ROWS)
+    return Q.validated_rows(raw(spark, sf))
 
 
 def q_normalize_header(spark, sf):
     c = read_table(spark, sf, "customer")
-    return c.select("c_custkey", "c_name", normalize_col(F.col("c_name")).alias("c_name_norm"),
+    accented = F.concat(F.lit("Precipitação É "), F.col("c_name"), F.lit(" (°/ü)"))
+    return c.select("c_custkey", "c_name", normalize_col(accented).alias("c_name_norm"),
                     "c_mktsegment", normalize_col(F.col("c_mktsegment")).alias("segment_norm"))
 
 
+def header_of_customer(c: DataFrame) -> DataFrame:
+    """A header line for each customer: both hour names, a repeated, a blank and an unnamed field."""
+    hour = F.when(F.col("c_custkey") % 2 == 0, "Hora UTC").otherwise("HORA (UTC)")
+    fields = [F.lit("DATA (YYYY-MM-DD)"), hour, F.col("c_name"), F.col("c_name"), F.lit(""), F.col("c_mktsegment"),
+              F.lit("UMIDADE RELATIVA DO AR, HORARIA (%)"), F.lit("")]
+    return c.select("c_custkey", F.array_join(F.array(*fields), ";").alias("header_line"))
+
+
+def q_resolved_headers(spark, sf):
+    h = header_of_customer(read_table(spark, sf, "customer"))
+    return (h.select("c_custkey", F.posexplode(SF.resolved_names(F.col("header_line"))).alias("position", "name"))
+            .where("name IS NOT NULL"))
+
+
 def q_coerce_date(spark, sf):
     o = read_table(spark, sf, "orders").alias("o").selectExpr("o.o_orderkey", f"{DATE_TEXT_SQL} AS txt")
     return o.select("o_orderkey", "txt", coerce_date(F.col("txt")).alias("data"))
@@ -275,9 +297,8 @@ def q_station_map(spark, sf):
     return as_double(M.station_map(gold(spark, sf).dim_station))
 
 
-def _suite(spark, sf, etype=None):
-    res = Q.raw_suite(raw(spark, sf))
-    return res if etype is None else res.where(F.col("expectation_type") == etype)
+def _suite(spark, sf, only=None):
+    return Q.raw_suite(raw(spark, sf), max_rows=K.MAX_EXPECTED_ROWS, only=only)
 
 
 def q_dq_suite(spark, sf):
@@ -285,19 +306,19 @@ def q_dq_suite(spark, sf):
 
 
 def q_dq_columns_exist(spark, sf):
-    return _suite(spark, sf, "expect_column_to_exist")
+    return _suite(spark, sf, Q.COLUMNS_EXIST)
 
 
 def q_dq_not_null(spark, sf):
-    return _suite(spark, sf, "expect_column_values_to_not_be_null")
+    return _suite(spark, sf, Q.NOT_NULL)
 
 
 def q_dq_between(spark, sf):
-    return _suite(spark, sf, "expect_column_values_to_be_between")
+    return _suite(spark, sf, Q.BETWEEN)
 
 
 def q_dq_row_count(spark, sf):
-    return _suite(spark, sf, "expect_table_row_count_to_be_between")
+    return _suite(spark, sf, Q.ROW_COUNT)
 
 
 def q_test_unique(spark, sf):
@@ -309,7 +330,9 @@ def q_test_not_null(spark, sf):
 
 
 def q_test_accepted_values(spark, sf):
-    return Q.test_accepted_values(gold(spark, sf).models())
+    # Each list lacks its last value, so that there are rows outside it.
+    tests = [(m, c, values[:-1]) for m, c, values in K.ACCEPTED_VALUES_TESTS]
+    return Q.test_accepted_values(gold(spark, sf).models(), tests)
 
 
 def q_assert_humidity_range(spark, sf):
@@ -317,7 +340,66 @@ def q_assert_humidity_range(spark, sf):
 
 
 def q_assert_no_future_dates(spark, sf):
-    return as_double(Q.assert_no_future_dates(gold(spark, sf).fact))
+    return as_double(Q.assert_no_future_dates(gold(spark, sf).fact, FIXED_TODAY))
+
+
+# ---------------------------------------------------------------------------
+# Station files written from the tables, then loaded through the file reader.
+# ---------------------------------------------------------------------------
+def _from_files(spark: SparkSession, sf: str, damaged: str = "false") -> tuple[P.PipelineConfig, P.Tables]:
+    root = new_scratch(spark)
+    years = write_station_files(raw(spark, sf), f"{root}/files", damaged)
+    cfg = P.PipelineConfig(f"{root}/files", f"{root}/warehouse", years=years)
+    return cfg, P.Tables(cfg.warehouse)
+
+
+def _station():
+    """The station's name, which the written files have as a folder."""
+    return F.regexp_extract("source_file", "source_file=([^/]+)/", 1)
+
+
+def q_station_rows_from_files(spark, sf):
+    cfg, tables = _from_files(spark, sf)
+    P.ingest(spark, cfg)
+    rows = P.read_raw(spark, tables).drop("load_id", "loaded_at", "meta_data_de_fundacao", "hora")
+    return rows.withColumn("source_file", _station()).withColumn("line_no", F.col("line_no").cast("long"))
+
+
+def q_ingestion_log_files(spark, sf):
+    """A load with damaged rows, and a year without files."""
+    cfg, tables = _from_files(spark, sf, DAMAGED)
+    P.ingest(spark, replace(cfg, years=[*cfg.years, MISSING_YEAR]))
+    station = F.when(F.col("status") == K.LOG_STATUS_ERROR, F.col("source_file")).otherwise(_station())
+    return P.read_log(spark, tables).select("load_mode", "source_year", station.alias("source_file"),
+                                            "rows_loaded", "rows_quarantined", "status")
+
+
+def q_load_modes(spark, sf):
+    """Rows and files visible after a refresh, a failed refresh, and an incremental load."""
+    cfg, tables = _from_files(spark, sf)
+    steps = [("1 refresh", cfg), ("2 failed refresh", replace(cfg, years=[MISSING_YEAR, *cfg.years])),
+             ("3 incremental", replace(cfg, load_mode="incremental"))]
+    out = None
+    for name, step in steps:
+        loaded = P.ingest(spark, step).rows_loaded
+        seen = cut_rows(P.read_raw(spark, tables).agg(
+            F.lit(name).alias("step"), F.lit(loaded).cast("long").alias("rows_loaded"), F.count(F.lit(1)).alias("n_rows"),
+            F.count_distinct("source_year", "source_file").alias("n_files")))
+        out = seen if out is None else out.unionByName(seen)
+    return out
+
+
+def cut_rows(df: DataFrame) -> DataFrame:
+    return write_and_reread(df, new_scratch(df))
+
+
+def q_pipeline_report(spark, sf):
+    """What the gates of a run find: expectations met and failed, failures of each gold test."""
+    suite = _suite(spark, sf).groupBy().agg(F.count_if("success").alias("met"), F.count_if(~F.col("success")).alias("failed"))
+    one = suite.select(F.explode(F.array(*[F.struct(F.lit("validate").alias("stage"), F.lit(n).alias("name"), F.col(n).alias("n"))
+                                           for n in ("met", "failed")])).alias("r")).select("r.*")
+    failures = Q.gold_test_failures(gold(spark, sf).models(), FIXED_TODAY)
+    return one.unionByName(spark.createDataFrame([("test", k, v) for k, v in failures.items()], "stage string, name string, n long"))
 
 
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from meteomart.plans.partitioning import ensure_parallelism
-
+from meteomart import constants as K
 
 # (raw column, SQL expression over aliases e, c, n, r).  Fixed fixture rules.
-_STATES = "ACALAPBACEDFESGOMAMGPAPBPEPIPRRJRNRORRRSSCSESPTOMSMTAMZZ"
+_STATES = "".join(K.UF_TIMEZONE) + "ZZ"                # and one that no table knows
 
 
 def _comma(expr: str) -> str:
@@ -29,7 +28,7 @@ def _dec(expr: str, p: int, s: int) -> str:
 PROXY_COLUMNS = [
     ("meta_codigo_wmo", "concat(';A', cast(e.user_id as string))"),
     ("meta_estacao", "concat(';', c.c_name)"),
-    ("meta_uf", f"concat(';', substr('{_STATES}', cast(1 + 2*(c.c_custkey % 28) as int), 2))"),
+    ("meta_uf", f"concat(';', substr('{_STATES}', cast(1 + 2*(c.c_custkey % {len(_STATES) // 2}) as int), 2))"),
     ("meta_regiao", "concat(';', r.r_name)"),
     ("meta_latitude",
      f"concat(';', {_comma(_dec('-33 + ((c.c_custkey*7919) % 340000) * 0.0001', 10, 6))})"),
@@ -72,21 +71,13 @@ PROXY_SELECT_SQL = ",\n  ".join(f"{expr} AS {name}" for name, expr in PROXY_COLU
 
 
 
-_TABLES: dict = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table, loaded once per session (the DataFrame is only a plan)."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def proxy_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All-text raw weather rows, one per event (see module doc)."""
-    e = ensure_parallelism(read_table(spark, sf_dir, "events")).alias("e")
+    e = read_table(spark, sf_dir, "events").alias("e")
     c = read_table(spark, sf_dir, "customer").alias("c")
     n = read_table(spark, sf_dir, "nation").alias("n")
     r = read_table(spark, sf_dir, "region").alias("r")
@@ -120,9 +111,14 @@ _WRITE_OPTIONS = {"encoding": "ISO-8859-1", "sep": "\u0001", "quote": "\u0000",
                   "escapeQuotes": "false", "emptyValue": "", "nullValue": ""}
 
 
-def station_file_lines(raw: DataFrame) -> DataFrame:
+# Files written with damaged rows: one field too many.
+EXTRA_FIELD = ";999"
+
+
+def station_file_lines(raw: DataFrame, damaged: str = "false") -> DataFrame:
     """(source_year, source_file, ord, k, line): the lines of one station file per
-    (year, station) of a raw batch: preamble, header, then hourly rows."""
+    (year, station) of a raw batch: preamble, header, then hourly rows.  Rows
+    for which the SQL condition ``damaged`` holds get a field too many."""
     key = ["source_year", "source_file"]
     stations = raw.groupBy(*key).agg(*[F.first(c).alias(c) for _, c in _PREAMBLE])
     preamble = F.array(*[F.concat(F.lit(label), F.col(c)) for label, c in _PREAMBLE],
@@ -132,23 +128,24 @@ def station_file_lines(raw: DataFrame) -> DataFrame:
                   F.concat(F.substring("hora_referencia", 1, 2), F.lit("00 UTC")))
     fields = [F.replace(F.coalesce("data", F.lit("")), F.lit("-"), F.lit("/")),
               F.coalesce(hour, F.lit(""))] + [F.coalesce(c, F.lit("")) for c in _ROW_FIELDS]
+    tail = F.when(F.expr(damaged), EXTRA_FIELD).otherwise("")
     rows = raw.select(*key, F.lit(len(_PREAMBLE) + 2).alias("ord"),
-                      F.concat_ws(";", *fields, F.lit("")).alias("line"),
+                      F.concat(F.concat_ws(";", *fields, F.lit("")), tail).alias("line"),
                       F.concat_ws("|", F.coalesce("data", F.lit("")),
                                   F.coalesce("hora_referencia", F.lit(""))).alias("k"))
     return head.unionByName(rows)
 
 
-def write_station_files(raw: DataFrame, root: str) -> list[int]:
+def write_station_files(raw: DataFrame, root: str, damaged: str = "false") -> list[int]:
     """Write ``<root>/<year>/source_file=<station>/part-*.csv`` (latin-1) from a
     raw batch; returns the years written.  Each station's lines are written by
-    one task in file order (partition column first in the sort)."""
-    lines = station_file_lines(raw)
+    one task in file order (one file has one writer)."""
+    lines = station_file_lines(raw, damaged)
     years = sorted(int(r[0]) for r in raw.select("source_year").distinct().collect())
     for y in years:
         (lines.where(F.col("source_year") == str(y))
          .repartition("source_file")
-         .sortWithinPartitions("source_file", "ord", "k")
+         .sortWithinPartitions("source_file", "ord", "k", "line")
          .select("source_file", "line")
          .write.mode("overwrite").options(**_WRITE_OPTIONS).partitionBy("source_file")
          .csv(f"{root.rstrip('/')}/{y}"))

@@ -1,171 +1,184 @@
 """Station files -> raw rows, as Spark jobs.
 
 A station file is latin-1 text: a ``KEY:;VALUE`` preamble, one ``;``-separated
-header line, then hourly rows.  Two paths produce the same (info, lines):
-
-* whole files up to ``LARGE_FILE_BYTES`` (real ones are ~1 MB): one row per
-  file, files in parallel; native array expressions find the header, build
-  the metadata map and cut the table lines;
-* larger files: a splittable line reader; header and preamble come from
-  per-block / per-file aggregates with O(1) state, so no file is one task.
-
-Rows are then split into fields.  Only the distinct header layouts (a handful
-per archive era) reach the driver, where their column names are resolved the
-way the upstream reader names them.
-
-Sources: ``<root>/<year>.zip`` archives (members ending ``.csv``) or
-``<root>/<year>/*.csv`` directories.
+header line, then hourly rows.  Every file, whatever its size, is read line by
+line by the splittable text source; archive members become the same lines.
+Three scans, each with bounded state: the first counts the lines of each file
+block, which numbers every line; the second finds each file's header and
+preamble (one aggregate row a file); the third parses each data line once.
+Only the distinct header layouts and metadata keys reach the driver.
+
+Sources: ``<root>/<year>.zip`` archives (members ending ``.csv``) and
+``<root>/<year>/**.csv`` folders.  Lines are numbered as the file has them,
+from 1, blank ones included.
 """
 
 from __future__ import annotations
 
 import io
+import re
 import zipfile
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from meteomart import constants as K
-from meteomart.functions import coerce_date, na_to_null, normalize_col, parse_hour, py_normalize_col
+from meteomart.functions import coerce_date, na_to_null, normalize_col, parse_hour
 from meteomart.functions.text import fold_lower
-from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS, bounded_broadcast
-
-# Python's str.splitlines() boundaries that can occur in latin-1 text.
-LINE_BREAKS = "\r\n|[\n\r\u000b\u000c\u001c\u001d\u001e\u0085]"
+from meteomart.plans.joins import bounded_broadcast
+
+FILE = ["source_year", "source_file"]
+LISTING = "source_year string, source_file string, path string, archive boolean"
+# Line ends beyond \r, \n and \r\n that can occur in latin-1 text; what they cut
+# off keeps the line's number.
+OTHER_BREAKS = "[\u000b\u000c\u001c\u001d\u001e\u0085]"
+LINE_ENDS = "\r\n|[\n\r]"
+CSV_GLOB = "*.[cC][sS][vV]"
 # Python's str.strip() whitespace within latin-1.
-_WS = "[\t\n\u000b\u000c\r\u001c-\u001f \u0085 ]"
+_WS = "[\t\n\u000b\u000c\r\u001c-\u001f \u0085 ]"
 
-FILE_COLUMNS = "source_year string, source_file string, content binary"
+
+class SourceError(RuntimeError):
+    """A year's files cannot be loaded."""
 
 
 # ---------------------------------------------------------------------------
-# Listing and reading files
+# Listing
 # ---------------------------------------------------------------------------
-def _expand_archives(batches):
-    for pdf in batches:
-        out = []
-        for year, content in zip(pdf["source_year"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for name in zf.namelist():
-                    if name.lower().endswith(".csv"):
-                        out.append((year, name, zf.read(name)))
-                        if len(out) >= 16:  # keep Arrow batches small
-                            yield pd.DataFrame(out, columns=["source_year", "source_file", "content"])
-                            out = []
-        if out:
-            yield pd.DataFrame(out, columns=["source_year", "source_file", "content"])
-
-
-def read_archives(spark: SparkSession, root: str, years) -> DataFrame:
-    """``<root>/<year>.zip`` -> one row per ``.csv`` member (one task per archive)."""
-    paths = [f"{root.rstrip('/')}/{int(y)}.zip" for y in years]
-    paths = [p for p in paths if _exists(spark, p)]
-    if not paths:
-        return spark.createDataFrame([], FILE_COLUMNS)
-    zips = (spark.read.format("binaryFile").load(paths)
-            .select(F.regexp_extract("path", r"(\d+)\.zip$", 1).alias("source_year"), "content"))
-    members = zips.mapInPandas(_expand_archives, FILE_COLUMNS)
-    # Spread members of a few big archives over all cores before parsing.
-    return members.repartition(spark.sparkContext.defaultParallelism)
-
-
-# Files above this size are read line by line (splittable) instead of as one
-# row: a single huge file must not become one task.
-LARGE_FILE_BYTES = 256 * 1024 * 1024
-
-
-def _csv_listing(spark: SparkSession, root: str, years) -> DataFrame | None:
-    """Every ``*.csv`` under ``<root>/<year>/`` (nested folders included):
-    path, size, content (read lazily), year and the name relative to the year
-    folder.  The year comes from the folder listed, not from parsing paths."""
-    parts = []
-    for y in years:
-        folder = f"{root.rstrip('/')}/{int(y)}"
-        if not _exists(spark, folder):
-            continue
-        prefix = _qualified(spark, folder) + "/"
-        files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.[cC][sS][vV]")
-                 .option("recursiveFileLookup", "true").load(folder))
-        parts.append(files.select(
-            "path", "length", "content",
-            F.lit(str(int(y))).alias("source_year"),
-            F.substring("path", len(prefix) + 1, 1 << 20).alias("source_file")))
-    if not parts:
-        return None
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
+def _fs_path(spark: SparkSession, path: str):
+    hpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath, hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def csv_listing(spark: SparkSession, root: str, years) -> DataFrame | None:
-    """The ``*.csv`` files under the year folders, listed once; pass it to
-    :func:`small_csv_files` and :func:`large_csv_paths` (each DataFrame built
-    by ``load`` would list the folders again)."""
-    return _csv_listing(spark, root, years)
+def exists(spark: SparkSession, path: str) -> bool:
+    hpath, fs = _fs_path(spark, path)
+    return fs.exists(hpath)
 
 
-def small_csv_files(listing: DataFrame | None, spark: SparkSession,
-                    max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
-    """Files up to ``max_bytes`` -> (source_year, source_file, content), one row per
-    file.  The size filter is pushed into the binaryFile scan: larger files are
-    never loaded whole."""
-    if listing is None:
-        return spark.createDataFrame([], FILE_COLUMNS)
-    return listing.where(F.col("length") <= max_bytes).select("source_year", "source_file", "content")
+def remove(spark: SparkSession, path: str) -> None:
+    hpath, fs = _fs_path(spark, path)
+    fs.delete(hpath, True)
 
 
-def large_csv_paths(listing: DataFrame | None, spark: SparkSession,
-                    max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
-    """(source_year, source_file, path) of files over ``max_bytes`` (no content read)."""
-    if listing is None:
-        return spark.createDataFrame([], "source_year string, source_file string, path string")
-    return listing.where(F.col("length") > max_bytes).select("source_year", "source_file", "path")
+def _bare(path: Column | str):
+    """A path without its scheme, so that file:/x and file:///x are the same."""
+    if isinstance(path, str):
+        return re.sub("^[A-Za-z][A-Za-z0-9+.-]*:/+", "/", path)
+    return F.regexp_replace(path, "^[A-Za-z][A-Za-z0-9+.-]*:/+", "/")
 
 
-def read_csv_dirs(spark: SparkSession, root: str, years,
-                  max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
-    """``<root>/<year>/**.csv`` (any case) up to ``max_bytes`` -> one row per file."""
-    return small_csv_files(_csv_listing(spark, root, years), spark, max_bytes)
+def _folder_prefix(spark: SparkSession, folder: str) -> str:
+    hpath, fs = _fs_path(spark, folder)
+    return _bare(fs.makeQualified(hpath).toString()) + "/"
 
 
-def large_csv_files(spark: SparkSession, root: str, years,
-                    max_bytes: int = LARGE_FILE_BYTES) -> DataFrame:
-    """(source_year, source_file, path) of files over ``max_bytes`` (no content read)."""
-    return large_csv_paths(_csv_listing(spark, root, years), spark, max_bytes)
+def _member_names(batches):
+    for pdf in batches:
+        out = []
+        for year, path, content in zip(pdf["source_year"], pdf["path"], pdf["content"], strict=True):
+            with zipfile.ZipFile(io.BytesIO(content)) as zf:      # the directory only, nothing is unpacked
+                out += [(year, n, path, True) for n in zf.namelist() if n.lower().endswith(".csv")]
+        yield pd.DataFrame(out, columns=["source_year", "source_file", "path", "archive"])
+
+
+def listing(spark: SparkSession, root: str, year: int) -> DataFrame:
+    """Files of a year, names only: its folder's (nested ones too) and its archive's members."""
+    base, text = root.rstrip("/"), str(int(year))
+    parts = [spark.createDataFrame([], LISTING)]
+    if exists(spark, f"{base}/{text}"):
+        prefix = _folder_prefix(spark, f"{base}/{text}")
+        found = (spark.read.format("binaryFile").option("pathGlobFilter", CSV_GLOB)
+                 .option("recursiveFileLookup", "true").load(f"{base}/{text}"))
+        parts.append(found.select(
+            F.lit(text).alias("source_year"), F.substr(_bare(F.col("path")), F.lit(len(prefix) + 1)).alias("source_file"),
+            "path", F.lit(False).alias("archive")))
+    if exists(spark, f"{base}/{text}.zip"):
+        zips = spark.read.format("binaryFile").load(f"{base}/{text}.zip").select(F.lit(text).alias("source_year"), "path", "content")
+        parts.append(zips.mapInPandas(_member_names, LISTING))
+    if len(parts) == 1:
+        raise SourceError(f"no station files for {text} under {root}")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
-def years_without_source(spark: SparkSession, root: str, years) -> list[int]:
-    """Years with neither ``<root>/<year>.zip`` nor a ``<root>/<year>/`` folder."""
-    base = root.rstrip("/")
-    return [int(y) for y in years
-            if not _exists(spark, f"{base}/{int(y)}.zip") and not _exists(spark, f"{base}/{int(y)}")]
+# ---------------------------------------------------------------------------
+# Numbered lines: (source_year, source_file, no, sub, line), no from 0
+# ---------------------------------------------------------------------------
+def _members(batches):
+    for pdf in batches:
+        for year, content, wanted in zip(pdf["source_year"], pdf["content"], pdf["wanted"], strict=True):
+            with zipfile.ZipFile(io.BytesIO(content)) as zf:
+                for name in wanted:
+                    yield pd.DataFrame([(year, name, zf.read(name))], columns=["source_year", "source_file", "content"])
 
 
-def read_station_files(spark: SparkSession, root: str, years,
-                       max_bytes: int = LARGE_FILE_BYTES, listing: DataFrame | None = None) -> DataFrame:
-    listing = listing if listing is not None else _csv_listing(spark, root, years)
-    return read_archives(spark, root, years).unionByName(small_csv_files(listing, spark, max_bytes))
+def _split_breaks(df: DataFrame) -> DataFrame:
+    return df.select(*FILE, "no", F.posexplode(F.split("line", OTHER_BREAKS, -1)).alias("sub", "line"))
 
 
-def _qualified(spark: SparkSession, path: str) -> str:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.makeQualified(hpath).toString()
+def _archive_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
+    """Lines of the members in ``files``; members spread over tasks once unpacked."""
+    wanted = files.groupBy("source_year", "path").agg(F.sort_array(F.collect_list("source_file")).alias("wanted"))
+    paths = [r["path"] for r in wanted.select("path").distinct().collect()]       # one a year
+    zips = spark.read.format("binaryFile").load(paths).select("path", "content")
+    members = (zips.join(bounded_broadcast(wanted), "path").select("source_year", "content", "wanted")
+               .mapInPandas(_members, "source_year string, source_file string, content binary")
+               .repartition(F.col("source_file")))
+    text = F.split(F.decode("content", "ISO-8859-1"), LINE_ENDS, -1)
+    return _split_breaks(members.select(*FILE, F.posexplode(text).alias("no", "line"))
+                         .withColumn("no", F.col("no").cast("long")))
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
+def _text_lines(spark: SparkSession, folder: str, year: str, paths: list[str] | None) -> tuple[DataFrame, DataFrame]:
+    """Lines of the files under ``folder`` (all, or ``paths``), and a row a file block.
+
+    A block (file split) is read in order by one task, so a line's place in it is
+    its increasing id less the block's first; the blocks before add their counts.
+    """
+    reader = spark.read.format("text")
+    raw = (reader.option("pathGlobFilter", CSV_GLOB).option("recursiveFileLookup", "true").load(folder)
+           if paths is None else reader.load(paths))
+    prefix = _folder_prefix(spark, folder)
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    lines = raw.select(
+        F.lit(year).alias("source_year"), F.substr(_bare(path), F.lit(len(prefix) + 1)).alias("source_file"),
+        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mid"),
+        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"))
+    before = Window.partitionBy(*FILE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = (lines.groupBy(*FILE, "block").agg(F.min("mid").alias("first"), F.count(F.lit(1)).alias("n"))
+              .select(*FILE, "block", F.col("first"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
+    return lines, blocks
+
+
+def _numbered(lines: DataFrame, blocks: DataFrame) -> DataFrame:
+    joined = lines.join(bounded_broadcast(blocks), [*FILE, "block"])
+    return _split_breaks(joined.withColumn("no", F.col("base") + F.col("mid") - F.col("first")))
+
+
+def read_lines(spark: SparkSession, root: str, files: DataFrame, year: int, write, only: bool = False) -> DataFrame:
+    """Numbered lines of a year's ``files``; ``write`` stores a small table and reads it back.
+
+    With ``only`` the text files among ``files`` are opened by path (new files
+    of an incremental load, names only); otherwise the folder is read.
+    """
+    folder, text = f"{root.rstrip('/')}/{int(year)}", str(int(year))
+    kinds = {r["archive"]: r["n"] for r in files.groupBy("archive").agg(F.count("*").alias("n")).collect()}
+    parts = []
+    if kinds.get(False):
+        paths = [r["path"] for r in files.where(~F.col("archive")).select("path").collect()] if only else None
+        lines, blocks = _text_lines(spark, folder, text, paths)
+        parts.append(_numbered(lines, write(blocks)))
+    if kinds.get(True):
+        parts.append(_archive_lines(spark, files.where("archive")))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 # ---------------------------------------------------------------------------
-# Per-file structure (native expressions)
+# Headers and preambles: one aggregate row a file
 # ---------------------------------------------------------------------------
 def _strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
@@ -191,162 +204,32 @@ def _is_header(line: Column) -> Column:
         .otherwise(F.lit(False))
 
 
-def file_structure(files: DataFrame) -> DataFrame:
-    """One row per file: header position/line, metadata map, table lines.
-
-    ``header_idx`` is 0-based, NULL when no header rule matches.
-    """
-    # Each expensive value gets its own projection, so it is computed once per
-    # file (the optimizer does not inline a non-trivial expression into
-    # several references).
-    split = files.select("source_year", "source_file",
-                         F.split(F.decode("content", "ISO-8859-1"), LINE_BREAKS, -1).alias("l0"))
-    # splitlines() yields no trailing empty element for a final line break.
-    l0 = F.col("l0")
-    fixed = F.when(F.element_at(l0, -1) == "", F.slice(l0, 1, F.size(l0) - 1)).otherwise(l0)
-    df = split.select("source_year", "source_file", fixed.alias("lines"))
-
-    # Header rules, cheapest first.  A CASE branch is only evaluated when taken,
-    # so the whole-file scans run only for files without a header in the first
-    # 40 lines (the usual header sits around line 9).
-    head = F.slice("lines", 1, K.HEADER_SCAN_LINES)
-    cand_head = F.array_position(F.transform(head, _is_header), True).cast("int")
-    cand_all = F.array_position(F.transform("lines", _is_header), True).cast("int")
-    df = df.select("*", F.when(cand_head > 0, cand_head).otherwise(cand_all).alias("cand"))
-    cand = F.col("cand")                                                      # 1-based, 0 = none
-    wide = F.array_position(F.transform(
-        "lines", lambda l: _separators(l) >= K.HEADER_MIN_SEPARATORS), True).cast("int")
-    header_pos = F.when(cand > 0, cand).otherwise(F.when(wide > 0, wide))    # 1-based or NULL
-    # Metadata comes from the lines visited before the header in the first pass:
-    # lines[:header] when the header is within the first 40 lines, else lines[:40].
-    meta_end = F.when((cand > 0) & (cand <= K.HEADER_SCAN_LINES), cand - 1).otherwise(F.lit(K.HEADER_SCAN_LINES))
-    df = df.select("*", header_pos.alias("header_pos"), meta_end.alias("meta_end"))
-    df = df.select("*", _metadata_entries(F.col("lines"), F.col("meta_end")).alias("entries"))
-    return df.select(
-        "source_year", "source_file",
-        (F.col("header_pos") - 1).alias("header_idx"),
-        F.element_at("lines", F.col("header_pos")).alias("header_line"),
-        _entries_to_map(F.col("entries")).alias("meta"),
-        F.when(F.col("header_pos").isNotNull(),
-               F.slice("lines", F.col("header_pos") + 1, F.size("lines") + 1)).alias("table_lines"),
-    )
-
-
-# ---------------------------------------------------------------------------
-# Whole files -> per-file info + table lines
-# ---------------------------------------------------------------------------
-INFO_COLUMNS = ["source_year", "source_file", "header_line", "meta"]
-
-
-def small_parts(structure: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(info, lines) from :func:`file_structure` (one row per file)."""
-    info = structure.select(*INFO_COLUMNS)
-    lines = (structure.where(F.col("header_idx").isNotNull())
-             .select("source_year", "source_file", "header_idx", "header_line", "meta",
-                     F.posexplode("table_lines").alias("pos", "line"))
-             .select("source_year", "source_file", "header_line", "meta",
-                     (F.col("header_idx") + F.col("pos") + 2).cast("long").alias("line_no"), "line"))
-    return info, lines
+def structure(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Per file: header line, its place (NULL when no rule matches) and the metadata map.
 
-
-# ---------------------------------------------------------------------------
-# Large files: splittable line reader, per-file aggregates with O(1) state
-# ---------------------------------------------------------------------------
-# The CSV source in line mode decodes latin-1 per line and splits files at
-# block boundaries.  Separator, quote and escape are disabled so each line is
-# one untouched value.  It skips empty lines, so line numbers there count
-# non-empty lines only.
-CSV_LINE_OPTIONS = {
-    "encoding": "ISO-8859-1", "sep": "\u0001", "quote": "\u0000", "escape": "\u0000",
-    "header": "false", "nullValue": "\u0000", "emptyValue": "", "mode": "PERMISSIVE",
-}
-_EXTRA_BREAKS = "[\u000b\u000c\u001c\u001d\u001e\u0085]"
-
-
-def read_large_lines(spark: SparkSession, large: DataFrame) -> DataFrame:
-    """Lines of the listed files: (source_year, source_file, block, mid, sub, line).
-
-    (block, mid, sub) orders lines within a file: a block (file split) is read
-    in order by one task, where monotonically_increasing_id grows.
-    """
-    paths = [r[0] for r in large.select("path").collect()]   # file names only
-    raw = spark.read.format("csv").options(**CSV_LINE_OPTIONS).schema("line string").load(paths)
-    df = raw.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("mid"),
-        F.coalesce(F.col("line"), F.lit("")).alias("line"))
-    # Year and name come from the listing (one row per large file).
-    names = bounded_broadcast(large.select("path", "source_year", "source_file"))
-    df = df.join(names, "path").drop("path")
-    return df.select("source_year", "source_file", "block", "mid",
-                     F.posexplode(F.split("line", _EXTRA_BREAKS, -1)).alias("sub", "line"))
-
-
-def large_parts(lines: DataFrame, max_rows: int | None = None, cached: list | None = None
-                ) -> tuple[DataFrame, DataFrame]:
-    """(info, lines) for files read line by line.
-
-    The per-block and per-file aggregates (one row per block / file) are
-    persisted, so later actions do not rescan the lines; they are appended to
-    ``cached`` for the caller to unpersist.
-
-    Header rules and metadata follow the whole-file path: the first header
-    candidate (2nd rule) or the first line with >= 10 separators (3rd rule)
-    comes from per-block then per-file minima; the preamble comes from the
-    first 40 lines of the first block, collected per file (bounded).
+    The header is the first line that reads as one, else the first with enough
+    separators.  Metadata comes from the lines before it, among the first 40.
     """
-    max_rows = max_rows or DEFAULT_BROADCAST_MAX_ROWS
-    key = ["source_year", "source_file"]
-    ordered = F.struct("block", "mid", "sub", "line")
-    n_sep = _separators(F.col("line"))
-    # Pass 1: one row per block (partial aggregation inside each task).
-    blocks = (lines.groupBy(*key, "block")
-              .agg(F.min("mid").alias("bmin"),
-                   F.min(F.when(_is_header(F.col("line")), ordered)).alias("cand"),
-                   F.min(F.when(n_sep >= K.HEADER_MIN_SEPARATORS, ordered)).alias("wide"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
-    if cached is not None:
-        cached.append(blocks)
-    per_file = blocks.groupBy(*key).agg(
-        F.min("cand").alias("cand"), F.min("wide").alias("wide"),
-        F.min(F.when(F.col("block") == 0, F.col("bmin"))).alias("m0"))
-    # Pass 2: the first 40 lines of block 0, per file.
-    first = (lines.where(F.col("block") == 0)
-             .join(bounded_broadcast(per_file.select(*key, "m0"), max_rows), key)
-             .where(F.col("mid") - F.col("m0") < K.HEADER_SCAN_LINES)
-             .groupBy(*key)
-             .agg(F.sort_array(F.collect_list(F.struct("mid", "sub", "line"))).alias("h")))
-    head = first.select(*key, F.slice(F.transform("h", lambda x: x["line"]), 1, K.HEADER_SCAN_LINES).alias("lines"))
-    cand = F.array_position(F.transform("lines", _is_header), True).cast("int")
-    meta_end = F.when(cand > 0, cand - 1).otherwise(F.lit(K.HEADER_SCAN_LINES))
-    meta = (head.select(*key, _metadata_entries(F.col("lines"), meta_end).alias("entries"))
-            .select(*key, _entries_to_map(F.col("entries")).alias("meta")))
-    header = F.coalesce(F.col("cand"), F.col("wide"))
-    files = (per_file.join(meta, key, "left")
-             .select(*key, header.alias("hdr"),
-                     F.coalesce("meta", F.create_map().cast("map<string,string>")).alias("meta"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
-    if cached is not None:
-        cached.append(files)
-    info = files.select(*key, F.col("hdr.line").alias("header_line"), "meta")
-    # Pass 3: data lines after the header, numbered within their block.
-    starts = blocks.select(*key, "block", "bmin")
-    with_file = files.where(F.col("hdr").isNotNull()).select(
-        *key, F.col("hdr.line").alias("header_line"), "meta",
-        F.struct(F.col("hdr.block"), F.col("hdr.mid"), F.col("hdr.sub")).alias("hpos"))
-    data = (lines.join(bounded_broadcast(starts, max_rows), key + ["block"])
-            .join(bounded_broadcast(with_file, max_rows), key)
-            .where(F.struct("block", "mid", "sub") > F.col("hpos")))
-    out = data.select(*key, "header_line", "meta",
-                      (F.col("block") + F.col("mid") - F.col("bmin") + 1).alias("line_no"), "line")
-    return info, out
-
-
-def _metadata_entries(lines: Column, end: Column) -> Column:
-    """``key:value`` lines among ``lines[:end]`` -> array of (k, v) structs."""
+    at = F.struct("no", "sub", "line")
+    line = F.col("line")
+    found = lines.groupBy(*FILE).agg(
+        F.min(F.when(_is_header(line), at)).alias("named"),
+        F.min(F.when(_separators(line) >= K.HEADER_MIN_SEPARATORS, at)).alias("wide"),
+        F.collect_list(F.when(F.col("no") < K.HEADER_SCAN_LINES, at)).alias("head"))
+    found = found.withColumn("header", F.coalesce("named", "wide"))
+    early = F.filter(F.array_sort("head"), lambda x: F.col("header").isNull() | (x < F.col("header")))
+    found = found.withColumn("entries", _metadata_entries(F.transform(early, lambda x: x["line"])))
+    return (files.select(*FILE).join(found, FILE, "left")
+            .select(*FILE, F.col("header.line").alias("header_line"),
+                    F.struct(F.col("header.no").alias("no"), F.col("header.sub").alias("sub")).alias("place"),
+                    F.size(F.split(F.col("header.line"), ";", -1)).alias("header_width"),
+                    F.coalesce(_entries_to_map(F.col("entries")), F.create_map().cast("map<string,string>")).alias("meta")))
+
+
+def _metadata_entries(lines: Column) -> Column:
+    """``key:value`` lines -> array of (k, v) structs."""
     return F.transform(
-        F.filter(F.slice(lines, 1, end), lambda l: F.instr(l, ":") > 0),
+        F.filter(lines, lambda l: F.instr(l, ":") > 0),
         lambda l: F.struct(normalize_col(F.substring_index(l, ":", 1)).alias("k"),
                            _strip(F.regexp_extract(l, r"(?s)^[^:]*:(.*)$", 1)).alias("v")))
 
@@ -358,69 +241,39 @@ def _entries_to_map(entries: Column) -> Column:
     return F.map_from_entries(last)
 
 
-# ---------------------------------------------------------------------------
-# Header layouts (driver side, a handful of distinct lines)
-# ---------------------------------------------------------------------------
-def resolve_header(header_line: str) -> list[tuple[int, str]]:
-    """Field position -> final raw column name for one header layout.
+def resolved_names(header: Column) -> Column:
+    """Raw column name of every field of a header line (NULL: the field is dropped).
 
-    Mirrors how the upstream reader names columns: blank names become
-    ``Unnamed: i``, repeated names get ``.1``/``.2``; names are normalised;
-    blank and ``unnamed*`` columns are dropped; then six canonical names are
-    assigned by prefix (an exact name already present wins).
+    Blank names read ``Unnamed: i``, a repeated name gets ``.1``, ``.2``; names are
+    normalised; blank and ``unnamed`` ones are dropped.  A canonical name that
+    the header lacks goes to its first field with the canonical's prefix; a
+    field wanted by several gets the one that the table lists last.
     """
-    raw = header_line.split(";")
-    seen: dict = {}
-    named = []
-    for i, name in enumerate(raw):
-        if name == "":
-            name = f"Unnamed: {i}"
-        if name in seen:
-            seen[name] += 1
-            name = f"{name}.{seen[name]}"
-        else:
-            seen[name] = 0
-        named.append(name)
-    cols = [(i, py_normalize_col(n)) for i, n in enumerate(named)]
-    cols = [(i, c) for i, c in cols if c and not c.startswith("unnamed")]
-    return [(i, name) for (i, _), name in zip(cols, _canonical_names([c for _, c in cols]))]
-
-
-def _canonical_names(names: list[str]) -> list[str]:
-    """Rename by prefix: each canonical name absent from ``names`` is claimed by
-    the first name with its prefix; when two canonicals claim the same column
-    the later table entry wins (so a lone 'hora_utc' ends up as 'hora')."""
-    present = set(names)
-    claims = {next((n for n in names if n.startswith(prefix)), None): canonical
-              for canonical, prefix in K.CANONICAL_PREFIXES if canonical not in present}
-    claims.pop(None, None)
-    return [claims.get(n, n) for n in names]
-
-
-def header_layouts(info: DataFrame) -> dict[str, list[tuple[int, str]]]:
-    lines = [r[0] for r in info.where(F.col("header_line").isNotNull())
-             .select("header_line").distinct().collect()]
-    return {line: resolve_header(line) for line in lines}
-
-
-def metadata_keys(info: DataFrame) -> list[str]:
-    keys = info.select(F.explode(F.map_keys("meta")).alias("k")).distinct().collect()
-    return sorted(r[0] for r in keys)
-
-
-def facts_by_year(info: DataFrame) -> dict:
-    """One small job: per year, its distinct header lines, metadata keys and
-    the first file without a header (None when every file has one).
-
-    Bounded by years x header layouts x metadata keys, never by rows.
-    """
-    keyed = info.select("source_year", "source_file", "header_line",
-                        F.explode_outer(F.map_keys("meta")).alias("k"))
-    out = keyed.groupBy("source_year").agg(
-        F.collect_set("header_line").alias("headers"),
-        F.collect_set("k").alias("keys"),
-        F.min(F.when(F.col("header_line").isNull(), F.col("source_file"))).alias("bad"))
-    return {int(r["source_year"]): (r["headers"], r["keys"], r["bad"]) for r in out.collect()}
+    named = F.transform(F.split(header, ";", -1), lambda x, i: F.when(x == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(x))
+    nth = lambda x, i: F.size(F.filter(F.slice(named, 1, i), lambda y: y == x))
+    apart = F.transform(named, lambda x, i: F.when(nth(x, i) > 0, F.concat(x, F.lit("."), nth(x, i).cast("string"))).otherwise(x))
+    names = F.transform(apart, lambda x: normalize_col(x))
+    names = F.transform(names, lambda x: F.when((x != "") & ~x.startswith("unnamed"), x))
+
+    def first_with(prefix: str) -> Column:
+        return F.get(F.filter(names, lambda y: y.startswith(prefix)), F.lit(0))
+
+    def final(name: Column) -> Column:
+        wanted = [F.when(~F.array_contains(F.array_compact(names), canonical) & (name == first_with(prefix)), canonical)
+                  for canonical, prefix in K.CANONICAL_PREFIXES]
+        return F.coalesce(*reversed(wanted), name)
+    return F.transform(names, final)
+
+
+def resolve_headers(headers: DataFrame) -> dict[str, list[tuple[int, str]]]:
+    """Header line -> (field position, raw column name), for the distinct lines of ``headers``."""
+    rows = headers.where("header_line IS NOT NULL").select("header_line").distinct() \
+        .select("header_line", resolved_names(F.col("header_line")).alias("names")).collect()
+    return {r["header_line"]: [(i, n) for i, n in enumerate(r["names"]) if n is not None] for r in rows}
+
+
+def metadata_keys(files: DataFrame) -> list[str]:
+    return sorted(r[0] for r in files.select(F.explode(F.map_keys("meta")).alias("k")).distinct().collect())
 
 
 # ---------------------------------------------------------------------------
@@ -436,32 +289,38 @@ def _layout_lookup(layouts: dict, value_of) -> Column:
     return F.try_element_at(m, F.col("header_line"))
 
 
-def station_rows(lines: DataFrame, layouts: dict, meta_keys: list[str],
+def parsed_lines(lines: DataFrame, files: DataFrame, width: int) -> DataFrame:
+    """Data lines with their file's header and fields, each parsed once.
+
+    A row with more separators outside quotes than its header is ``extra``.
+    """
+    heads = bounded_broadcast(files.where("header_line IS NOT NULL").select(*FILE, "header_line", "header_width", "place", "meta"))
+    data = (lines.where(F.col("line") != "").join(heads, FILE)
+            .where(F.struct("no", "sub") > F.col("place")))
+    line = F.col("line")
+    bare = F.when(F.instr(line, '"') > 0, F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
+    schema = ", ".join(f"_c{i} string" for i in range(width))
+    fields = F.array(*[F.col(f"parsed._c{i}") for i in range(width)])
+    return (data.select("*", (_separators(bare) >= F.col("header_width")).alias("extra"),
+                        F.from_csv(line, schema, {"sep": ";"}).alias("parsed"))
+            .select("*", fields.alias("fields")))
+
+
+def station_rows(lines: DataFrame, files: DataFrame, layouts: dict, meta_keys: list[str],
                  loaded_at: Column | None = None, load_id: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Table lines -> all-text raw rows; returns (rows, quarantine).
+    """Data lines -> all-text raw rows; returns (rows, quarantine).
 
     Rows with more fields than their header are quarantined instead of failing
     the whole year; blank lines are skipped.
     """
     width = max([len(line.split(";")) for line in layouts] + [1])
-    rows = lines.where(F.col("line") != "")
-    n_fields = F.size(F.split("line", ";", -1))
-    header_width = F.size(F.split("header_line", ";", -1))
-    rows = rows.select("*", (n_fields > header_width).alias("_extra"))
-
-    quarantine = rows.where("_extra").select("source_year", "source_file", "line_no", "line")
-
-    schema = ", ".join(f"_c{i} string" for i in range(width))
-    parsed = rows.where(~F.col("_extra")).select(
-        "*", F.from_csv(F.col("line"), schema, {"sep": ";"}).alias("parsed"))
-    good = parsed.select("*", F.array(*[F.col(f"parsed._c{i}") for i in range(width)]).alias("fields"))
+    parsed = parsed_lines(lines, files, width)
+    number = (F.col("no") + 1).alias("line_no")
+    quarantine = parsed.where("extra").select(*FILE, number, "line")
+    good = parsed.where(~F.col("extra"))
 
     # Target columns: union of every layout's names, in first-seen order.
-    targets: list[str] = []
-    for cols in layouts.values():
-        for _, name in cols:
-            if name not in targets:
-                targets.append(name)
+    targets = list(dict.fromkeys(name for cols in layouts.values() for _, name in cols))
 
     def pick(name):
         where = {next((i for i, c in cols if c == name), None) for cols in layouts.values()}
@@ -471,45 +330,19 @@ def station_rows(lines: DataFrame, layouts: dict, meta_keys: list[str],
         pos = _layout_lookup(layouts, lambda cols: next((i for i, c in cols if c == name), None))
         return na_to_null(F.get(F.col("fields"), pos.cast("int")))
 
-    out_cols = []
-    for name in targets:
-        value = pick(name)
-        if name == "data":
-            value = coerce_date(value)
-        out_cols.append(value.alias(name))
+    out_cols = [(coerce_date(pick(n)) if n == "data" else pick(n)).alias(n) for n in targets if n != "hora_referencia"]
     # The hour column is chosen by the file's header, not by the cell value.
-    has_utc = _layout_lookup(layouts, lambda cols: any(c == "hora_utc" for _, c in cols) or None)
-    has_hora = _layout_lookup(layouts, lambda cols: any(c == "hora" for _, c in cols) or None)
     hour = F.lit(None).cast("string")
-    if "hora_utc" in targets or "hora" in targets:
-        utc = pick("hora_utc") if "hora_utc" in targets else F.lit(None).cast("string")
-        hora = pick("hora") if "hora" in targets else F.lit(None).cast("string")
-        hour = F.when(has_utc.isNotNull(), parse_hour(utc)).when(has_hora.isNotNull(), parse_hour(hora))
-    out_cols = [c for c, n in zip(out_cols, targets) if n != "hora_referencia"]
+    for name in ("hora", "hora_utc"):            # hora_utc is asked first
+        if name in targets:
+            has = _layout_lookup(layouts, lambda cols, n=name: any(c == n for _, c in cols) or None)
+            hour = F.when(has.isNotNull(), parse_hour(pick(name))).otherwise(hour)
     out_cols.append(hour.alias("hora_referencia"))
     out_cols += [F.try_element_at(F.col("meta"), F.lit(k)).alias(f"meta_{k}") for k in meta_keys]
     ts = loaded_at if loaded_at is not None else F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx")
     out_cols += [F.col("source_file"), F.col("source_year"), ts.alias("loaded_at"),
-                 F.col("line_no").cast("string").alias("line_no")]
+                 (F.col("no") + 1).cast("string").alias("line_no")]
     if load_id is not None:
         out_cols.append(F.lit(load_id).alias("load_id"))
     return good.select(*out_cols), quarantine
-
-
-def station_parts(spark: SparkSession, files: DataFrame, large: DataFrame | None = None):
-    """(info, lines) over whole files plus, when given, large files read by line."""
-    info, lines = small_parts(file_structure(files))
-    if large is not None and large.limit(1).count() > 0:
-        linfo, llines = large_parts(read_large_lines(spark, large), cached=[])
-        info, lines = info.unionByName(linfo), lines.unionByName(llines)
-    return info, lines
-
-
-def parse_station_files(files: DataFrame, load_id: str | None = None, large: DataFrame | None = None):
-    """files (source_year, source_file, content) -> (rows, quarantine, info)."""
-    info, lines = station_parts(files.sparkSession, files, large)
-    layouts = header_layouts(info)
-    keys = metadata_keys(info)
-    rows, quarantine = station_rows(lines, layouts, keys, load_id=load_id)
-    return rows, quarantine, info

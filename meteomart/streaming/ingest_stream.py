@@ -1,23 +1,23 @@
-"""Incremental ingestion as a file stream (alternative to the log lookup).
-
-``readStream`` over the station folders with the ``binaryFile`` source: the
-stream's checkpoint remembers which files were processed, so each trigger
-sees only new files.  ``trigger(availableNow=True)`` processes everything
-pending and stops, which fits a daily schedule.  Every micro-batch goes
-through the same parse -> append -> log body as the batch loader, with a
-load id derived from the query and epoch; a replayed epoch whose load is
-already logged is skipped, so the sink is idempotent.
+"""Incremental ingestion triggered by a file stream.
+
+The stream only watches the station folders and archives: its micro-batches
+say which years have new files, and each such year goes through the batch
+loader in incremental mode.  The file log decides what is loaded, so batch
+loads and streams never load a file twice, a replayed batch finds nothing to
+do, and a file that failed is tried again.  A file without a header is logged
+alone; the others are loaded.
 """
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meteomart.plans import pipeline as P
 from meteomart.session import configure
-from meteomart.sources import station_files as SF
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -27,73 +27,31 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
-def station_file_stream(spark: SparkSession, source_root: str,
-                        max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming listing (source_year, source_file, path, length) of ``<root>/<year>/*.csv``.
-
-    Only file names and sizes flow through the stream (the content column is
-    pruned, so no file is loaded here); each micro-batch then reads its files
-    by size class.
-    """
+def station_file_stream(spark: SparkSession, source_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The year of every station file or archive under ``source_root`` (no content is read)."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*.[cC][sS][vV]").option("recursiveFileLookup", "true"))
+              .option("pathGlobFilter", "*.{[cC][sS][vV],zip}").option("recursiveFileLookup", "true"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    files = reader.load(source_root.rstrip("/"))
-    return files.select(
-        F.regexp_extract("path", r"/(\d+)/[^/]*$", 1).alias("source_year"),
-        F.regexp_extract("path", r"([^/]*)$", 1).alias("source_file"),
-        "path", "length")
+    # The first folder below the root, or the archive's name: a year.
+    below = F.substring_index(F.col("path"), source_root.rstrip("/").rpartition("/")[2] + "/", -1)
+    return reader.load(source_root.rstrip("/")).select(F.regexp_extract(below, r"^([0-9]+)(?:/|[.]zip$)", 1).alias("source_year"))
 
 
-def _batch_writer(tables: P.Tables, run_name: str, large_file_bytes: int):
-    def write(batch: DataFrame, epoch_id: int) -> None:
-        spark = batch.sparkSession
-        listing = batch.persist()
-        # The load id names the batch by its content (an order-independent
-        # fingerprint of its file paths) as well as its epoch: a replayed epoch
-        # maps to the same id and is skipped, while a new stream whose epochs
-        # restart at 0 cannot collide with earlier loads.
-        fingerprint = listing.agg(F.bit_xor(F.xxhash64("path")), F.count(F.lit(1))).first()
-        load_id = f"stream-{run_name}-{epoch_id}-{fingerprint[0]}-{fingerprint[1]}"
-        log = P.read_log(spark, tables)
-        if log.where(F.col("load_id") == load_id).limit(1).count() > 0:
-            listing.unpersist()
-            return                                    # replayed epoch: already committed
-        try:
-            years = sorted(int(r[0]) for r in listing.select("source_year").distinct().collect())
-            if not years:
-                return
-            small = [r[0] for r in listing.where(F.col("length") <= large_file_bytes)
-                     .select("path").collect()]
-            large = listing.where(F.col("length") > large_file_bytes).select(
-                "source_year", "source_file", "path")
-            if small:
-                content = spark.read.format("binaryFile").load(small).select(
-                    F.regexp_extract("path", r"/(\d+)/[^/]*$", 1).alias("source_year"),
-                    F.regexp_extract("path", r"([^/]*)$", 1).alias("source_file"), "content")
-            else:
-                content = spark.createDataFrame([], SF.FILE_COLUMNS)
-            P.load_files(spark, tables, content, large, years, "incremental", load_id,
-                         stop_on_failure=False)
-        finally:
-            listing.unpersist()
-    return write
-
-
-def run_stream_ingest(spark: SparkSession, source_root: str, warehouse: str,
-                      run_name: str = "ingest", checkpoint: str | None = None,
-                      max_files_per_trigger: int | None = None,
-                      large_file_bytes: int = SF.LARGE_FILE_BYTES) -> None:
-    """Process every station file not seen before, then stop (availableNow)."""
+def run_stream_ingest(spark: SparkSession, source_root: str, warehouse: str, run_name: str = "ingest",
+                      checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> None:
+    """Load the years with files not seen before, then stop (availableNow)."""
     configure(spark)
-    tables = P.Tables(warehouse)
-    checkpoint = checkpoint or tables.path("_streams", run_name)
+    cfg = P.PipelineConfig(source_root, warehouse, load_mode="incremental")
+    checkpoint = checkpoint or P.Tables(warehouse).path("_streams", run_name)
+
+    def write(batch: DataFrame, _: int) -> None:
+        years = sorted(int(r[0]) for r in batch.where("source_year <> ''").distinct().collect())
+        for year in years:                  # a year that fails does not keep the others back
+            P.ingest(batch.sparkSession, replace(cfg, years=[year]), isolate_files=True)
     query = (station_file_stream(spark, source_root, max_files_per_trigger)
-             .writeStream.foreachBatch(_batch_writer(tables, run_name, large_file_bytes))
-             .option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True)
-             .start())
+             .writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+             .trigger(availableNow=True).start())
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()

@@ -49,7 +49,7 @@ def test_crash_between_data_and_log_leaves_no_duplicates(spark, workdir):
     tables = P.Tables(wh)
     # simulate a run that appended data and died before logging
     orphan = spark.read.parquet(tables.raw).withColumn("load_id", F.lit("crashed-run"))
-    orphan.write.mode("append").partitionBy("source_year").parquet(tables.raw)
+    orphan.write.mode("append").partitionBy("load_id", "source_year").parquet(tables.raw)
     assert spark.read.parquet(tables.raw).count() == 72
     assert P.read_raw(spark, tables).count() == 36
 
@@ -93,16 +93,113 @@ def test_layer_routing_and_latest_station(spark, workdir):
     t = P.Tables("/wh", {"gold": " marts_gold ", "silver": None})
     assert t.path("gold", "dim_date") == "/wh/marts_gold/dim_date"
     assert t.path("silver", "x") == "/wh/silver/x"
-    rows = [("A1", "N", "SP", "SE", 1.0, "2024-01-01 00:00:00"),
-            ("A1", "N", "SP", "SE", 2.0, "2024-02-01 00:00:00")]
+    rows = [("A1", "N", "SP", "SE", 1.0, "2024-01-01 00:00:00", "f9"),
+            ("A1", "N", "SP", "SE", 3.0, "2024-02-01 00:00:00", "f1"),
+            ("A1", "N", "SP", "SE", 2.0, "2024-02-01 00:00:00", "f2")]
     stg = spark.createDataFrame(rows, "codigo_wmo string, nome_estacao string, uf string, regiao string, "
-                                      "altitude double, loaded_at string") \
+                                      "altitude double, loaded_at string, source_file string") \
         .withColumn("latitude", F.lit(None).cast("decimal(10,6)")) \
         .withColumn("longitude", F.lit(None).cast("decimal(10,6)")) \
         .withColumn("loaded_at", F.col("loaded_at").cast("timestamp_ntz"))
-    assert G.dim_station(stg).count() == 2                 # parity: drift duplicates the key
+    assert G.dim_station(stg).count() == 3                 # parity: drift duplicates the key
     latest = G.dim_station(stg, latest=True).collect()
-    assert len(latest) == 1 and latest[0]["altitude"] == 2.0
+    assert len(latest) == 1 and latest[0]["altitude"] == 2.0    # newest load, then the last file
+
+
+def visible(spark, wh):
+    return P.read_raw(spark, P.Tables(wh)).count()
+
+
+def test_failed_refresh_leaves_the_earlier_loads(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)
+    P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    SD.build_bad_year(src, 2025)
+    failed = P.ingest(spark, P.PipelineConfig(src, wh, years="2025,2026"))
+    assert failed.failed_year == 2025 and failed.rows_loaded == 0 and visible(spark, wh) == 36
+    inc = P.ingest(spark, P.PipelineConfig(src, wh, years="2026", load_mode="incremental"))
+    assert inc.error is None and visible(spark, wh) == 36
+
+
+def test_crash_before_the_log_of_a_refresh(spark, workdir, monkeypatch):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)
+    P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    with monkeypatch.context() as m:
+        def crash(*_, **__):
+            raise KeyboardInterrupt                # not an Exception: nothing gets logged
+        m.setattr(P.L, "success_log", crash)
+        with pytest.raises(KeyboardInterrupt):
+            P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    assert visible(spark, wh) == 36
+    SD.write_file(f"{src}/2026", "A003.csv", SD.preamble(code="A003") + [SD.MODERN_HEADER, SD.row("2026/01/03", "0000 UTC")])
+    assert P.ingest(spark, P.PipelineConfig(src, wh, years="2026", load_mode="incremental")).rows_loaded == 1
+    assert visible(spark, wh) == 37
+    P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    assert visible(spark, wh) == 37
+
+
+def test_refresh_removes_what_it_supersedes_and_scratch(spark, workdir):
+    import glob
+
+    from meteomart.session import checkpoint_root
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)
+    before = set(glob.glob(checkpoint_root(spark).removeprefix("file:") + "/meteomart-*"))
+    first = P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    second = P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    folders = glob.glob(f"{wh}/raw/inmet_weather_raw/load_id=*")
+    assert len(folders) == 1 and second.load_id in folders[0] and first.load_id not in folders[0]
+    assert set(glob.glob(checkpoint_root(spark).removeprefix("file:") + "/meteomart-*")) == before
+
+
+def test_corrupt_archive_is_logged_and_earlier_years_stay(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)
+    with open(f"{src}/2027.zip", "wb") as f:
+        f.write(b"this is no archive" * 100)
+    res = P.ingest(spark, P.PipelineConfig(src, wh, years="2026,2027,2028"))
+    assert res.years_loaded == [2026] and res.failed_year == 2027 and visible(spark, wh) == 36
+    err = P.read_log(spark, P.Tables(wh)).where("status = 'error'").first()
+    assert err["source_file"] == "2027.zip" and len(err["details"]) <= 5000
+    assert "BadZipFile" in err["error_text"] and err["error_text"].startswith(err["details"][:1000])
+
+
+def test_quarantine_is_logged_once(spark, workdir):
+    """A file whose rows all have a field too many: one record, not read again."""
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)
+    header = SD.MODERN_HEADER.rstrip(";")
+    SD.write_file(f"{src}/2026", "bad.csv", SD.preamble(code="B1") + [header] + [SD.row("2026/01/01", f"{h:02d}00 UTC") for h in range(5)])
+    inc = P.PipelineConfig(src, wh, years="2026", load_mode="incremental")
+    for _ in range(2):
+        P.ingest(spark, inc)
+    log = {r["source_file"]: r for r in P.read_log(spark, P.Tables(wh)).collect()}
+    assert len(log) == 3 and log["bad.csv"]["status"] == "quarantined" and log["bad.csv"]["rows_quarantined"] == 5
+    assert P.read_quarantine(spark, P.Tables(wh)).count() == 5
+
+
+def test_new_columns_of_a_later_load(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)
+    P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    SD.write_file(f"{src}/2026", "A003.csv", SD.preamble(code="A003") + [SD.MODERN_HEADER + "RADIACAO;", SD.row("2026/01/03", "0000 UTC") + "7;"])
+    P.ingest(spark, P.PipelineConfig(src, wh, years="2026", load_mode="incremental"))
+    raw = P.read_raw(spark, P.Tables(wh))
+    assert raw.where("radiacao = '7'").count() == 1 and raw.where("radiacao IS NULL").count() == 36
+
+
+def test_descriptions_are_read_back(spark, workdir):
+    from meteomart.plans import docs
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    clean_source(src)
+    P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    gold = P.transform(spark, P.PipelineConfig(src, wh))
+    fields = spark.read.parquet(P.Tables(wh).path("gold", "dim_time")).schema.fields
+    assert fields[0].metadata["table_comment"] == docs.TABLE_COMMENTS["dim_time"]
+    assert {f.name: f.metadata.get("comment") for f in fields}["hora_int"] == docs.COLUMN_COMMENTS["hora_int"]
+    assert sum("table_comment" in f.metadata for f in fields) == 1
+    assert gold.fact.schema["source_year"].dataType.simpleString() == "string"
 
 
 def test_year_without_source_fails_like_a_failed_download(spark, workdir):

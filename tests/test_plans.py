@@ -38,9 +38,16 @@ def test_fact_falls_back_to_shuffle_join_when_dimension_is_big(gold):
     assert "SortMergeJoin" in p or "ShuffledHashJoin" in p
 
 
-def test_marts_pre_aggregate_before_the_first_shuffle(gold):
-    p = plan(M.temp_humidity_by_day(gold.fact, gold.dim_station))
-    # map-side partial sums, then the station-grain shuffle, then the final merge
+def test_marts_group_once_over_broadcast_dimensions(gold):
+    for df in (M.temp_humidity_by_day(gold.fact, gold.dim_station),
+               M.rain_by_station_month(gold.fact, gold.dim_station, gold.dim_date)):
+        p = plan(df).split("\n\n\n")[0]
+        # one exchange for the grouping and one for the final order
+        assert p.replace("BroadcastExchange", "").count("Exchange") == 2 and "SortMergeJoin" not in p
+
+
+def test_marts_pre_aggregate_when_a_dimension_is_large(gold):
+    p = plan(M.temp_humidity_by_day(gold.fact, gold.dim_station, max_rows=1))
     assert "partial_sum(temperatura_c" in p
     assert re.search(r"hashpartitioning\(station_sk#\d+, data_referencia#\d+", p)
 
@@ -52,6 +59,17 @@ def test_suite_is_a_single_aggregate_scan(spark):
     assert tree.count("Scan parquet") == 4            # events, customer, nation, region once
 
 
+def test_column_existence_scans_nothing(spark):
+    p = plan(Q.raw_suite(QR.raw(spark, SF), only=Q.COLUMNS_EXIST))
+    assert "Scan parquet" not in p and Q.raw_suite(QR.raw(spark, SF), only=Q.COLUMNS_EXIST).count() == 11
+
+
+def test_no_limit_and_no_round_robin_in_registered_raw_plans(spark):
+    for name in ("raw_scan", "validation_sample", "stg_weather", "dq_suite"):
+        p = plan(QR.registry()[name](spark, SF))
+        assert "Limit" not in p and "RoundRobin" not in p
+
+
 def test_silver_prunes_and_pushes_filters(spark):
     p = plan(QR._stg(spark, SF))
     assert "PushedFilters: [IsNotNull(user_id)]" in p

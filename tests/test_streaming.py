@@ -21,22 +21,39 @@ def test_stream_loads_new_files_once(spark, workdir):
     assert raw.count() == 6
     log = P.read_log(spark, P.Tables(wh))
     assert log.where("status = 'success'").count() == 2
-    assert log.where("status = 'error'").first()["source_file"] == "2027.zip"
+    assert log.where("status = 'error'").first()["source_file"] == "noheader.csv"
 
 
-def test_stream_routes_large_files_to_line_reader(spark, workdir):
+def file_of(code, n):
+    return SD.preamble(code=code) + [SD.MODERN_HEADER] + [SD.row("2026/01/01", f"{h:02d}00 UTC") for h in range(n)]
+
+
+def test_a_bad_file_does_not_keep_good_ones_back(spark, workdir):
     src, wh = f"{workdir}/src", f"{workdir}/wh"
-    d = f"{src}/2026"
-    SD.write_file(d, "A001.csv", SD.preamble() + [SD.MODERN_HEADER] +
-                  [SD.row("2026/01/01", f"{h:02d}00 UTC") for h in range(5)])
-    SD.write_file(d, "A002.csv", SD.preamble(code="A002") + [SD.MODERN_HEADER] +
-                  [SD.row("2026/01/02", f"{h:02d}00 UTC") for h in range(3)])
-    import os
-    size = os.path.getsize(f"{d}/A002.csv")
-    run_stream_ingest(spark, src, wh, large_file_bytes=size - 1)   # A002 counts as large
+    SD.write_file(f"{src}/2026", "A001.csv", file_of("A001", 5))
+    SD.build_bad_year(src, 2026)
+    run_stream_ingest(spark, src, wh)
+    assert P.read_raw(spark, P.Tables(wh)).count() == 5
+    err = P.read_log(spark, P.Tables(wh)).where("status = 'error'").collect()
+    assert [r["source_file"] for r in err] == ["noheader.csv"]
+
+
+def test_batch_load_then_stream_loads_nothing_twice(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    SD.write_file(f"{src}/2026", "A001.csv", file_of("A001", 5))
+    P.ingest(spark, P.PipelineConfig(src, wh, years="2026"))
+    run_stream_ingest(spark, src, wh)
+    assert P.read_raw(spark, P.Tables(wh)).count() == 5
+
+
+def test_nested_folders_and_archives(spark, workdir):
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    SD.write_file(f"{src}/2026/a/b", "A001.csv", file_of("A001", 5))
+    SD.build_year_2018(src)
+    run_stream_ingest(spark, src, wh)
     raw = P.read_raw(spark, P.Tables(wh))
-    assert raw.count() == 8
-    assert raw.where("source_file = 'A002.csv' AND hora_referencia = '02:00:00'").count() == 1
+    assert raw.where("source_year = '2026'").count() == 5 and raw.where("source_year = '2018'").count() == 4
+    assert {r[0] for r in raw.where("source_year = '2026'").select("source_file").distinct().collect()} == {"a/b/A001.csv"}
 
 
 def test_new_stream_with_restarted_epochs_is_not_mistaken_for_a_replay(spark, workdir):
