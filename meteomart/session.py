@@ -42,20 +42,21 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     return configure(spark)
 
 
+_local_roots: dict[str, str] = {}
+
+
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder for lineage cuts and intermediate tables.
+    """The shared folder for intermediate tables, read from ``spark.checkpoint.dir``.
 
-    Read from ``spark.checkpoint.dir`` (set by the cluster).  Only a local
-    master without that setting (tests) gets a private temporary folder.
+    Only a local master without that setting (tests) gets a temporary folder,
+    one an application; nothing is set on the session.
     """
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        configured = tempfile.mkdtemp(prefix="meteomart-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir() or configured
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+    if sc.applicationId not in _local_roots:
+        _local_roots[sc.applicationId] = tempfile.mkdtemp(prefix="meteomart-ckpt-")
+    return _local_roots[sc.applicationId]
