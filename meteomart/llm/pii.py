@@ -5,7 +5,7 @@ Each kind has a pattern that proposes spans, a validator that confirms them
 words of the kind within ``WINDOW`` characters before the span raise the score,
 and words that speak of something else lower it.  The four base kinds (email,
 ip, card, phone) always stay, whatever their score; spans of the added kinds
-(iban, key, ssn) stay when their score reaches ``THRESHOLD``.
+(iban, key, ssn, secret) stay when their score reaches ``THRESHOLD``.
 
 The proposals are found in time linear in the text, also in a run of millions
 of digits: the address is anchored at each ``@`` and the dotted numbers are cut
@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = BASE_KINDS + ("iban", "key", "ssn")
+KINDS = BASE_KINDS + ("iban", "key", "ssn", "secret")
 WINDOW = 40
 THRESHOLD = 0.6
 
@@ -40,6 +40,8 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}\b")
 _KEY = re.compile(r"\bAKIA[A-Z0-9]{16}\b")
 _SSN = re.compile(r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])")
+# A value of 12 characters or more, with a digit, given to a name that speaks of a secret.
+_SECRET = re.compile(r"\b(?:password|passwd|secret|token|api_?key) ?= ?[\"']?((?=[A-Za-z_/+-]*[0-9])[A-Za-z0-9_/+-]{12,})", re.I)
 
 # Context words by kind: they raise or lower the score of a nearby span.
 RAISE = {
@@ -47,13 +49,15 @@ RAISE = {
     "card": ("card", "visa", "payment", "credit"), "phone": ("phone", "call", "tel", "fax"),
     "iban": ("iban", "account", "bank", "konto", "cuenta", "compte"),
     "key": ("key", "access", "secret", "token"), "ssn": ("ssn", "social", "security"),
+    "secret": ("password", "login", "credentials"),
 }
 LOWER = {
     "email": ("example",), "ip": ("version", "release"), "card": ("isbn", "order", "serial"),
     "phone": ("fig", "eq"), "iban": ("part",), "key": (), "ssn": ("part", "model", "serial"),
+    "secret": ("example",),
 }
 # A confirmed checksum speaks for itself; nine digits without one need context.
-PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.7, "iban": 0.9, "key": 0.8, "ssn": 0.4}
+PRIOR = {"email": 0.9, "ip": 0.7, "card": 0.9, "phone": 0.7, "iban": 0.9, "key": 0.8, "ssn": 0.4, "secret": 0.8}
 _WORD = re.compile(r"[a-z]+")
 
 
@@ -133,6 +137,8 @@ def spans(text: str) -> list[tuple[str, int, int, float]]:
         if "AKIA" in text:
             added += [("key", *m.span()) for m in _KEY.finditer(text)]
         added += [("ssn", *m.span()) for m in _SSN.finditer(text)]
+        if "=" in text:
+            added += [("secret", *m.span(1)) for m in _SECRET.finditer(text)]
         scored = ((k, a, b, score(k, text, a)) for k, a, b in added)
         found += [s for s in scored if s[3] >= THRESHOLD]
     return found
