@@ -122,6 +122,13 @@ def shingles(words: np.ndarray, off: np.ndarray, k: int) -> tuple[np.ndarray, np
     return mix(out), out_off
 
 
+def span_hashes(words: np.ndarray, starts: np.ndarray, k: int) -> np.ndarray:
+    """A hash of the k words from each start; the caller keeps spans inside documents."""
+    total = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * _power_table(_P, len(words)), out=total[1:])
+    return mix((total[starts + k] - total[starts]) * _power_table(_P_INV, len(words) + 1)[starts] + np.uint64(k))
+
+
 def lists(values: np.ndarray, off: np.ndarray, kind: pa.DataType) -> pa.ListArray:
     """Consecutive slices of ``values`` as an Arrow list column."""
     return pa.ListArray.from_arrays(pa.array(off.astype(np.int32)), pa.array(values, kind))
