@@ -185,10 +185,7 @@ def calibrated_ratio(x: np.ndarray, graph: Graph, target: float = TARGET) -> flo
 def fit(vectors: DataFrame, n: int, sample: int = SAMPLE) -> tuple[np.ndarray, float]:
     """Centroids and the ratio, from at most ``sample`` vectors in one task."""
     n_lists = int(min(MOST_LISTS, max(1, n // LIST_SIZE)))
-    # One vector in so many; the bound is then exact.
-    share = max(1, n // sample)
-    some = vectors.where(F.pmod(F.xxhash64("vec_id"), F.lit(share)) == 0) if share > 1 else vectors
-    picked = bounded_sample(some.withColumn("all", F.lit(0)), "all", F.col("vec_id"), sample)
+    picked = bounded_sample(vectors.withColumn("all", F.lit(0)), "all", F.col("vec_id"), sample)
 
     def run(table: pa.Table) -> pa.Table:
         x = unit(matrix(table.sort_by("vec_id").column("embedding")))

@@ -49,14 +49,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def bounded_sample(df: DataFrame, stratum: str, key: Column, most: int) -> DataFrame:
-    """At most ``most`` rows of each stratum, those smallest by a hash of ``key``.
+    """At most ``most`` rows of each stratum (few strata), picked by a hash of ``key``.
 
-    The row limit is applied before the shuffle by Spark's window group limit,
-    so a stratum that holds most rows sends only ``most`` rows a task.
+    A large stratum is first thinned to about ``2 * most`` rows by that hash, where
+    the rows lie, so no task ever receives a whole stratum.
     """
-    order = Window.partitionBy(stratum).orderBy(F.xxhash64(key), key)
-    return (df.withColumn("_rank", F.row_number().over(order))
-            .where(F.col("_rank") <= most).drop("_rank"))
+    # One row a stratum; strata are few by contract.
+    sizes = F.broadcast(df.groupBy(F.col(stratum).alias("_stratum")).agg(F.count("*").alias("_size")))
+    thin = F.greatest(F.lit(1).cast("long"), F.expr(f"_size div {2 * most}"))
+    order = Window.partitionBy(stratum).orderBy(F.xxhash64(key, F.lit(1)), key)
+    return (df.join(sizes, F.col(stratum) == F.col("_stratum")).where(F.pmod(F.xxhash64(key), thin) == 0)
+            .withColumn("_rank", F.row_number().over(order))
+            .where(F.col("_rank") <= most).drop("_rank", "_stratum", "_size"))
 
 
 def sift(df: DataFrame, key: str, ids: DataFrame, bits: int = 1 << 26) -> DataFrame:
