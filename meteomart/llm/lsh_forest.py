@@ -8,14 +8,22 @@ tree with probability ``RECALL``.  Every meeting is then verified on the exact
 shingle sets.
 
 Documents with equal shingle sets are one class from the start.  Where a
-prefix has at most ``SMALL`` classes, all of them are compared.  A prefix with
-more is not expanded into pairs.  Its members are compared with one hub, the
+prefix has at most ``SMALL`` classes, all of them are compared as rows.  A prefix
+with more is expanded into rows only as far as its components need.  Its members
+are compared with one hub, the
 member that meets most others over all trees; members similar to the same hub
 are linked through it.  The members that neither the hub nor the links found so
 far join to the hub's component are joined exactly with all members of such prefixes: two sets at the threshold must share
 one of their rarest shingles, at places that leave room for the overlap, so
 only the rarest fifth of each set is joined, by shingle.
 
+These links settle the components, but they are not all links.  For the link
+table and ``n_links`` every two members of a large prefix are compared, too: the
+members are dealt into blocks, and a task compares two blocks by a product of
+their incidence matrices.  A pair belongs to the least large prefix it shares.
+``n_links`` sums counts of the blocks, so a family of m different texts makes
+m * m / BLOCK_ROWS rows a tree, not m * m / 2 pairs.
+
 Defined results.  Null or empty texts and texts of white space have no
 shingles: each is a class of its own, without links.  A text of 1 to 4 words has
 one shingle.  Null id: class null, no links.  Repeated rows: one result each,
@@ -44,6 +52,8 @@ TREES = 20
 DEPTH = 8
 RECALL = 0.999
 SMALL = 24
+BLOCK_ROWS = 1024             # sets in a block
+BLOCK_SHINGLES = 1 << 19      # shingles in a block, on average
 ID_BROADCAST = 2_000_000      # rows of 8 bytes
 SEED = 20_011
 
@@ -144,12 +154,8 @@ def _pairs_of_small(members: DataFrame) -> DataFrame:
             .select("a", F.explode(F.expr("slice(ids, at + 2, size(ids))")).alias("b")))
 
 
-def join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, trees: int = TREES,
-         depth: int = DEPTH, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
-    """(members, links): class representatives of all rows, and links between them.
-
-    members: doc_id, representative; links: a < b (representatives), similarity.
-    """
+def _met(docs: DataFrame, threshold: float, words: int, trees: int, depth: int, recall: float) -> tuple[DataFrame, DataFrame]:
+    """(members, meet): class representatives of all rows; id, size, key and n of every prefix with n > 1 classes."""
     prefix = shortened(trees, depth, threshold, recall)
     rows = cut(signatures(docs.where("doc_id IS NOT NULL"), words, trees, depth, prefix))
     same = F.when(F.col("size") > 0, F.struct("f1", "f2", "size"))
@@ -158,9 +164,13 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tree
     members = (with_words.select("doc_id", "same").join(classes.select("same", "id"), "same")
                .select("doc_id", F.col("id").alias("representative"))
                .unionByName(rows.where("size = 0").select("doc_id", F.col("doc_id").alias("representative"))))
-    meet = classes.select("id", F.explode("keys").alias("key"))
+    meet = classes.select("id", F.col("same.size").alias("size"), F.explode("keys").alias("key"))
     sizes = meet.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    meet = cut(meet.join(sizes, "key"))
+    return members, cut(meet.join(sizes, "key"))
+
+
+def _connecting(meet: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
+    """Links (a, b, similarity) with the components of all links: all in small prefixes, enough in large ones."""
     links = _verified(_pairs_of_small(meet.where(F.col("n") <= SMALL)), docs, words, threshold)
     large = cut(meet.where(F.col("n") > SMALL).select("key", "id"))
     central = meet.groupBy("id").agg(F.sum("n").alias("met"))
@@ -176,7 +186,89 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tree
     unexplained = cut(tried.join(mine, "id", "left").join(theirs, "hub", "left")
                       .where(F.coalesce("id_name", "id") != F.coalesce("hub_name", "hub")).select("id").distinct())
     exact = _verified(_rare_pairs(unexplained, cut(large.select("id").distinct()), docs, words, threshold), docs, words, threshold)
-    return members, cut(links.unionByName(exact).dropDuplicates(["a", "b"]))
+    return cut(links.unionByName(exact).dropDuplicates(["a", "b"]))
+
+
+def _large_keys(meet: DataFrame) -> DataFrame:
+    """id and the large prefixes it is in."""
+    return meet.where(F.col("n") > SMALL).groupBy("id").agg(F.collect_list("key").alias("large"))
+
+
+def _apart(links: DataFrame, keys: DataFrame) -> DataFrame:
+    """The links whose ends share no large prefix."""
+    left, right = (keys.select(F.col("id").alias(s), F.col("large").alias(f"l{s}")) for s in "ab")
+    together = F.coalesce(F.arrays_overlap("la", "lb"), F.lit(False))
+    return links.join(left, "a", "left").join(right, "b", "left").where(~together).select(*links.columns)
+
+
+def _overlaps(rows: np.ndarray, values: np.ndarray, n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """How many values each row of ``left`` and each of ``right`` have in common; a row has a value once."""
+    _, at, often = np.unique(values, return_inverse=True, return_counts=True)
+    kept = often[at] > 1
+    number = np.cumsum(often > 1) - 1
+    rows, at = rows[kept], number[at[kept]]
+    out = np.zeros((len(left), len(right)), np.float32)
+    order = np.argsort(at, kind="stable")
+    rows, at = rows[order], at[order]
+    step = 2048
+    for first in range(0, int(at[-1]) + 1 if len(at) else 0, step):
+        i, j = np.searchsorted(at, (first, first + step))
+        table = np.zeros((n, step), np.float32)
+        table[rows[i:j], at[i:j] - first] = 1
+        out += table[left] @ table[right].T
+    return out
+
+
+def _linked(meet: DataFrame, keys: DataFrame, docs: DataFrame, words: int, threshold: float, counted: bool) -> DataFrame:
+    """All links of two members of a large prefix: (id, n) to be summed, or (a, b, similarity), each link once."""
+    large = meet.where(F.col("n") > SMALL).select("key", "id", "size")
+    blocks = large.groupBy("key").agg(
+        F.greatest(F.ceil(F.count("*") / BLOCK_ROWS), F.ceil(F.sum("size") / BLOCK_SHINGLES)).cast("int").alias("blocks"))
+    sets = cut(_sets(docs, cut(large.select("id").distinct()), words).join(keys, "id"))
+    dealt = (large.join(blocks, "key").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+             .select("key", "id", "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+             .select("key", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id")
+             .join(sets, "id"))
+
+    def run(t: pa.Table) -> pa.Table:
+        t = t.combine_chunks()
+        key, low, high = (t.column(c)[0].as_py() for c in ("key", "low", "high"))
+        n = t.num_rows
+        ids, block = t.column("id").to_numpy(), t.column("block").to_numpy()
+        left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+
+        def flat(name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            lists = t.column(name).chunk(0)
+            size = np.diff(lists.offsets.to_numpy())
+            return np.repeat(np.arange(n), size), lists.flatten().to_numpy(), size
+        rows, values, size = flat("shingles")
+        shared = _overlaps(rows, values, n, left, right).astype(np.float64)
+        union = size[left][:, None] + size[right][None, :] - shared
+        found = shared >= threshold * union
+        rows, values, _ = flat("large")
+        earlier = values < key
+        found &= _overlaps(rows[earlier], values[earlier], n, left, right) == 0
+        if low == high:
+            found = np.triu(found, 1)
+        i, j = np.nonzero(found)
+        if counted:
+            often = np.bincount(left[i], minlength=n) + np.bincount(right[j], minlength=n)
+            some = often > 0
+            return pa.table({"id": ids[some], "n": often[some].astype(np.int64)})
+        x, y = ids[left[i]], ids[right[j]]
+        return pa.table({"a": np.minimum(x, y), "b": np.maximum(x, y), "similarity": shared[i, j] / union[i, j]})
+    return dealt.groupBy("key", "low", "high").applyInArrow(run, "id long, n long" if counted else "a long, b long, similarity double")
+
+
+def join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, trees: int = TREES,
+         depth: int = DEPTH, recall: float = RECALL) -> tuple[DataFrame, DataFrame]:
+    """(members, links): class representatives of all rows, and all links between them.
+
+    members: doc_id, representative; links: a < b (representatives), similarity.
+    """
+    members, meet = _met(docs, threshold, words, trees, depth, recall)
+    links, keys = _connecting(meet, docs, words, threshold), cut(_large_keys(meet))
+    return members, cut(_apart(links, keys).unionByName(_linked(meet, keys, docs, words, threshold, False)))
 
 
 def _rare_pairs(asking: DataFrame, among: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
@@ -203,17 +295,21 @@ def _rare_pairs(asking: DataFrame, among: DataFrame, docs: DataFrame, words: int
     return met.select(F.least("i", "j").alias("a"), F.greatest("i", "j").alias("b"))
 
 
-def classes(docs: DataFrame, **settings) -> DataFrame:
+def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, trees: int = TREES,
+            depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
     """doc_id, class_id (least id of its component), n_links and n_copies of every row.
 
     n_links: verified links of the row's shingle set to other sets; n_copies: rows
     with the same shingle set, itself included.
     """
-    members, links = join(docs, **settings)
-    members = cut(members)
+    members, meet = _met(docs, threshold, words, trees, depth, recall)
+    members, links, keys = cut(members), _connecting(meet, docs, words, threshold), cut(_large_keys(meet))
     named = components(links)
-    ends = links.select(F.col("a").alias("representative")).unionByName(links.select(F.col("b").alias("representative")))
-    degree = ends.groupBy("representative").agg(F.count("*").alias("n_links"))
+    apart = _apart(links, keys)
+    one = F.lit(1).cast("long").alias("n")
+    ends = (apart.select(F.col("a").alias("id"), one).unionByName(apart.select(F.col("b").alias("id"), one))
+            .unionByName(_linked(meet, keys, docs, words, threshold, True)))
+    degree = ends.groupBy(F.col("id").alias("representative")).agg(F.sum("n").alias("n_links"))
     copies = members.groupBy("representative").agg(F.count("*").alias("n_copies"))
     found = (copies.join(degree, "representative", "left")
              .join(named.withColumnRenamed("id", "representative"), "representative", "left")
@@ -225,9 +321,14 @@ def classes(docs: DataFrame, **settings) -> DataFrame:
     return members.join(found, "representative").select("doc_id", "class_id", "n_links", "n_copies").unionByName(nulls)
 
 
-def keep_one(docs: DataFrame, **settings) -> DataFrame:
+def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, trees: int = TREES,
+             depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
     """One document of each class, with all its columns; rows without an id stay."""
-    ids = cut(classes(docs, **settings).where("doc_id = class_id").select("doc_id").distinct())
+    members, meet = _met(docs, threshold, words, trees, depth, recall)
+    # The least id of a component is the least of its class, so it names both.
+    named = components(_connecting(meet, docs, words, threshold)).withColumnRenamed("id", "representative")
+    ids = cut(members.join(named, "representative", "left")
+              .where(F.col("doc_id") == F.coalesce("component", "representative")).select("doc_id").distinct())
     kept = docs.join(bounded_broadcast(ids, ID_BROADCAST), "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns])
     repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
     if repeated:

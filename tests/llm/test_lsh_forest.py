@@ -69,6 +69,26 @@ def test_classes_match_brute_force(spark, monkeypatch, small):
     assert all(got[i]["n_copies"] == counts[shingles(t)] for i, t in enumerate(texts))
 
 
+@pytest.mark.parametrize("rows", [1024, 5])
+def test_no_link_is_lost_in_large_prefixes(spark, monkeypatch, rows):
+    """rows = 5 deals the members of a prefix into many blocks."""
+    monkeypatch.setattr(L, "SMALL", 2)
+    monkeypatch.setattr(L, "BLOCK_ROWS", rows)
+    texts = families(8, n_family=2, members=15, size=300)
+    want, links = brute(texts)
+    docs = docs_of(spark, texts)
+    got = {r["doc_id"]: r for r in L.classes(docs).collect()}
+    sets = [shingles(t) for t in texts]
+    ends = [sum(s in pair for pair in links) for s in sets]
+    assert max(ends) > 10 and [got[i]["n_links"] for i in range(len(texts))] == ends
+    assert [got[i]["class_id"] for i in range(len(texts))] == want
+    found = L.join(docs)[1].collect()
+    assert len(found) == len(links)
+    for r in found:
+        a, b = sets[r["a"]], sets[r["b"]]
+        assert r["a"] < r["b"] and r["similarity"] == len(a & b) / len(a | b)
+
+
 def test_rare_pairs_hold_all_similar_pairs(spark):
     texts = families(9, n_family=2)
     docs = docs_of(spark, texts)
