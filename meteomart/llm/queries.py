@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meteomart.llm import language_zstd, lbl, lsh_forest, merkle, packing, passages, pii, posting_lists, quality_qda, raking
+from meteomart.llm import language_zstd, lbl, lsh_forest, merkle, packing, passages, pii, posting_lists, prefix_trie, quality_qda, raking
 from meteomart.llm.tables import table
 
 
@@ -52,9 +52,13 @@ def op10_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.score(docs, quality_qda.fit(docs, labels))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
 
 def oracle_queries() -> dict[str, str]:
-    return {"op3_merkle_tree": merkle.ORACLE}
+    return {"op3_merkle_tree": merkle.ORACLE, "op12_prefix_trie": prefix_trie.ORACLE}
