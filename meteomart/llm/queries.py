@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from meteomart.llm import language_zstd, lbl, lsh_forest, merkle, packing, passages, pii, posting_lists, prefix_trie, quality_qda, raking
+from meteomart.llm import (language_zstd, lbl, lsh_forest, merkle, packing, passages, piece_codec, pii, posting_lists,
+                           prefix_trie, quality_qda, raking)
 from meteomart.llm.tables import table
 
 
@@ -52,6 +53,10 @@ def op10_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_qda.score(docs, quality_qda.fit(docs, labels))
 
 
+def op11_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_codec.digests(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
 
