@@ -35,12 +35,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from sentencepiece import sentencepiece_model_pb2 as pb
 
+from meteomart.llm.segments import Memo, slices
 from meteomart.llm.text import lists
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 CHUNK = 1 << 20          # characters handled at once
-MEMO_CHARS = 4 << 20     # characters of segments kept with their pieces
+SHORT = 16               # segments this long are merged without a heap
+NEVER = float("inf")
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BLOCKS = "doc_id long, block long, last boolean, ids array<int>, begins array<long>, ends array<long>"
 
@@ -139,16 +141,11 @@ class Codec:
         for p in self.rank:
             n = self.letter[[ord(c) for c in p]].astype(np.int64)
             self.beside[n[:-1] * self.width + n[1:]] = True
-        self.forget()
+        self.memo = Memo(self._learn, 2)
         self.numbers = [str(i) for i in range(len(model.pieces))]
         self.surfaces = [self._surface(i) for i in range(len(model.pieces))]
 
     # -- encoding ------------------------------------------------------------
-    def forget(self) -> None:
-        self.memo: dict[str, int] = {}
-        self.kept = 0
-        self.flat_ids, self.flat_steps, self.counts = [], [], []
-
     def normalize(self, text: str) -> tuple[str, np.ndarray]:
         """The normalised text and the source byte of each of its characters and of its end."""
         if not text:
@@ -194,10 +191,17 @@ class Codec:
 
     def merge(self, segment: str) -> list[str]:
         """The segment's pieces: neighbours are joined, best score first, then leftmost."""
-        n = len(segment)
-        if n < 2:
-            return [segment] if n else []
-        end, before, rank = list(range(1, n + 1)), list(range(-1, n - 1)), self.rank
+        n, rank = len(segment), self.rank
+        if n <= SHORT:                 # looked through again after each join
+            parts = list(segment)
+            while True:
+                scores = [rank.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
+                best = min(scores, default=NEVER)
+                if best == NEVER:
+                    return parts
+                i = scores.index(best)
+                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        end, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
         for i in range(n - 1):
             score = rank.get(segment[i:i + 2])
@@ -226,48 +230,30 @@ class Codec:
             i = end[i]
         return out
 
-    def _learn(self, segment: str) -> int:
-        """Merge a segment and keep its ids and the characters that each of them spans."""
-        count = 0
-        for piece in self.merge(segment):
-            known = self.ids.get(piece)
-            if known is not None:
-                new = [(known, len(piece))]
-            else:
-                raw = piece.encode()
-                new = [(self.bytes[b], 0) for b in raw[:-1]] + [(self.bytes[raw[-1]], len(piece))]
-            for i, step in new:
-                self.flat_ids.append(i)
-                self.flat_steps.append(step)
-            count += len(new)
-        self.counts.append(count)
-        self.kept += len(segment)
-        self.memo[segment] = len(self.counts) - 1
-        return len(self.counts) - 1
+    def _learn(self, segments: list[str]) -> list[tuple[list[int], list[int]]]:
+        """Ids of each segment's pieces and the characters that each of them spans."""
+        out = []
+        for segment in segments:
+            ids, steps = [], []
+            for piece in self.merge(segment):
+                known = self.ids.get(piece)
+                new = [known] if known is not None else [self.bytes[b] for b in piece.encode()]
+                ids += new
+                steps += [0] * (len(new) - 1) + [len(piece)]
+            out.append((ids, steps))
+        return out
 
     def encode(self, norms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids and spanned characters of all the normalised texts, and each text's first id."""
-        if self.kept > MEMO_CHARS:
-            self.forget()
         whole = "".join(norms)
-        firsts = np.concatenate([[0], np.cumsum([len(t) for t in norms])])
-        edges = np.union1d(self.cuts(whole) if len(whole) > 1 else [], firsts).astype(np.int64)
-        at = edges.tolist()
-        segments = [whole[i:j] for i, j in zip(at[:-1], at[1:], strict=True)]
-        memo = self.memo
-        codes = [memo.get(s) for s in segments]
-        if None in codes:
-            for i, c in enumerate(codes):
-                if c is None:
-                    known = memo.get(segments[i])
-                    codes[i] = self._learn(segments[i]) if known is None else known
-        codes = np.array(codes, np.int64)
-        counts = np.array(self.counts, np.int64)
-        starts = np.concatenate([[0], np.cumsum(counts)])[:-1]
-        many = counts[codes]
+        firsts = np.concatenate([[0], np.cumsum([len(t) for t in norms], dtype=np.int64)])
+        edge = np.zeros(len(whole) + 1, bool)
+        edge[firsts] = True
+        if len(whole) > 1:
+            edge[self.cuts(whole)] = True
+        edges = np.flatnonzero(edge)
+        (ids, steps), many = self.memo.gather(slices(whole, edges))
         off = np.concatenate([[0], np.cumsum(many)])
-        take = np.arange(off[-1]) + np.repeat(starts[codes] - off[:-1], many)
-        ids, steps = (np.array(a, np.int32)[take] for a in (self.flat_ids, self.flat_steps))
         return ids, steps, off[np.searchsorted(edges, firsts)]
 
     # -- decoding ------------------------------------------------------------

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meteomart.llm import (language_zstd, lbl, lsh_forest, merkle, packing, passages, piece_codec, pii, posting_lists,
-                           prefix_trie, quality_qda, raking)
+                           prefix_trie, quality_qda, raking, token_alignment)
 from meteomart.llm.tables import table
 
 
@@ -61,6 +61,10 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.nodes(table(spark, sf_dir, "conversations"))
 
 
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.digests(table(spark, sf_dir, "documents"))
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: fn for name, fn in globals().items() if name.startswith("op") and callable(fn)}
 
