@@ -41,8 +41,7 @@ from meteomart.llm.text import lists
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 CHUNK = 1 << 20          # characters handled at once
-SHORT = 16               # segments this long are merged without a heap
-NEVER = float("inf")
+SHORT = 32               # segments up to this long are merged together, in rounds
 NORMAL, UNKNOWN, CONTROL, BYTE = 1, 2, 3, 6
 BLOCKS = "doc_id long, block long, last boolean, ids array<int>, begins array<long>, ends array<long>"
 
@@ -141,6 +140,14 @@ class Codec:
         for p in self.rank:
             n = self.letter[[ord(c) for c in p]].astype(np.int64)
             self.beside[n[:-1] * self.width + n[1:]] = True
+        self.char_ids = np.full(0x110000, -1, np.int32)
+        for p, i in self.ids.items():
+            if len(p) == 1:
+                self.char_ids[ord(p)] = i
+        self.lengths = np.array([len(p.piece) for p in model.pieces], np.int64)
+        # Places in the order of scores; equal scores share one.
+        self.score_order = np.unique([-p.score for p in model.pieces], return_inverse=True)[1].astype(np.int64)
+        self.join_keys, self.joined = self._join_table()
         self.memo = Memo(self._learn, 2)
         self.numbers = [str(i) for i in range(len(model.pieces))]
         self.surfaces = [self._surface(i) for i in range(len(model.pieces))]
@@ -192,15 +199,8 @@ class Codec:
     def merge(self, segment: str) -> list[str]:
         """The segment's pieces: neighbours are joined, best score first, then leftmost."""
         n, rank = len(segment), self.rank
-        if n <= SHORT:                 # looked through again after each join
-            parts = list(segment)
-            while True:
-                scores = [rank.get(a + b, NEVER) for a, b in zip(parts, parts[1:])]
-                best = min(scores, default=NEVER)
-                if best == NEVER:
-                    return parts
-                i = scores.index(best)
-                parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        if n < 2:
+            return [segment] if n else []
         end, before = list(range(1, n + 1)), list(range(-1, n - 1))
         heap = []
         for i in range(n - 1):
@@ -230,18 +230,70 @@ class Codec:
             i = end[i]
         return out
 
+    def _join_table(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of pieces that join to one (left id times the vocabulary plus right id), ascending, and that one."""
+        joins = {}
+        for p in self.rank:
+            for i in range(1, len(p)):
+                left, right = self.ids.get(p[:i]), self.ids.get(p[i:])
+                if left is not None and right is not None:
+                    joins[left * len(self.pieces) + right] = self.ids[p]
+        keys = np.array(sorted(joins), np.int64)
+        return keys, np.array([joins[k] for k in keys.tolist()], np.int64)
+
+    def _rounds(self, segments: list[str], ids: np.ndarray, firsts: np.ndarray) -> list[tuple[list[int], list[int]]]:
+        """Merge many segments of known characters at once: each round joins the first best pair of every segment."""
+        sizes = np.diff(firsts)
+        segment = np.repeat(np.arange(len(segments)), sizes)
+        done_ids, done_segments = [], []
+        while len(ids):
+            key = ids[:-1] * len(self.pieces) + ids[1:]
+            at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
+            can = (self.join_keys[at] == key) & (segment[:-1] == segment[1:])
+            # Score order first, then place: one number a pair.
+            where = np.flatnonzero(can)
+            order = self.score_order[self.joined[at[where]]] * np.int64(len(ids)) + where
+            begins = np.flatnonzero(np.diff(segment[where], prepend=-1))
+            best = np.minimum.reduceat(order, begins) % len(ids) if len(begins) else where
+            more = np.zeros(len(segments), bool)
+            more[segment[best]] = True
+            ids[best] = self.joined[at[best]]
+            stay = np.ones(len(ids), bool)
+            stay[best + 1] = False
+            ids, segment = ids[stay], segment[stay]
+            active = more[segment]
+            done_ids.append(ids[~active])
+            done_segments.append(segment[~active])
+            ids, segment = ids[active], segment[active]
+        ids, segment = np.concatenate([np.zeros(0, np.int64), *done_ids]), np.concatenate([np.zeros(0, np.int64), *done_segments])
+        order = np.argsort(segment, kind="stable")
+        ids, edges = ids[order], np.searchsorted(segment[order], np.arange(len(segments) + 1)).tolist()
+        steps = self.lengths[ids].tolist()
+        ids = ids.tolist()
+        return [(ids[i:j], steps[i:j]) for i, j in zip(edges[:-1], edges[1:], strict=True)]
+
     def _learn(self, segments: list[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of each segment's pieces and the characters that each of them spans."""
-        out = []
-        for segment in segments:
-            ids, steps = [], []
-            for piece in self.merge(segment):
-                known = self.ids.get(piece)
-                new = [known] if known is not None else [self.bytes[b] for b in piece.encode()]
-                ids += new
-                steps += [0] * (len(new) - 1) + [len(piece)]
-            out.append((ids, steps))
-        return out
+        whole = np.frombuffer("".join(segments).encode("utf-32-le"), np.uint32)
+        firsts = np.concatenate([[0], np.cumsum([len(s) for s in segments], dtype=np.int64)])
+        ids = self.char_ids[whole].astype(np.int64)
+        unknown = np.concatenate([[0], np.cumsum(ids < 0)])
+        sizes = np.diff(firsts)
+        easy = (unknown[firsts[1:]] == unknown[firsts[:-1]]) & (sizes <= SHORT) & (sizes > 0)
+        kept = np.flatnonzero(easy).tolist()
+        quick = self._rounds([segments[i] for i in kept], ids[np.repeat(easy, sizes)],
+                             np.concatenate([[0], np.cumsum(sizes[easy])]))
+        out = dict(zip(kept, quick, strict=True))
+        return [out[i] if easy[i] else self._one(s) for i, s in enumerate(segments)]
+
+    def _one(self, segment: str) -> tuple[list[int], list[int]]:
+        ids, steps = [], []
+        for piece in self.merge(segment):
+            known = self.ids.get(piece)
+            new = [known] if known is not None else [self.bytes[b] for b in piece.encode()]
+            ids += new
+            steps += [0] * (len(new) - 1) + [len(piece)]
+        return ids, steps
 
     def encode(self, norms: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids and spanned characters of all the normalised texts, and each text's first id."""
