@@ -55,29 +55,31 @@ FEATURES = ("log words", "mean word", "sd word", "upper", "digit", "symbol", "se
 
 def chunk_features(chunk: X.Chunk) -> np.ndarray:
     """One row of FEATURES for each document of the chunk."""
-    n = len(chunk.offsets) - 1
     size = np.diff(chunk.offsets)
-    doc = np.repeat(np.arange(n), size)
-    kinds = np.bincount(doc * 10 + _KIND[chunk.data], minlength=10 * n).reshape(n, 10).astype(float)
+    kinds = X.kind_counts(chunk, _KIND, 10).astype(float)
     starts, ends, off = X.runs(chunk, X.WHITE)
     words = X.run_hashes(chunk, starts, ends)
-    length = (ends - starts).astype(float)
+    length = ends - starts
+    del starts, ends
     count = np.diff(off)
     some = np.maximum(count, 1)
     mean = X.per_document(length, off) / some
-    sd = np.sqrt(np.maximum(X.per_document(length * length, off) / some - mean * mean, 0))
-    triples, t_off = X.shingles(words, off, 3)
-    l_starts, l_ends, l_off = X.runs(chunk, _LINE)
-    lines = X.run_hashes(chunk, l_starts, l_ends)
+    length *= length
+    sd = np.sqrt(np.maximum(X.per_document(length, off) / some - mean * mean, 0))
+    del length
+    share = lambda hashes, o: X.distinct_per_document(hashes, o) / np.maximum(np.diff(o), 1)
+    distinct_words, distinct_triples = share(words, off), share(*X.shingles(words, off, 3))
+    del words
+    starts, ends, l_off = X.runs(chunk, _LINE)
+    distinct_lines = share(X.run_hashes(chunk, starts, ends), l_off)
     n_lines = np.maximum(np.diff(l_off), 1)
     letters = np.maximum(kinds[:, 1] + kinds[:, 2], 1)
     marks = np.maximum(size, 1)
-    share = lambda hashes, o: X.distinct_per_document(hashes, o) / np.maximum(np.diff(o), 1)
     return np.column_stack([
         np.log1p(count), np.log1p(mean), np.log1p(sd), np.sqrt(kinds[:, 2] / letters),
         np.sqrt(kinds[:, 3] / marks), np.sqrt(kinds[:, 0] / some), np.sqrt(kinds[:, 6] / some),
         np.sqrt(kinds[:, 7] / some), np.sqrt(kinds[:, 8] / some), np.sqrt(kinds[:, 9] / marks),
-        share(words, off), share(lines, l_off), share(triples, t_off), np.log1p(count / n_lines)])
+        distinct_words, distinct_lines, distinct_triples, np.log1p(count / n_lines)])
 
 
 def batch_features(texts: pa.Array) -> np.ndarray:
