@@ -27,18 +27,23 @@ m * m / BLOCK_ROWS rows a tree, not m * m / 2 pairs.
 Defined results.  Null or empty texts and texts of white space have no
 shingles: each is a class of its own, without links.  A text of 1 to 4 words has
 one shingle.  Null id: class null, no links.  Repeated rows: one result each,
-same class.  Empty table: no rows.  Ties: the least id names a class.  Extra columns
-are ignored.
+same class.  Classes are made from the texts: rows that repeat an id with another
+text are as far apart as other rows.  Empty table: no rows.  Ties: the least id
+names a class; where several classes have the same least id (it repeats with other
+texts), one is named by it and the others by numbers from 2**62 on.  Extra
+columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from meteomart.llm import text as X
@@ -56,6 +61,14 @@ BLOCK_ROWS = 1024             # sets in a block
 BLOCK_SHINGLES = 1 << 19      # shingles in a block, on average
 ID_BROADCAST = 2_000_000      # rows of 8 bytes
 SEED = 20_011
+CONTENT = ["f1", "f2", "size"]
+CLASHING = 1 << 62            # names of classes whose least id names another one
+
+
+class Source(NamedTuple):
+    """The documents, and what tells apart texts with the same id, if there are any."""
+    docs: DataFrame
+    classes: DataFrame | None = None      # id, least (an id of its documents), f1, f2, size
 
 
 def shortened(trees: int, depth: int, threshold: float, recall: float) -> int:
@@ -87,6 +100,12 @@ def _labels(h: np.ndarray, multipliers: np.ndarray, offsets: np.ndarray) -> np.n
     return out
 
 
+def _content(h: np.ndarray, off: np.ndarray) -> list[pa.Array]:
+    """f1, f2 and size of each shingle set: equal for equal sets."""
+    f1, f2 = (X.per_document(v, off).astype(np.uint64) for v in (h.view(np.int64), X.mix(h).view(np.int64)))
+    return [pa.array(f1.view(np.int64)), pa.array(X.mix(f2).view(np.int64)), pa.array(np.diff(off).astype(np.int64))]
+
+
 def signatures(docs: DataFrame, words: int, trees: int, depth: int, prefix: int) -> DataFrame:
     """doc_id, two hashes and the size of the shingle set, and one key a tree.
 
@@ -109,32 +128,38 @@ def signatures(docs: DataFrame, words: int, trees: int, depth: int, prefix: int)
                 keys = np.broadcast_to(np.arange(1, trees + 1, dtype=np.uint64), (n, trees)).copy()
                 for j in range(prefix):
                     keys = X.mix(keys * np.uint64(0x100000001B3) + by_tree[:, :, j])
-                size = np.diff(off)
-                f1, f2 = (X.per_document(v, off).astype(np.uint64) for v in (h.view(np.int64), X.mix(h).view(np.int64)))
-                ids = b.column(0).slice(c.first, n)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(f1.view(np.int64)), pa.array(X.mix(f2).view(np.int64)), pa.array(size.astype(np.int64)),
-                     X.lists(keys.ravel().view(np.int64), np.arange(n + 1) * trees, pa.int64())],
+                    [b.column(0).slice(c.first, n), *_content(h, off), X.lists(keys.ravel().view(np.int64), np.arange(n + 1) * trees, pa.int64())],
                     ["doc_id", "f1", "f2", "size", "keys"])
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, f1 long, f2 long, size long, keys array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
-    """The shingle sets of the documents in ``ids`` (id)."""
+def _sets(source: Source | DataFrame, ids: DataFrame, words: int) -> DataFrame:
+    """The shingle sets of the classes in ``ids`` (id)."""
+    source = source if isinstance(source, Source) else Source(source)
+    told = [] if source.classes is None else CONTENT
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for c in X.chunks(b.column(1)):
                 h, off = sorted_shingles(c, words)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(c.first, len(off) - 1), X.lists(h.view(np.int64), off, pa.int64())], ["id", "shingles"])
-    wanted = docs.select("doc_id", "text").join(
-        bounded_broadcast(ids.withColumnRenamed("id", "doc_id"), ID_BROADCAST), "doc_id", "left_semi")
-    # Rows that repeat an id carry the same text; one of them is enough.
-    return wanted.mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
-
-
-def _verified(pairs: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
+                    [b.column(0).slice(c.first, len(off) - 1), *(_content(h, off) if told else []),
+                     X.lists(h.view(np.int64), off, pa.int64())], ["id", *told, "shingles"])
+    texts = source.docs.select("doc_id", "text")
+    if source.classes is None:        # a class is named by an id that has one text only
+        wanted = texts.join(bounded_broadcast(ids.withColumnRenamed("id", "doc_id"), ID_BROADCAST), "doc_id", "left_semi")
+        # Rows that repeat an id carry the same text; one of them is enough.
+        return wanted.mapInArrow(run, "id long, shingles array<long>").dropDuplicates(["id"])
+    asked = cut(ids.join(source.classes, "id"))
+    near = cut(asked.select(F.col("least").alias("doc_id")).distinct())
+    found = (texts.join(bounded_broadcast(near, ID_BROADCAST), "doc_id", "left_semi")
+             .mapInArrow(run, "id long, f1 long, f2 long, size long, shingles array<long>").dropDuplicates(CONTENT))
+    return found.drop("id").join(asked, CONTENT).select("id", "shingles")
+
+
+def _verified(pairs: DataFrame, docs: Source, words: int, threshold: float) -> DataFrame:
     """The pairs (a, b) whose exact Jaccard similarity reaches the threshold."""
     pairs = cut(pairs.distinct())
     ids = cut(pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct())
@@ -154,22 +179,35 @@ def _pairs_of_small(members: DataFrame) -> DataFrame:
             .select("a", F.explode(F.expr("slice(ids, at + 2, size(ids))")).alias("b")))
 
 
-def _met(docs: DataFrame, threshold: float, words: int, trees: int, depth: int, recall: float) -> tuple[DataFrame, DataFrame]:
-    """(members, meet): class representatives of all rows; id, size, key and n of every prefix with n > 1 classes."""
+def _named(classes: DataFrame) -> tuple[DataFrame, bool]:
+    """Adds a unique id: the least of the class's documents, unless it names another class; whether any such is left."""
+    shared = cut(classes.groupBy("least").agg(F.max("same").alias("first"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    if not shared.count():
+        return classes.withColumn("id", F.col("least")), False
+    other = F.lit(CLASHING) + F.pmod(F.xxhash64("least", "same"), F.lit(CLASHING))
+    named = classes.join(bounded_broadcast(shared, ID_BROADCAST), "least", "left")
+    return cut(named.withColumn("id", F.when(F.col("first").isNull() | (F.col("first") == F.col("same")), F.col("least"))
+                                .otherwise(other)).drop("first")), True
+
+
+def _met(docs: DataFrame, threshold: float, words: int, trees: int, depth: int,
+         recall: float) -> tuple[DataFrame, DataFrame, Source]:
+    """(members, meet, source): class of every row; id, size, key and n of every prefix with n > 1 classes."""
     prefix = shortened(trees, depth, threshold, recall)
     rows = cut(signatures(docs.where("doc_id IS NOT NULL"), words, trees, depth, prefix))
-    same = F.when(F.col("size") > 0, F.struct("f1", "f2", "size"))
-    with_words = rows.where("size > 0").withColumn("same", same)
-    classes = cut(with_words.groupBy("same").agg(F.min("doc_id").alias("id"), F.first("keys").alias("keys")))
-    members = (with_words.select("doc_id", "same").join(classes.select("same", "id"), "same")
-               .select("doc_id", F.col("id").alias("representative"))
-               .unionByName(rows.where("size = 0").select("doc_id", F.col("doc_id").alias("representative"))))
+    # A text without shingles is a class with all rows of its id that have none, either.
+    same = F.struct(F.col("size"), F.when(F.col("size") > 0, F.col("f1")).otherwise(F.col("doc_id")).alias("f1"), F.col("f2"))
+    rows = rows.withColumn("same", same)
+    classes = cut(rows.groupBy("same").agg(F.min("doc_id").alias("least"), F.first(F.when(F.col("size") > 0, F.col("keys"))).alias("keys")))
+    classes, clashing = _named(classes)
+    members = rows.select("doc_id", "same").join(classes.select("same", "id"), "same").select("doc_id", F.col("id").alias("representative"))
     meet = classes.select("id", F.col("same.size").alias("size"), F.explode("keys").alias("key"))
     sizes = meet.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return members, cut(meet.join(sizes, "key"))
+    contents = classes.select("id", "least", "same.f1", "same.f2", "same.size") if clashing else None
+    return members, cut(meet.join(sizes, "key")), Source(docs, contents)
 
 
-def _connecting(meet: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
+def _connecting(meet: DataFrame, docs: Source, words: int, threshold: float) -> DataFrame:
     """Links (a, b, similarity) with the components of all links: all in small prefixes, enough in large ones."""
     links = _verified(_pairs_of_small(meet.where(F.col("n") <= SMALL)), docs, words, threshold)
     large = cut(meet.where(F.col("n") > SMALL).select("key", "id"))
@@ -219,7 +257,7 @@ def _overlaps(rows: np.ndarray, values: np.ndarray, n: int, left: np.ndarray, ri
     return out
 
 
-def _linked(meet: DataFrame, keys: DataFrame, docs: DataFrame, words: int, threshold: float, counted: bool) -> DataFrame:
+def _linked(meet: DataFrame, keys: DataFrame, docs: Source, words: int, threshold: float, counted: bool) -> DataFrame:
     """All links of two members of a large prefix: (id, n) to be summed, or (a, b, similarity), each link once."""
     large = meet.where(F.col("n") > SMALL).select("key", "id", "size")
     blocks = large.groupBy("key").agg(
@@ -266,12 +304,12 @@ def join(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, tree
 
     members: doc_id, representative; links: a < b (representatives), similarity.
     """
-    members, meet = _met(docs, threshold, words, trees, depth, recall)
-    links, keys = _connecting(meet, docs, words, threshold), cut(_large_keys(meet))
-    return members, cut(_apart(links, keys).unionByName(_linked(meet, keys, docs, words, threshold, False)))
+    members, meet, source = _met(docs, threshold, words, trees, depth, recall)
+    links, keys = _connecting(meet, source, words, threshold), cut(_large_keys(meet))
+    return members, cut(_apart(links, keys).unionByName(_linked(meet, keys, source, words, threshold, False)))
 
 
-def _rare_pairs(asking: DataFrame, among: DataFrame, docs: DataFrame, words: int, threshold: float) -> DataFrame:
+def _rare_pairs(asking: DataFrame, among: DataFrame, docs: Source | DataFrame, words: int, threshold: float) -> DataFrame:
     """Every pair of an id in ``asking`` and one in ``among`` (which has them all) that may reach the threshold.
 
     The shingles of a set are ordered from rare to common.  If two sets reach
@@ -302,13 +340,13 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, t
     n_links: verified links of the row's shingle set to other sets; n_copies: rows
     with the same shingle set, itself included.
     """
-    members, meet = _met(docs, threshold, words, trees, depth, recall)
-    members, links, keys = cut(members), _connecting(meet, docs, words, threshold), cut(_large_keys(meet))
+    members, meet, source = _met(docs, threshold, words, trees, depth, recall)
+    members, links, keys = cut(members), _connecting(meet, source, words, threshold), cut(_large_keys(meet))
     named = components(links)
     apart = _apart(links, keys)
     one = F.lit(1).cast("long").alias("n")
     ends = (apart.select(F.col("a").alias("id"), one).unionByName(apart.select(F.col("b").alias("id"), one))
-            .unionByName(_linked(meet, keys, docs, words, threshold, True)))
+            .unionByName(_linked(meet, keys, source, words, threshold, True)))
     degree = ends.groupBy(F.col("id").alias("representative")).agg(F.sum("n").alias("n_links"))
     copies = members.groupBy("representative").agg(F.count("*").alias("n_copies"))
     found = (copies.join(degree, "representative", "left")
@@ -324,13 +362,34 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, t
 def keep_one(docs: DataFrame, threshold: float = THRESHOLD, words: int = WORDS, trees: int = TREES,
              depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
     """One document of each class, with all its columns; rows without an id stay."""
-    members, meet = _met(docs, threshold, words, trees, depth, recall)
-    # The least id of a component is the least of its class, so it names both.
-    named = components(_connecting(meet, docs, words, threshold)).withColumnRenamed("id", "representative")
-    ids = cut(members.join(named, "representative", "left")
-              .where(F.col("doc_id") == F.coalesce("component", "representative")).select("doc_id").distinct())
-    kept = docs.join(bounded_broadcast(ids, ID_BROADCAST), "doc_id", "left_semi").select(*[f"`{c}`" for c in docs.columns])
-    repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    if repeated:
-        kept = kept.dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    members, meet, source = _met(docs, threshold, words, trees, depth, recall)
+    # The least name of a component is the least of its classes' names.
+    named = components(_connecting(meet, source, words, threshold)).withColumnRenamed("id", "representative")
+    left = (members.join(named, "representative", "left")
+            .where(F.col("representative") == F.coalesce("component", "representative")))
+    columns = [f"`{c}`" for c in docs.columns]
+    nulls = docs.where("doc_id IS NULL")
+    if source.classes is None:
+        ids = cut(left.where("doc_id = representative").select("doc_id").distinct())
+        kept = docs.join(bounded_broadcast(ids, ID_BROADCAST), "doc_id", "left_semi").select(*columns)
+        repeated = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count()
+        return (kept.dropDuplicates(["doc_id"]) if repeated else kept).unionByName(nulls)
+    # Ids repeat with other texts: the rows to keep are told by id and content.
+    chosen = cut(left.select(F.col("representative").alias("id")).distinct().join(source.classes, "id").drop("id"))
+    at = docs.columns.index("text")
+    extra = [f"_{c}" for c in CONTENT]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for c in X.chunks(b.column(at)):
+                h, off = sorted_shingles(c, words)
+                rows = b.slice(c.first, len(off) - 1)
+                yield pa.RecordBatch.from_arrays([*rows.columns, *_content(h, off)], [*b.schema.names, *extra])
+    schema = StructType([*docs.schema.fields, *[StructField(c, LongType()) for c in extra]])
+    rows = docs.where("doc_id IS NOT NULL").mapInArrow(run, schema)
+    content = F.when(F.col("_size") > 0, F.col("_f1")).otherwise(F.col("doc_id"))
+    renamed = chosen.select(*[F.col(c).alias(f"__{c}") for c in chosen.columns])
+    match = ((F.col("doc_id") == F.col("__least")) & (content == F.col("__f1"))
+             & (F.col("_f2") == F.col("__f2")) & (F.col("_size") == F.col("__size")))
+    return (rows.join(bounded_broadcast(renamed, ID_BROADCAST // 4), match, "left_semi").dropDuplicates(["doc_id", *extra])
+            .select(*columns).unionByName(nulls))

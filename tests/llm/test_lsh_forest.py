@@ -107,6 +107,31 @@ def test_prefix_is_shortened_to_the_recall():
     assert L.shortened(1, 8, 0.8, 1.0) == 1
 
 
+def test_ids_that_repeat_with_other_texts(spark):
+    rng = random.Random(3)
+    a, b, c = (words(rng, 90) for _ in range(3))
+    rows = [(1, a), (1, b), (2, a), (3, b), (3, mutated(rng, b, 1)), (4, ""), (4, c), (4, ""), (5, c), (1, a), (6, mutated(rng, c, 2))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' AS size", "1 AS f1", "2 AS least")
+    got = L.classes(docs).collect()
+    assert len(got) == len(rows)
+    want, _ = brute([t for _, t in rows])
+    groups = {}
+    for (i, t), w in zip(rows, want, strict=True):
+        groups.setdefault((w if t else i, bool(t)), []).append(i)
+    found = {}
+    for r in got:
+        found.setdefault(r["class_id"], []).append(r["doc_id"])
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, groups.values()))
+    kept = L.keep_one(docs)
+    assert kept.columns == docs.columns and kept.count() == len(groups)
+    texts = [r["text"] for r in kept.collect()]
+    assert len({t for t in texts if t}) == 3 and texts.count("") == 1
+    # The four rows of two unrelated texts with one id in common.
+    four = docs.limit(0).unionByName(spark.createDataFrame(rows[:4], "doc_id long, text string").selectExpr("*", "'x' AS size", "1 AS f1", "2 AS least"))
+    assert sorted(r["text"] for r in L.keep_one(four).collect()) == sorted([a, b])
+    assert sorted(r["n_copies"] for r in L.classes(four).collect()) == [2, 2, 2, 2]
+
+
 def test_odd_rows(spark):
     docs = odd_docs(spark)
     rows = L.classes(docs).collect()
