@@ -23,7 +23,7 @@ def word_hash(word):
 
 def shingle_hashes(words, k):
     def one(part):
-        h = 0
+        h = 0 if len(part) == k else len(part)      # a short text's shingle begins with its length
         for w in part:
             h = (h * X._SHINGLE + w) & MASK
         return mix(h)
