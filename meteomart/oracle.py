@@ -373,12 +373,29 @@ def oracle_queries() -> dict[str, str]:
         ["coalesce(replace(data, '-', '/'), '')", "coalesce(substr(hora_referencia, 1, 2) || '00 UTC', '')"]
         + [f"coalesce({f}, '')" for f in fields]) + ") || ';'"
     meta = [c for c, _ in PROXY_COLUMNS if c.startswith("meta_")]
+    order = "coalesce(data, '') || '|' || coalesce(hora_referencia, '')"
     # Nine lines (preamble and header) come before the first reading.
-    q["station_rows_from_files"] = _raw_with(
-        f"SELECT source_year, source_file, data, hora_referencia, {', '.join(meta)}, "
-        f"{', '.join(f'{_na(f)} AS {FILE_COLUMN.get(f, f)}' for f in fields)}, "
-        "9 + row_number() OVER (PARTITION BY source_year, source_file ORDER BY "
-        f"coalesce(data, '') || '|' || coalesce(hora_referencia, ''), {line}) AS line_no FROM raw")
+    rows = (f"SELECT source_year, {{0}} AS source_file, data, hora_referencia, {', '.join(meta)}, "
+            f"{', '.join(f'{_na(f)} AS {FILE_COLUMN.get(f, f)}' for f in fields)}, "
+            f"9 + row_number() OVER (PARTITION BY source_year, source_file ORDER BY {order}, {line}) AS line_no FROM raw")
+    q["station_rows_from_files"] = _raw_with(rows.format("source_file"))
+    q["archive_rows"] = _raw_with(rows.format("source_year || '/' || source_file"))
+    q["empty_files"] = _raw_with(
+        "SELECT source_year, source_year || '/' || source_file AS source_file, source_file NOT LIKE '%3.csv' AS logged, "
+        "cast(count_if(source_file NOT LIKE '%3.csv') as integer) AS rows_loaded FROM raw GROUP BY source_year, source_file")
+    quoted = "coalesce(data LIKE '%-1_', false)"
+    rain = f"coalesce({fields[0]}, '')"
+    two = f"({rain} || ';\"' || chr(10) || {rain})"
+    cell = f"CASE WHEN {quoted} THEN '\"' || {rain} || ';\"\"' || chr(10) || {rain} || '\"' ELSE {rain} END"
+    record = line.replace(f"coalesce({fields[0]}, '')", cell, 1)
+    # Two lines a quoted record: those before push the later ones on.
+    q["quoted_rows_from_files"] = _raw_with(
+        "SELECT source_year, source_file, data, hora_referencia, precipitacao_total_horario, vento_velocidade_horaria_m_s, "
+        "9 + row_number() OVER w + coalesce(sum(extra) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS line_no "
+        f"FROM (SELECT source_year, source_file, data, hora_referencia, CASE WHEN {quoted} THEN {two} ELSE {_na(fields[0])} END "
+        f"AS precipitacao_total_horario, {_na('vento_velocidade_horaria_m_s')} AS vento_velocidade_horaria_m_s, "
+        f"CASE WHEN {quoted} THEN 1 ELSE 0 END AS extra, {order} AS k, {record} AS record FROM raw) x "
+        "WINDOW w AS (PARTITION BY source_year, source_file ORDER BY k, record)")
     bad = "(source_file LIKE '%7.csv' OR coalesce(data LIKE '%-05', false))"
     q["ingestion_log_files"] = _raw_with(
         "SELECT 'full_refresh' AS load_mode, cast(source_year as integer) AS source_year, source_file, "

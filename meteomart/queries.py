@@ -31,13 +31,17 @@ from meteomart.plans.materialize import new_scratch, write_and_reread
 from meteomart.plans.warehouse import Gold, build_gold
 from meteomart.session import configure
 from meteomart.sources import station_files as SF
-from meteomart.sources.proxy import proxy_raw, read_table, write_station_files
+from meteomart.sources.proxy import proxy_raw, read_table, write_station_archives, write_station_files
 
 PROXY_LOAD_ID = "proxy-initial-load"
 PROXY_LOADED_AT = "2024-02-01 06:00:00"
 FIXED_TODAY = date(2024, 1, 15)          # inside the events' dates, so that some are "future"
 MISSING_YEAR = 1900
 # Rows written with a field too many: whole files and single days.
+# Rows of which one cell is written in quotes, over two lines.
+QUOTED = "data LIKE '%-1_'"
+# Stations whose files keep only a preamble and a header.
+EMPTY = "source_file LIKE '%3.csv'"
 DAMAGED = "source_file LIKE '%7.csv' OR data LIKE '%-05'"
 
 # Gold layers by application and state of the input files: the queries of one
@@ -346,9 +350,9 @@ def q_assert_no_future_dates(spark, sf):
 # ---------------------------------------------------------------------------
 # Station files written from the tables, then loaded through the file reader.
 # ---------------------------------------------------------------------------
-def _from_files(spark: SparkSession, sf: str, damaged: str = "false") -> tuple[P.PipelineConfig, P.Tables]:
+def _from_files(spark: SparkSession, sf: str, damaged: str = "false", quoted: str = "false") -> tuple[P.PipelineConfig, P.Tables]:
     root = new_scratch(spark)
-    years = write_station_files(raw(spark, sf), f"{root}/files", damaged)
+    years = write_station_files(raw(spark, sf), f"{root}/files", damaged, quoted)
     cfg = P.PipelineConfig(f"{root}/files", f"{root}/warehouse", years=years)
     return cfg, P.Tables(cfg.warehouse)
 
@@ -365,6 +369,41 @@ def q_station_rows_from_files(spark, sf):
     return rows.withColumn("source_file", _station()).withColumn("line_no", F.col("line_no").cast("long"))
 
 
+def q_quoted_rows_from_files(spark, sf):
+    """Some cells hold a separator, a quote and a line end inside quotes."""
+    cfg, tables = _from_files(spark, sf, quoted=QUOTED)
+    P.ingest(spark, cfg)
+    return P.read_raw(spark, tables).select("source_year", _station().alias("source_file"), "data", "hora_referencia",
+                                            "precipitacao_total_horario", "vento_velocidade_horaria_m_s", F.col("line_no").cast("long").alias("line_no"))
+
+
+def _from_archives(spark: SparkSession, sf: str, empty: str = "false") -> tuple[P.PipelineConfig, P.Tables]:
+    root = new_scratch(spark)
+    years = write_station_archives(raw(spark, sf), f"{root}/files", empty)
+    cfg = P.PipelineConfig(f"{root}/files", f"{root}/warehouse", years=years)
+    return cfg, P.Tables(cfg.warehouse)
+
+
+def q_archive_rows(spark, sf):
+    """The rows of yearly zip archives, loaded member by member."""
+    cfg, tables = _from_archives(spark, sf)
+    P.ingest(spark, cfg)
+    rows = P.read_raw(spark, tables).drop("load_id", "loaded_at", "meta_data_de_fundacao", "hora")
+    return rows.withColumn("line_no", F.col("line_no").cast("long"))
+
+
+def q_empty_files(spark, sf):
+    """Every listed member: whether it has a record, and of how many rows; a header alone gives none."""
+    cfg, tables = _from_archives(spark, sf, EMPTY)
+    P.ingest(spark, cfg)
+    listed = SF.listing(spark, cfg.source_root, cfg.years[0])
+    for y in cfg.years[1:]:
+        listed = listed.unionByName(SF.listing(spark, cfg.source_root, y))
+    log = P.read_log(spark, tables).select(F.col("source_year").cast("string").alias("source_year"), "source_file", "rows_loaded")
+    return listed.join(log, SF.FILE, "left").select(*SF.FILE, F.col("rows_loaded").isNotNull().alias("logged"),
+                                                    F.coalesce("rows_loaded", F.lit(0)).alias("rows_loaded"))
+
+
 def q_ingestion_log_files(spark, sf):
     """A load with damaged rows, and a year without files."""
     cfg, tables = _from_files(spark, sf, DAMAGED)

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from meteomart import constants as K
+from meteomart.sources.archives import write_archive
 
 # (raw column, SQL expression over aliases e, c, n, r).  Fixed fixture rules.
 _STATES = "".join(K.UF_TIMEZONE) + "ZZ"                # and one that no table knows
@@ -115,38 +116,59 @@ _WRITE_OPTIONS = {"encoding": "ISO-8859-1", "sep": "\u0001", "quote": "\u0000",
 EXTRA_FIELD = ";999"
 
 
-def station_file_lines(raw: DataFrame, damaged: str = "false") -> DataFrame:
-    """(source_year, source_file, ord, k, line): the lines of one station file per
-    (year, station) of a raw batch: preamble, header, then hourly rows.  Rows
-    for which the SQL condition ``damaged`` holds get a field too many."""
+def station_file_lines(raw: DataFrame, damaged: str = "false", quoted: str = "false", empty: str = "false") -> DataFrame:
+    """(source_year, source_file, ord, k, record, n, line): the lines of one station file per
+    (year, station) of a raw batch: preamble, header, then hourly rows.
+
+    SQL conditions on raw rows: ``damaged`` ones get a field too many, ``quoted`` ones a first
+    reading in quotes over two lines, ``empty`` ones are left out (a file may keep its header only)."""
     key = ["source_year", "source_file"]
     stations = raw.groupBy(*key).agg(*[F.first(c).alias(c) for _, c in _PREAMBLE])
     preamble = F.array(*[F.concat(F.lit(label), F.col(c)) for label, c in _PREAMBLE],
                        F.lit("DATA DE FUNDACAO:;01/01/00"), F.lit(_HEADER))
-    head = stations.select(*key, F.posexplode(preamble).alias("ord", "line"), F.lit("").alias("k"))
+    head = stations.select(*key, F.posexplode(preamble).alias("ord", "record"), F.lit("").alias("k"))
     hour = F.when(F.col("hora_referencia").isNotNull(),
                   F.concat(F.substring("hora_referencia", 1, 2), F.lit("00 UTC")))
+    first = F.coalesce(_ROW_FIELDS[0], F.lit(""))
+    first = F.when(F.expr(quoted), F.concat(F.lit('"'), first, F.lit(';""\n'), first, F.lit('"'))).otherwise(first)
     fields = [F.replace(F.coalesce("data", F.lit("")), F.lit("-"), F.lit("/")),
-              F.coalesce(hour, F.lit(""))] + [F.coalesce(c, F.lit("")) for c in _ROW_FIELDS]
+              F.coalesce(hour, F.lit("")), first] + [F.coalesce(c, F.lit("")) for c in _ROW_FIELDS[1:]]
     tail = F.when(F.expr(damaged), EXTRA_FIELD).otherwise("")
-    rows = raw.select(*key, F.lit(len(_PREAMBLE) + 2).alias("ord"),
-                      F.concat(F.concat_ws(";", *fields, F.lit("")), tail).alias("line"),
-                      F.concat_ws("|", F.coalesce("data", F.lit("")),
-                                  F.coalesce("hora_referencia", F.lit(""))).alias("k"))
-    return head.unionByName(rows)
+    rows = raw.where(f"NOT coalesce({empty}, false)").select(
+        *key, F.lit(len(_PREAMBLE) + 2).alias("ord"),
+        F.concat(F.concat_ws(";", *fields, F.lit("")), tail).alias("record"),
+        F.concat_ws("|", F.coalesce("data", F.lit("")), F.coalesce("hora_referencia", F.lit(""))).alias("k"))
+    # Equal records stay apart: each keeps its lines together.
+    all_rows = head.unionByName(rows).withColumn("row", F.monotonically_increasing_id())
+    return all_rows.select("*", F.posexplode(F.split("record", "\n")).alias("n", "line"))
+
+
+_ORDER = ["ord", "k", "record", "row", "n"]
+
+
+def _years(raw: DataFrame) -> list[int]:
+    return sorted(int(r[0]) for r in raw.select("source_year").distinct().collect())
 
 
-def write_station_files(raw: DataFrame, root: str, damaged: str = "false") -> list[int]:
+def write_station_files(raw: DataFrame, root: str, damaged: str = "false", quoted: str = "false") -> list[int]:
     """Write ``<root>/<year>/source_file=<station>/part-*.csv`` (latin-1) from a
     raw batch; returns the years written.  Each station's lines are written by
     one task in file order (one file has one writer)."""
-    lines = station_file_lines(raw, damaged)
-    years = sorted(int(r[0]) for r in raw.select("source_year").distinct().collect())
+    lines, years = station_file_lines(raw, damaged, quoted), _years(raw)
     for y in years:
         (lines.where(F.col("source_year") == str(y))
          .repartition("source_file")
-         .sortWithinPartitions("source_file", "ord", "k", "line")
+         .sortWithinPartitions("source_file", *_ORDER)
          .select("source_file", "line")
          .write.mode("overwrite").options(**_WRITE_OPTIONS).partitionBy("source_file")
          .csv(f"{root.rstrip('/')}/{y}"))
     return years
+
+
+def write_station_archives(raw: DataFrame, root: str, empty: str = "false") -> list[int]:
+    """Write ``<root>/<year>.zip``, a member ``<year>/<station>`` for each station file; returns the years."""
+    lines, years = station_file_lines(raw, empty=empty), _years(raw)
+    for y in years:
+        mine = lines.where(F.col("source_year") == str(y)).withColumn("member", F.concat_ws("/", "source_year", "source_file"))
+        write_archive(mine, f"{root.rstrip('/')}/{y}.zip", *_ORDER)
+    return years

@@ -2,39 +2,36 @@
 
 A station file is latin-1 text: a ``KEY:;VALUE`` preamble, one ``;``-separated
 header line, then hourly rows.  Every file, whatever its size, is read line by
-line by the splittable text source; archive members become the same lines.
-Three scans, each with bounded state: the first counts the lines of each file
-block, which numbers every line; the second finds each file's header and
-preamble (one aggregate row a file); the third parses each data line once.
-Only the distinct header layouts and metadata keys reach the driver.
+line by the splittable text source; archive members become the same lines
+(``archives``).  Two scans, each with bounded state: the first leaves a row a file
+block (``blocks``), which merge into line numbers, headers, preambles and the
+state of quotes; the second parses each record once.  Only the distinct header
+layouts and metadata keys reach the driver.
 
 Sources: ``<root>/<year>.zip`` archives (members ending ``.csv``) and
 ``<root>/<year>/**.csv`` folders.  Lines are numbered as the file has them,
-from 1, blank ones included.
+from 1, blank ones included.  A record whose quoted cell holds line ends has the
+number of its first line; a header stands on one line.
 """
 
 from __future__ import annotations
 
-import io
 import re
-import zipfile
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from meteomart import constants as K
-from meteomart.functions import coerce_date, na_to_null, normalize_col, parse_hour
+from meteomart.functions import coerce_date, csvtext, na_to_null, normalize_col, parse_hour
 from meteomart.functions.text import fold_lower
 from meteomart.plans.joins import bounded_broadcast
+from meteomart.sources import archives, blocks
+from meteomart.sources.blocks import FILE
 
-FILE = ["source_year", "source_file"]
 LISTING = "source_year string, source_file string, path string, archive boolean"
 # Line ends beyond \r, \n and \r\n that can occur in latin-1 text; what they cut
 # off keeps the line's number.
 OTHER_BREAKS = "[\u000b\u000c\u001c\u001d\u001e\u0085]"
-LINE_ENDS = "\r\n|[\n\r]"
 CSV_GLOB = "*.[cC][sS][vV]"
 # Python's str.strip() whitespace within latin-1.
 _WS = "[\t\n\u000b\u000c\r\u001c-\u001f \u0085 ]"
@@ -74,15 +71,6 @@ def _folder_prefix(spark: SparkSession, folder: str) -> str:
     return _bare(fs.makeQualified(hpath).toString()) + "/"
 
 
-def _member_names(batches):
-    for pdf in batches:
-        out = []
-        for year, path, content in zip(pdf["source_year"], pdf["path"], pdf["content"], strict=True):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:      # the directory only, nothing is unpacked
-                out += [(year, n, path, True) for n in zf.namelist() if n.lower().endswith(".csv")]
-        yield pd.DataFrame(out, columns=["source_year", "source_file", "path", "archive"])
-
-
 def listing(spark: SparkSession, root: str, year: int) -> DataFrame:
     """Files of a year, names only: its folder's (nested ones too) and its archive's members."""
     base, text = root.rstrip("/"), str(int(year))
@@ -95,8 +83,9 @@ def listing(spark: SparkSession, root: str, year: int) -> DataFrame:
             F.lit(text).alias("source_year"), F.substr(_bare(F.col("path")), F.lit(len(prefix) + 1)).alias("source_file"),
             "path", F.lit(False).alias("archive")))
     if exists(spark, f"{base}/{text}.zip"):
-        zips = spark.read.format("binaryFile").load(f"{base}/{text}.zip").select(F.lit(text).alias("source_year"), "path", "content")
-        parts.append(zips.mapInPandas(_member_names, LISTING))
+        path = f"{base}/{text}.zip"
+        names = [m.name for m in archives.members(spark, path) if m.name.lower().endswith(".csv")]
+        parts.append(spark.createDataFrame([(text, n, path, True) for n in names], LISTING))
     if len(parts) == 1:
         raise SourceError(f"no station files for {text} under {root}")
     out = parts[0]
@@ -106,61 +95,43 @@ def listing(spark: SparkSession, root: str, year: int) -> DataFrame:
 
 
 # ---------------------------------------------------------------------------
-# Numbered lines: (source_year, source_file, no, sub, line), no from 0
+# Lines: (source_year, source_file, block, mid, sub, line); mid grows by one a line inside a block
 # ---------------------------------------------------------------------------
-def _members(batches):
-    for pdf in batches:
-        for year, content, wanted in zip(pdf["source_year"], pdf["content"], pdf["wanted"], strict=True):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                for name in wanted:
-                    yield pd.DataFrame([(year, name, zf.read(name))], columns=["source_year", "source_file", "content"])
-
-
 def _split_breaks(df: DataFrame) -> DataFrame:
-    return df.select(*FILE, "no", F.posexplode(F.split("line", OTHER_BREAKS, -1)).alias("sub", "line"))
-
-
-def _archive_lines(spark: SparkSession, files: DataFrame) -> DataFrame:
-    """Lines of the members in ``files``; members spread over tasks once unpacked."""
-    wanted = files.groupBy("source_year", "path").agg(F.sort_array(F.collect_list("source_file")).alias("wanted"))
-    paths = [r["path"] for r in wanted.select("path").distinct().collect()]       # one a year
-    zips = spark.read.format("binaryFile").load(paths).select("path", "content")
-    members = (zips.join(bounded_broadcast(wanted), "path").select("source_year", "content", "wanted")
-               .mapInPandas(_members, "source_year string, source_file string, content binary")
-               .repartition(F.col("source_file")))
-    text = F.split(F.decode("content", "ISO-8859-1"), LINE_ENDS, -1)
-    return _split_breaks(members.select(*FILE, F.posexplode(text).alias("no", "line"))
-                         .withColumn("no", F.col("no").cast("long")))
+    return df.select(*FILE, "block", "mid", F.posexplode(F.split("line", OTHER_BREAKS, -1)).alias("sub", "line"))
+
+
+def _archive_lines(spark: SparkSession, files: DataFrame) -> list[DataFrame]:
+    """Lines of the archive members in ``files`` (their names are on the driver, as the directory's are)."""
+    wanted: dict[tuple, set] = {}
+    for r in files.select("source_year", "path", "source_file").collect():
+        wanted.setdefault((r["source_year"], r["path"]), set()).add(r["source_file"])
+    out = []
+    for (year, path), names in sorted(wanted.items()):                    # one archive a year
+        found = [m for m in archives.members(spark, path) if m.name in names]
+        out.append(archives.member_lines(spark, path, found).select(
+            F.lit(year).alias("source_year"), "source_file", F.lit(0).cast("long").alias("block"), F.col("no").alias("mid"), "line"))
+    return out
 
 
-def _text_lines(spark: SparkSession, folder: str, year: str, paths: list[str] | None) -> tuple[DataFrame, DataFrame]:
-    """Lines of the files under ``folder`` (all, or ``paths``), and a row a file block.
+def _text_lines(spark: SparkSession, folder: str, year: str, paths: list[str] | None) -> DataFrame:
+    """Lines of the files under ``folder`` (all, or ``paths``).
 
-    A block (file split) is read in order by one task, so a line's place in it is
-    its increasing id less the block's first; the blocks before add their counts.
+    A block (file split) is read in order by one task, so increasing ids number its lines.
     """
     reader = spark.read.format("text")
     raw = (reader.option("pathGlobFilter", CSV_GLOB).option("recursiveFileLookup", "true").load(folder)
            if paths is None else reader.load(paths))
     prefix = _folder_prefix(spark, folder)
     path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    lines = raw.select(
+    return raw.select(
         F.lit(year).alias("source_year"), F.substr(_bare(path), F.lit(len(prefix) + 1)).alias("source_file"),
         F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mid"),
         F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"))
-    before = Window.partitionBy(*FILE).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = (lines.groupBy(*FILE, "block").agg(F.min("mid").alias("first"), F.count(F.lit(1)).alias("n"))
-              .select(*FILE, "block", F.col("first"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
-    return lines, blocks
-
 
-def _numbered(lines: DataFrame, blocks: DataFrame) -> DataFrame:
-    joined = lines.join(bounded_broadcast(blocks), [*FILE, "block"])
-    return _split_breaks(joined.withColumn("no", F.col("base") + F.col("mid") - F.col("first")))
 
-
-def read_lines(spark: SparkSession, root: str, files: DataFrame, year: int, write, only: bool = False) -> DataFrame:
-    """Numbered lines of a year's ``files``; ``write`` stores a small table and reads it back.
+def read_lines(spark: SparkSession, root: str, files: DataFrame, year: int, only: bool = False) -> DataFrame:
+    """Lines of a year's ``files``, those of a block in order.
 
     With ``only`` the text files among ``files`` are opened by path (new files
     of an incremental load, names only); otherwise the folder is read.
@@ -170,15 +141,17 @@ def read_lines(spark: SparkSession, root: str, files: DataFrame, year: int, writ
     parts = []
     if kinds.get(False):
         paths = [r["path"] for r in files.where(~F.col("archive")).select("path").collect()] if only else None
-        lines, blocks = _text_lines(spark, folder, text, paths)
-        parts.append(_numbered(lines, write(blocks)))
+        parts.append(_text_lines(spark, folder, text, paths))
     if kinds.get(True):
-        parts.append(_archive_lines(spark, files.where("archive")))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+        parts += _archive_lines(spark, files.where("archive"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return _split_breaks(out)
 
 
 # ---------------------------------------------------------------------------
-# Headers and preambles: one aggregate row a file
+# Headers and preambles, from the rows of the blocks
 # ---------------------------------------------------------------------------
 def _strip(c: Column) -> Column:
     return F.regexp_replace(c, f"^{_WS}+|{_WS}+$", "")
@@ -204,26 +177,29 @@ def _is_header(line: Column) -> Column:
         .otherwise(F.lit(False))
 
 
-def structure(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """Per file: header line, its place (NULL when no rule matches) and the metadata map.
+def summaries(lines: DataFrame) -> DataFrame:
+    """One row a block (``blocks.summaries``): a header is named, or at least has enough separators."""
+    return blocks.summaries(lines, F.coalesce(_is_header(F.col("line")), F.lit(False)),
+                            _separators(F.col("line")) >= K.HEADER_MIN_SEPARATORS)
 
+
+def structure(summary: DataFrame, files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a row a file, a row a block), both from a written ``summary``.
+
+    Per file: header line, its place (NULL when no rule matches) and the metadata map.
     The header is the first line that reads as one, else the first with enough
     separators.  Metadata comes from the lines before it, among the first 40.
     """
-    at = F.struct("no", "sub", "line")
-    line = F.col("line")
-    found = lines.groupBy(*FILE).agg(
-        F.min(F.when(_is_header(line), at)).alias("named"),
-        F.min(F.when(_separators(line) >= K.HEADER_MIN_SEPARATORS, at)).alias("wide"),
-        F.collect_list(F.when(F.col("no") < K.HEADER_SCAN_LINES, at)).alias("head"))
-    found = found.withColumn("header", F.coalesce("named", "wide"))
-    early = F.filter(F.array_sort("head"), lambda x: F.col("header").isNull() | (x < F.col("header")))
-    found = found.withColumn("entries", _metadata_entries(F.transform(early, lambda x: x["line"])))
-    return (files.select(*FILE).join(found, FILE, "left")
+    summary = blocks.numbered(summary)
+    found = blocks.headers(summary)
+    early = F.filter("early", lambda x: F.col("header").isNull() | (x < F.col("header")))
+    info = found.withColumn("entries", _metadata_entries(F.transform(early, lambda x: x["line"])))
+    info = (files.select(*FILE).join(info, FILE, "left")
             .select(*FILE, F.col("header.line").alias("header_line"),
                     F.struct(F.col("header.no").alias("no"), F.col("header.sub").alias("sub")).alias("place"),
-                    F.size(F.split(F.col("header.line"), ";", -1)).alias("header_width"),
+                    F.size(csvtext.fields(F.col("header.line"))).alias("header_width"),
                     F.coalesce(_entries_to_map(F.col("entries")), F.create_map().cast("map<string,string>")).alias("meta")))
+    return info, blocks.with_states(summary, found)
 
 
 def _metadata_entries(lines: Column) -> Column:
@@ -249,20 +225,32 @@ def resolved_names(header: Column) -> Column:
     the header lacks goes to its first field with the canonical's prefix; a
     field wanted by several gets the one that the table lists last.
     """
-    named = F.transform(F.split(header, ";", -1), lambda x, i: F.when(x == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(x))
-    nth = lambda x, i: F.size(F.filter(F.slice(named, 1, i), lambda y: y == x))
-    apart = F.transform(named, lambda x, i: F.when(nth(x, i) > 0, F.concat(x, F.lit("."), nth(x, i).cast("string"))).otherwise(x))
-    names = F.transform(apart, lambda x: normalize_col(x))
-    names = F.transform(names, lambda x: F.when((x != "") & ~x.startswith("unnamed"), x))
+    def let(value: Column, body) -> Column:
+        """``body`` of a value that is worked out once."""
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+
+    def apart(named: Column) -> Column:
+        # How often each name came before: one pass with a map of the names seen.
+        start = F.struct(F.create_map().cast("map<string,int>").alias("seen"), F.array().cast("array<string>").alias("out"))
+
+        def add(done: Column, x: Column) -> Column:
+            return let(F.coalesce(F.try_element_at(done["seen"], x), F.lit(0)), lambda n: F.struct(
+                F.map_concat(F.map_filter(done["seen"], lambda k, _: k != x), F.create_map(x, n + 1)).alias("seen"),
+                F.array_append(done["out"], F.when(n > 0, F.concat(x, F.lit("."), n.cast("string"))).otherwise(x)).alias("out")))
+        return F.aggregate(named, start, add, lambda done: done["out"])
 
-    def first_with(prefix: str) -> Column:
+    def first_with(names: Column, prefix: str) -> Column:
         return F.get(F.filter(names, lambda y: y.startswith(prefix)), F.lit(0))
 
-    def final(name: Column) -> Column:
-        wanted = [F.when(~F.array_contains(F.array_compact(names), canonical) & (name == first_with(prefix)), canonical)
-                  for canonical, prefix in K.CANONICAL_PREFIXES]
-        return F.coalesce(*reversed(wanted), name)
-    return F.transform(names, final)
+    def renamed(names: Column) -> Column:
+        # For each canonical name the header lacks, the first field with its prefix.
+        taken = [F.when(~F.array_contains(F.array_compact(names), canonical), first_with(names, prefix)).alias(canonical)
+                 for canonical, prefix in K.CANONICAL_PREFIXES]
+        return let(F.struct(*taken), lambda found: F.transform(names, lambda name: F.coalesce(
+            *[F.when(found[canonical] == name, canonical) for canonical, _ in reversed(K.CANONICAL_PREFIXES)], name)))
+    named = F.transform(csvtext.fields(header), lambda x, i: F.when(x == "", F.concat(F.lit("Unnamed: "), i.cast("string"))).otherwise(x))
+    names = F.transform(apart(named), lambda x: let(normalize_col(x), lambda y: F.when((y != "") & ~y.startswith("unnamed"), y)))
+    return let(names, renamed)
 
 
 def resolve_headers(headers: DataFrame) -> dict[str, list[tuple[int, str]]]:
@@ -289,32 +277,32 @@ def _layout_lookup(layouts: dict, value_of) -> Column:
     return F.try_element_at(m, F.col("header_line"))
 
 
-def parsed_lines(lines: DataFrame, files: DataFrame, width: int) -> DataFrame:
-    """Data lines with their file's header and fields, each parsed once.
+def parsed_records(lines: DataFrame, files: DataFrame, places: DataFrame) -> DataFrame:
+    """Records after the header with their file's header and fields, each parsed once.
 
-    A row with more separators outside quotes than its header is ``extra``.
+    ``places`` has a row a block.  In special blocks quotes join lines into records;
+    in all others every line is one.  A record with more fields than its header is ``extra``.
     """
     heads = bounded_broadcast(files.where("header_line IS NOT NULL").select(*FILE, "header_line", "header_width", "place", "meta"))
-    data = (lines.where(F.col("line") != "").join(heads, FILE)
-            .where(F.struct("no", "sub") > F.col("place")))
-    line = F.col("line")
-    bare = F.when(F.instr(line, '"') > 0, F.regexp_replace(line, '"[^"]*"', "")).otherwise(line)
-    schema = ", ".join(f"_c{i} string" for i in range(width))
-    fields = F.array(*[F.col(f"parsed._c{i}") for i in range(width)])
-    return (data.select("*", (_separators(bare) >= F.col("header_width")).alias("extra"),
-                        F.from_csv(line, schema, {"sep": ";"}).alias("parsed"))
-            .select("*", fields.alias("fields")))
-
-
-def station_rows(lines: DataFrame, files: DataFrame, layouts: dict, meta_keys: list[str],
+    numbered = (lines.join(bounded_broadcast(places), [*FILE, "block"])
+                .withColumn("no", F.col("base") + F.col("mid") - F.col("first"))
+                .join(heads, FILE).where(F.struct("no", "sub") > F.col("place")))
+    wanted = [*FILE, "no", "line", "header_line", "header_width", "meta"]
+    data = numbered.where(~F.col("special")).select(*wanted)
+    if places.where("special").limit(1).count():
+        data = data.unionByName(blocks.records(numbered.where("special")).join(heads, FILE).select(*wanted))
+    return (data.where(F.col("line") != "").withColumn("fields", csvtext.fields(F.col("line")))
+            .withColumn("extra", F.size("fields") > F.col("header_width")))
+
+
+def station_rows(lines: DataFrame, files: DataFrame, places: DataFrame, layouts: dict, meta_keys: list[str],
                  loaded_at: Column | None = None, load_id: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """Data lines -> all-text raw rows; returns (rows, quarantine).
+    """Lines -> all-text raw rows; returns (rows, quarantine).
 
     Rows with more fields than their header are quarantined instead of failing
     the whole year; blank lines are skipped.
     """
-    width = max([len(line.split(";")) for line in layouts] + [1])
-    parsed = parsed_lines(lines, files, width)
+    parsed = parsed_records(lines, files, places)
     number = (F.col("no") + 1).alias("line_no")
     quarantine = parsed.where("extra").select(*FILE, number, "line")
     good = parsed.where(~F.col("extra"))
@@ -326,7 +314,7 @@ def station_rows(lines: DataFrame, files: DataFrame, layouts: dict, meta_keys: l
         where = {next((i for i, c in cols if c == name), None) for cols in layouts.values()}
         if len(where) == 1 and None not in where:
             # every layout has the column at the same position: plain field access
-            return na_to_null(F.col(f"parsed._c{where.pop()}"))
+            return na_to_null(F.get(F.col("fields"), F.lit(where.pop())))
         pos = _layout_lookup(layouts, lambda cols: next((i for i, c in cols if c == name), None))
         return na_to_null(F.get(F.col("fields"), pos.cast("int")))
 
