@@ -30,6 +30,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -147,7 +148,7 @@ class Codec:
         self.lengths = np.array([len(p.piece) for p in model.pieces], np.int64)
         # Places in the order of scores; equal scores share one.
         self.score_order = np.unique([-p.score for p in model.pieces], return_inverse=True)[1].astype(np.int64)
-        self.join_keys, self.joined = self._join_table()
+        self.joins, self.joined = self._join_table()
         self.memo = Memo(self._learn, 2)
         self.numbers = [str(i) for i in range(len(model.pieces))]
         self.surfaces = [self._surface(i) for i in range(len(model.pieces))]
@@ -230,41 +231,53 @@ class Codec:
             i = end[i]
         return out
 
-    def _join_table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Pairs of pieces that join to one (left id times the vocabulary plus right id), ascending, and that one."""
+    def _join_table(self) -> tuple[pd.Index, np.ndarray]:
+        """Pairs of pieces that join to one (left id times the vocabulary plus right id), and that one."""
         joins = {}
         for p in self.rank:
             for i in range(1, len(p)):
                 left, right = self.ids.get(p[:i]), self.ids.get(p[i:])
                 if left is not None and right is not None:
                     joins[left * len(self.pieces) + right] = self.ids[p]
-        keys = np.array(sorted(joins), np.int64)
-        return keys, np.array([joins[k] for k in keys.tolist()], np.int64)
+        # One more at the end, for pairs that join to nothing.
+        return pd.Index(np.array(list(joins), np.int64)), np.array([*joins.values(), -1], np.int64)
+
+    def _joined(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The piece that each pair joins to, or -1."""
+        return self.joined[self.joins.get_indexer(left * len(self.pieces) + right)]
 
     def _rounds(self, segments: list[str], ids: np.ndarray, firsts: np.ndarray) -> list[tuple[list[int], list[int]]]:
-        """Merge many segments of known characters at once: each round joins the first best pair of every segment."""
-        sizes = np.diff(firsts)
-        segment = np.repeat(np.arange(len(segments)), sizes)
+        """Merge many segments of known characters at once: each round joins the first best pair of every segment.
+
+        A row is a piece; ``pair`` is what it and the next piece join to.  Only the
+        pairs beside a join are looked up again.
+        """
+        segment = np.repeat(np.arange(len(segments)), np.diff(firsts))
         done_ids, done_segments = [], []
+        pair = np.full(len(ids), -1)
+        inner = np.flatnonzero(segment[:-1] == segment[1:])
+        pair[inner] = self._joined(ids[inner], ids[inner + 1])
         while len(ids):
-            key = ids[:-1] * len(self.pieces) + ids[1:]
-            at = np.minimum(np.searchsorted(self.join_keys, key), len(self.join_keys) - 1)
-            can = (self.join_keys[at] == key) & (segment[:-1] == segment[1:])
+            where = np.flatnonzero(pair >= 0)
             # Score order first, then place: one number a pair.
-            where = np.flatnonzero(can)
-            order = self.score_order[self.joined[at[where]]] * np.int64(len(ids)) + where
+            order = self.score_order[pair[where]] * np.int64(len(ids)) + where
             begins = np.flatnonzero(np.diff(segment[where], prepend=-1))
             best = np.minimum.reduceat(order, begins) % len(ids) if len(begins) else where
             more = np.zeros(len(segments), bool)
             more[segment[best]] = True
-            ids[best] = self.joined[at[best]]
+            ids[best] = pair[best]
             stay = np.ones(len(ids), bool)
             stay[best + 1] = False
-            ids, segment = ids[stay], segment[stay]
-            active = more[segment]
-            done_ids.append(ids[~active])
-            done_segments.append(segment[~active])
-            ids, segment = ids[active], segment[active]
+            active = stay & more[segment]
+            done_ids.append(ids[stay & ~active])
+            done_segments.append(segment[stay & ~active])
+            at = (np.cumsum(active) - 1)[best]
+            ids, segment, pair = ids[active], segment[active], pair[active]
+            for left in (at, at[at > 0] - 1):      # the joined piece with the next one, and the one before with it
+                right = np.minimum(left + 1, len(ids) - 1)
+                inside = (segment[left] == segment[right]) & (left < right)
+                pair[left] = -1
+                pair[left[inside]] = self._joined(ids[left[inside]], ids[right[inside]])
         ids, segment = np.concatenate([np.zeros(0, np.int64), *done_ids]), np.concatenate([np.zeros(0, np.int64), *done_segments])
         order = np.argsort(segment, kind="stable")
         ids, edges = ids[order], np.searchsorted(segment[order], np.arange(len(segments) + 1)).tolist()

@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 from typing import NamedTuple
@@ -54,6 +55,7 @@ class ByteTokenizer:
     """A byte-level tokenizer file: ids of lines, bytes of ids."""
 
     def __init__(self, path: str):
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")       # Spark runs the tasks side by side
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
@@ -70,7 +72,13 @@ class ByteTokenizer:
         for token, i in vocabulary.items():
             known = all(c in letters for c in token)
             self.bytes[i] = bytes(letters[c] for c in token) if known else token.encode()
-        self.memo = Memo(lambda new: [(e.ids,) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)], 1)
+        self.lossless = True
+        self.memo = Memo(self._learn, 1)
+
+    def _learn(self, new: list[str]) -> list[tuple[list[int]]]:
+        found = [(e.ids,) for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+        self.lossless &= all(b"".join(map(self.bytes.__getitem__, ids)) == x.encode() for (ids,), x in zip(found, new, strict=True))
+        return found
 
     def encode(self, lines: list[str], edges: np.ndarray, whole: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the segments between ``edges``, and how many each has."""
@@ -78,17 +86,38 @@ class ByteTokenizer:
         return ids, many
 
 
+# Kinds of characters, by code point up to U+024F: 1 letters, 2 marks that are no letter, number, apostrophe or white space.
+_KINDS = np.zeros(0x250, np.uint8)
+_KINDS[[c for c in range(0x250) if chr(c).isalpha() and (c < 0x80 or c >= 0xC0)]] = 1
+_KINDS[[ord(c) for c in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"]] = 2
+_DIGITS = np.zeros(0x250, bool)
+_DIGITS[ord("0"):ord("9") + 1] = True
+
+
+def _kinds(points: np.ndarray) -> np.ndarray:
+    return np.where(points < 0x250, _KINDS[np.minimum(points, 0x24F)], 0)
+
+
 def lone_spaces(points: np.ndarray) -> np.ndarray:
     """Whether each character is a space between two characters that are known not to be white.
 
     The byte-level pattern has a token begin at such a space and no look behind.
     """
-    plain = ((points > 0x20) & (points < 0x7F)) | ((points >= 0xC0) & (points < 0x250))
+    kinds = _kinds(points)
+    plain = (kinds > 0) | (points == ord("'")) | ((points < 0x250) & _DIGITS[np.minimum(points, 0x24F)])
     out = np.zeros(len(points), bool)
     out[1:-1] = (points[1:-1] == 0x20) & plain[:-2] & plain[2:]
     return out
 
 
+def segment_starts(points: np.ndarray) -> np.ndarray:
+    """Places at which the byte-level pattern always begins a token: lone spaces, and marks after a letter."""
+    out = lone_spaces(points)
+    kinds = _kinds(points)
+    out[1:] |= (kinds[1:] == 2) & (kinds[:-1] == 1)
+    return out
+
+
 class Pair(NamedTuple):
     a: ByteTokenizer
     b: piece_codec.Codec
@@ -164,7 +193,7 @@ def _tokens(lines: list[str], p: Pair):
     """Ids of both tokenizers for all lines in a row, and each line's first id (one more at the end)."""
     whole = "".join(lines)
     firsts = np.concatenate([[0], np.cumsum([len(t) for t in lines], dtype=np.int64)])
-    edge = lone_spaces(np.frombuffer(whole.encode("utf-32-le"), np.uint32))
+    edge = segment_starts(np.frombuffer(whole.encode("utf-32-le"), np.uint32))
     edge = np.append(edge, True)
     edge[firsts] = True
     edges = np.flatnonzero(edge)
@@ -176,6 +205,17 @@ def _tokens(lines: list[str], p: Pair):
     return a, a_off, b, b_off
 
 
+def _valid(lines: list[str], p: Pair, a, a_off, b, b_off) -> np.ndarray:
+    """Whether the bytes of both tokenizers' tokens join to the line."""
+    if p.a.lossless and p.a.splits and _puts_a_space(p.b):
+        # Every segment of A was compared when it was learned; B's pieces join to their segment.
+        return np.array([p.b.space not in t for t in lines], bool)
+    return np.array([
+        b"".join(map(p.a.bytes.__getitem__, a[a_off[i]:a_off[i + 1]].tolist())) == data
+        and b"".join(map(p.b.surfaces.__getitem__, b[b_off[i]:b_off[i + 1]].tolist())) == data
+        for i, data in enumerate(t.encode() for t in lines)], bool)
+
+
 def aligned(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iterator[pa.RecordBatch]:
     """(doc_id, text) batches -> parts of texts with their tokens, groups and links; runs inside a task.
 
@@ -186,10 +226,7 @@ def aligned(batches: Iterator[pa.RecordBatch], a_path: str, b_path: str) -> Iter
     for batch in batches:
         for keys, lines in _chunks(batch, p.b):
             a, a_off, b, b_off = _tokens(lines, p)
-            valid = np.array([
-                b"".join(map(p.a.bytes.__getitem__, a[a_off[i]:a_off[i + 1]].tolist())) == data
-                and b"".join(map(p.b.surfaces.__getitem__, b[b_off[i]:b_off[i + 1]].tolist())) == data
-                for i, data in enumerate(t.encode() for t in lines)], bool)
+            valid = _valid(lines, p, a, a_off, b, b_off)
             sides = []
             for ids, off, sizes in ((a, a_off, p.sizes[0]), (b, b_off, p.sizes[1])):
                 line = np.repeat(np.arange(len(lines)), np.diff(off))
