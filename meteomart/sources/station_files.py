@@ -17,6 +17,7 @@ number of its first line; a header stands on one line.
 from __future__ import annotations
 
 import re
+import zipfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,7 +85,10 @@ def listing(spark: SparkSession, root: str, year: int) -> DataFrame:
             "path", F.lit(False).alias("archive")))
     if exists(spark, f"{base}/{text}.zip"):
         path = f"{base}/{text}.zip"
-        names = [m.name for m in archives.members(spark, path) if m.name.lower().endswith(".csv")]
+        try:
+            names = [m.name for m in archives.members(spark, path) if m.name.lower().endswith(".csv")]
+        except zipfile.BadZipFile as exc:
+            raise SourceError(f"BadZipFile: {path}: {exc}") from exc
         parts.append(spark.createDataFrame([(text, n, path, True) for n in names], LISTING))
     if len(parts) == 1:
         raise SourceError(f"no station files for {text} under {root}")
