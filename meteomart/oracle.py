@@ -407,6 +407,14 @@ def oracle_queries() -> dict[str, str]:
         "SELECT step, rows_loaded, n_rows, n_files FROM (SELECT count(*) AS n_rows, "
         "count(DISTINCT source_year || '/' || source_file) AS n_files FROM raw) c, "
         "LATERAL (VALUES ('1 refresh', n_rows), ('2 failed refresh', 0), ('3 incremental', 0)) s(step, rows_loaded)")
+    year = "cast(2021 + cast(regexp_extract(source_file, '([0-9]+)', 1) as bigint) % 3 as varchar)"
+    # Three years of stations; the last one is loaded after the first build.
+    q["incremental_models"] = _with(
+        f"SELECT s.source_year, n_silver, n_fact, CASE WHEN s.source_year < '2023' THEN n_silver ELSE 0 END AS silver_before, "
+        "CASE WHEN s.source_year < '2023' THEN n_fact ELSE 0 END AS fact_before, "
+        "s.source_year = '2023' AS silver_built, s.source_year = '2023' AS fact_built "
+        f"FROM (SELECT {year} AS source_year, count(*) AS n_silver FROM stg GROUP BY 1) s "
+        f"JOIN (SELECT {year} AS source_year, count(*) AS n_fact FROM fact GROUP BY 1) f ON f.source_year = s.source_year")
     singles = {"assert_humidity_range": "umidade_pct < 0 OR umidade_pct > 100", "assert_no_future_dates": "data_referencia > DATE '2024-01-15'"}
     tests = {"unique": f"SELECT count(*) FROM ({uniq}) u", "not_null": f"SELECT sum(failures) FROM ({nn}) u",
              "accepted_values": "SELECT 0", **{k: f"SELECT count(*) FROM fact WHERE {w}" for k, w in singles.items()}}
