@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from meteomart import constants as K
+from meteomart.operators.sieve import repeated_keys
+from meteomart.plans.joins import DEFAULT_BROADCAST_MAX_ROWS
 
+SMALL_MODEL = DEFAULT_BROADCAST_MAX_ROWS
 SUITE_FIELDS = [
     ("expectation_index", T.IntegerType()),
     ("expectation_type", T.StringType()),
@@ -34,7 +37,11 @@ SUITE_FIELDS = [
 
 
 class ValidationError(AssertionError):
-    """A quality gate failed; later stages must not run."""
+    """A quality gate failed; later stages must not run.  ``failures``: how many checks or rows failed."""
+
+    def __init__(self, message: str, failures: int | None = None):
+        super().__init__(message)
+        self.failures = failures
 
 
 def resolve_columns(columns) -> dict:
@@ -181,8 +188,8 @@ def validate_raw(raw: DataFrame, report_path: str | None = None, **suite_args) -
         raw.sparkSession.createDataFrame([(text,)], "value string").coalesce(1) \
             .write.mode("overwrite").text(report_path)
     if not report["success"]:
-        raise ValidationError("raw validation failed: " + ", ".join(
-            f"{r['expectation_type']}({r['column_name']})" for r in report["results"] if not r["success"]))
+        bad = [f"{r['expectation_type']}({r['column_name']})" for r in report["results"] if not r["success"]]
+        raise ValidationError("raw validation failed: " + ", ".join(bad), len(bad))
     return report
 
 
@@ -190,16 +197,21 @@ def validate_raw(raw: DataFrame, report_path: str | None = None, **suite_args) -
 # Gold tests.  ``models`` maps a model name to its DataFrame.
 # ---------------------------------------------------------------------------
 def test_unique(models: dict, tests=K.UNIQUE_TESTS) -> DataFrame:
-    """Repeated non-NULL key values: (model, column_name, unique_field, n_records)."""
+    """Repeated non-NULL key values: (model, column_name, unique_field, n_records).
+
+    A small model is grouped by its key at once; of a larger one only keys that the
+    sieve leaves are (``sieve``), so the key column itself is not shuffled.
+    """
     parts = []
     for model, column in tests:
         df = models[model]
-        parts.append(df.where(F.col(column).isNotNull())
-                     .groupBy(F.col(column).cast("string").alias("unique_field"))
-                     .agg(F.count(F.lit(1)).alias("n_records"))
-                     .where(F.col("n_records") > 1)
-                     .select(F.lit(model).alias("model"), F.lit(column).alias("column_name"),
-                             "unique_field", "n_records"))
+        rows = df.count()
+        if rows <= SMALL_MODEL:
+            found = (df.where(F.col(column).isNotNull()).groupBy(F.col(column).cast("string").alias("unique_field"))
+                     .agg(F.count(F.lit(1)).alias("n_records")).where(F.col("n_records") > 1))
+        else:
+            found = repeated_keys(df, column, rows)
+        parts.append(found.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"), "unique_field", "n_records"))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -275,5 +287,5 @@ def assert_gold_tests_pass(models: dict, today=None) -> dict:
     failures = gold_test_failures(models, today)
     bad = {k: v for k, v in failures.items() if v}
     if bad:
-        raise ValidationError(f"gold tests failed: {bad}")
+        raise ValidationError(f"gold tests failed: {bad}", sum(bad.values()))
     return failures

@@ -8,6 +8,8 @@ both sides so values hash alike.
 from __future__ import annotations
 
 from meteomart import constants as K
+from meteomart.plans.docs import COLUMN_COMMENTS, TABLE_COMMENTS
+from meteomart.plans.namespaces import LAYERS
 from meteomart.sources.proxy import PROXY_COLUMNS, PROXY_FROM_SQL, PROXY_SELECT_SQL
 
 S = K.SURROGATE_KEY_NULL
@@ -423,4 +425,29 @@ def oracle_queries() -> dict[str, str]:
     q["pipeline_report"] = _with(
         f"SELECT 'validate' AS stage, 'met' AS name, {met}::BIGINT AS n UNION ALL SELECT 'validate', 'failed', {failed}::BIGINT "
         + " ".join(f"UNION ALL SELECT 'test', '{k}', ({v})::BIGINT" for k, v in tests.items()))
+    q["gated_runs"] = _gated_runs(tests)
+    about = {"stg_inmet_weather": ("silver", "stg"), "dim_station": ("gold", "dim_station"), "dim_date": ("gold", "dim_date"),
+             "dim_time": ("gold", "dim_time"), "fact_weather_hourly": ("gold", "fact")}
+    text = lambda x: "NULL" if x is None else "'" + x.replace("'", "''") + "'"
+    columns = " UNION ALL ".join(
+        f"SELECT {text(LAYERS[layer])} AS layer_about, '{m}' AS table_name, {text(TABLE_COMMENTS[m])} AS table_about, column_name, "
+        f"(SELECT count(*) FROM {cte}) AS n_rows FROM (DESCRIBE SELECT * FROM {cte})" for m, (layer, cte) in about.items())
+    cases = " ".join(f"WHEN '{c}' THEN {text(t)}" for c, t in COLUMN_COMMENTS.items())
+    q["catalog_columns"] = _with(f"SELECT *, CASE column_name {cases} END AS column_about FROM ({columns}) x")
     return q
+
+
+def _gated_runs(tests: dict) -> str:
+    """Two runs over raw, the second over its dated rows; ``tests``: counts of failing rows over the gold CTEs."""
+    dated = RAW_CTE.replace("FROM events e", "FROM (SELECT * FROM events WHERE event_id % 101 <> 0) e")
+    suite = "SELECT count_if(NOT success) FROM ({0}) s"
+    failed = suite.format(_suite_sql(min_rows=1, max_rows=10**12))
+    failures = f"WITH {GOLD_CTES.replace(RAW_CTE, dated)} SELECT " + " + ".join(f"coalesce(({v}), 0)" for v in tests.values())
+    n_dated = f"(WITH {dated} SELECT count(*) FROM raw)"
+    n_fact = f"(WITH {GOLD_CTES.replace(RAW_CTE, dated)} SELECT count(*) FROM fact)"
+    rows = [("as it is", 1, 1, "ingest", "passed", f"(WITH {RAW_CTE} SELECT count(*) FROM raw)"), ("as it is", 1, 2, "validate", "failed", f"({failed})"),
+            ("dated", 1, 1, "ingest", "passed", n_dated), ("dated", 1, 2, "validate", "passed", "17"), ("dated", 1, 3, "transform", "passed", n_fact),
+            ("dated", 1, 4, "test", "failed", f"({failures})"), ("dated", 2, 1, "ingest", "skipped", "NULL"), ("dated", 2, 2, "validate", "skipped", "NULL"),
+            ("dated", 2, 3, "transform", "passed", n_fact), ("dated", 2, 4, "marts", "passed", "6")]
+    return " UNION ALL ".join(f"SELECT '{r}' AS run_id, {a} AS attempt, {p} AS place, '{s}' AS stage, '{st}' AS status, cast({n} as bigint) AS n"
+                              for r, a, p, s, st, n in rows)

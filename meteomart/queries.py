@@ -7,6 +7,7 @@ so results compare with the DuckDB oracle (``meteomart.oracle``).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date
@@ -26,7 +27,9 @@ from meteomart.operators import marts as M
 from meteomart.operators import quality as Q
 from meteomart.operators.silver import stg_weather
 from meteomart.oracle import DATE_TEXT_SQL, HOUR_TEXT_SQL, UNION_SPLIT_SQL, WIND_PRESSURE
+from meteomart.plans import namespaces as N
 from meteomart.plans import pipeline as P
+from meteomart.plans.ledger import read_ledger
 from meteomart.plans.materialize import new_scratch, write_and_reread
 from meteomart.plans.warehouse import Gold, build_gold
 from meteomart.session import configure
@@ -467,6 +470,38 @@ def q_pipeline_report(spark, sf):
     return one.unionByName(spark.createDataFrame([("test", k, v) for k, v in failures.items()], "stage string, name string, n long"))
 
 
+def q_gated_runs(spark, sf):
+    """Ledgers of two runs: one that the validation stops, one that the tests stop and that is resumed without them."""
+    out = None
+    for name, rows, steps in (("as it is", "true", [{}]), ("dated", "data IS NOT NULL", [{}, {"test_gold": False}])):
+        root = new_scratch(spark)
+        years = write_station_archives(raw(spark, sf).where(rows), f"{root}/files")
+        cfg = P.PipelineConfig(f"{root}/files", f"{root}/warehouse", years=years, min_rows=1, today=FIXED_TODAY)
+        for step in steps:
+            try:
+                P.run_pipeline(spark, replace(cfg, **step), run_id=name)
+            except Q.ValidationError:
+                pass                      # recorded in the ledger
+        ledger = read_ledger(spark, P.Tables(cfg.warehouse).ledger).select("run_id", "attempt", "place", "stage", "status", "n")
+        out = ledger if out is None else out.unionByName(ledger)
+    return out
+
+
+def q_catalog_columns(spark, sf):
+    """Databases, tables and columns of the session catalog with their descriptions, and the rows that each table has."""
+    g = gold(spark, sf)
+    names = dict(prefix=f"m{uuid.uuid4().hex[:8]}_")
+    tables = N.register(spark, lambda layer, table: f"{g.root}/{layer}/{table}", **names)
+    try:
+        counts = spark.sql(" UNION ALL ".join(f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {full}" for t, full in tables.items()))
+        counts = cut_rows(counts)
+        entries = spark.createDataFrame(N.described(spark, tables), "layer_about string, table_name string, table_about string, "
+                                        "column_name string, column_about string")
+    finally:
+        N.drop(spark, **names)
+    return entries.join(counts, "table_name")
+
+
 def registry() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name[2:]: fn for name, fn in globals().items()
             if name.startswith("q_") and callable(fn)}
