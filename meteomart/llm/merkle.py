@@ -60,20 +60,42 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(both == 0, 1.0).otherwise(2.0 * F.size(F.array_intersect(a, b)) / both)
 
 
+def paragraph_digests(tree_: Column) -> Column:
+    """The digests of all paragraphs, in order."""
+    return F.flatten(F.transform(tree_, lambda s: F.transform(s, lambda p: F.sha2(F.array_join(p, ""), 256))))
+
+
+def n_changed(mine: Column, theirs: Column) -> Column:
+    """How many of the digests ``mine`` are not among ``theirs``, by one pass over both, sorted.
+
+    Equal digests stand side by side, theirs first, so the state is theirs that came last.
+    """
+    entry = lambda side: lambda d: F.struct(d.alias("digest"), F.lit(side).alias("side"))
+    both = F.array_sort(F.concat(F.transform(F.array_distinct(theirs), entry(0)), F.transform(mine, entry(1))))
+    start = F.struct(F.lit("").alias("last"), F.lit(0).alias("n"))
+    return F.aggregate(both, start, lambda s, x: F.struct(
+        F.when(x["side"] == 0, x["digest"]).otherwise(s["last"]).alias("last"),
+        (s["n"] + F.when((x["side"] == 1) & (x["digest"] != s["last"]), 1).otherwise(0)).alias("n")), lambda s: s["n"])
+
+
 def changed(a: Column, b: Column) -> Column:
     """Paragraphs of tree ``a`` that tree ``b`` has not: array of (section, paragraph), from 0.
 
-    A section whose digest is among b's is skipped whole.
+    Digests that b has not are found by hashing; a section whose digest is among b's is skipped whole.
     """
-    theirs = section_digests(b)
-    paragraphs = F.flatten(F.transform(b, lambda s: F.transform(s, lambda p: F.array_join(p, ""))))
-    in_section = lambda s, i: F.filter(F.transform(s, lambda p, j: F.when(
-        ~F.array_contains(paragraphs, F.array_join(p, "")),
-        F.struct(i.alias("section"), j.alias("paragraph")))), lambda x: x.isNotNull())
-    none = F.array().cast("array<struct<section:int,paragraph:int>>")
-    return F.flatten(F.transform(
-        F.zip_with(a, section_digests(a), lambda s, d: F.struct(s.alias("s"), d.alias("d"))),
-        lambda x, i: F.when(F.array_contains(theirs, x["d"]), none).otherwise(in_section(x["s"], i))))
+    def let(value: Column, body) -> Column:
+        return F.get(F.transform(F.array(value), body), F.lit(0))
+    gone = let(F.struct(F.array_except(paragraph_digests(a), paragraph_digests(b)).alias("paragraphs"),
+                        F.array_except(section_digests(a), section_digests(b)).alias("sections")),
+               lambda g: F.flatten(F.transform(
+                   F.filter(F.zip_with(F.transform(a, lambda s, i: F.struct(s.alias("s"), i.alias("i"))), section_digests(a),
+                                       lambda s, d: F.struct(s["s"].alias("s"), s["i"].alias("i"), d.alias("d"))),
+                            lambda x: F.array_contains(g["sections"], x["d"])),
+                   lambda x: F.transform(F.filter(
+                       F.transform(x["s"], lambda p, j: F.struct(F.sha2(F.array_join(p, ""), 256).alias("d"), j.alias("j"))),
+                       lambda p: F.array_contains(g["paragraphs"], p["d"])),
+                       lambda p: F.struct(x["i"].alias("section"), p["j"].alias("paragraph"))))))
+    return gone
 
 
 def with_next(docs: DataFrame, rows_a_group: int = ROWS_A_GROUP,
@@ -126,11 +148,12 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     rows, order = with_next(docs)
     rows = (rows.withColumn("edit", edited(F.col("text"), F.col("next_text"))).drop("next_text")
             .withColumns({"tree": tree(F.col("text")), "edit_tree": tree(F.col("edit"))})
+            .withColumns({"paragraphs": paragraph_digests(F.col("tree")), "edit_paragraphs": paragraph_digests(F.col("edit_tree"))})
             .select("group", "halo", "doc_id", "text", F.length("text").cast("long").alias("n_chars"),
                     F.sha2("edit", 256).alias("edited_sha256"), root(F.col("tree")).alias("fingerprint"),
                     root(F.col("edit_tree")).alias("edited_fingerprint"), leaves(F.col("tree")).alias("leaves"),
                     leaves(F.col("edit_tree")).alias("edit_leaves"),
-                    F.size(changed(F.col("tree"), F.col("edit_tree"))).alias("n_changed_paragraphs")))
+                    n_changed(F.col("paragraphs"), F.col("edit_paragraphs")).alias("n_changed_paragraphs")))
     rows = rows.withColumn("next_leaves", F.lead("leaves").over(order))
     return rows.where("halo = 0").select(
         "doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",

@@ -74,3 +74,27 @@ def test_sql_twin(spark):
     got = merkle.fingerprints(spark.read.parquet(f"{SF}/documents.parquet")).toPandas()[list(want.columns)]
     key = ["doc_id", "edited_sha256"]
     assert got.sort_values(key).values.tolist() == want.sort_values(key).values.tolist()
+
+
+def test_a_text_of_many_lines(spark):
+    """Time grows with the lines, not with their square."""
+    import time
+    texts = ["\n".join(f"line {i} of text {t}." + ("\n" if i % 9 == 0 else "") for i in range(100_000)) for t in range(2)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    begun = time.monotonic()
+    rows = merkle.fingerprints(docs).collect()
+    assert time.monotonic() - begun < 120
+    assert all(40_000 < r["n_changed_paragraphs"] < 60_000 for r in rows)
+
+
+def test_changed_lists_what_is_counted(spark):
+    rng = random.Random(2)
+    rows = [tuple("".join(rng.choice("ab.\n") for _ in range(rng.randrange(60))) for _ in range(2)) for _ in range(60)]
+    a, b = merkle.tree(F.col("a")), merkle.tree(F.col("b"))
+    df = spark.createDataFrame(rows, "a string, b string").select("a", "b", a.alias("ta"), b.alias("tb"))
+    df = df.select("*", merkle.changed(F.col("ta"), F.col("tb")).alias("changed"),
+                   merkle.n_changed(merkle.paragraph_digests(F.col("ta")), merkle.paragraph_digests(F.col("tb"))).alias("n"))
+    for r in df.collect():
+        theirs = {"".join(p) for s in r["tb"] for p in s}
+        want = [(i, j) for i, s in enumerate(r["ta"]) for j, p in enumerate(s) if "".join(p) not in theirs]
+        assert [tuple(x) for x in r["changed"]] == want and r["n"] == len(want)
