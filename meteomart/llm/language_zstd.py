@@ -1,7 +1,8 @@
 """Language identification by compression.
 
-For every language a raw-content dictionary is made of labelled texts (at most
-``DICTIONARY_BYTES`` of them, a documented bound).  A text, lower-cased and cut
+For every language a raw-content dictionary is made of labelled texts: at most
+``DICTIONARY_BYTES`` of them, and ``ALL_BYTES`` over all languages, so that many
+languages get smaller dictionaries but each has one.  A text, lower-cased and cut
 to letters and single spaces, is compressed whole with each dictionary by
 zstandard; the language of the smallest output is chosen.  The score comes
 from the margin between the smallest and the next size, per character; below
@@ -11,17 +12,19 @@ Defined results.  Null or empty text, or one without letters: ``und``, score 0,
 rejected.  Ties of size: the language first in order.  Null id: predicted,
 ``held_out`` false, never learned from.  Null lang: never learned from.
 Repeated rows: one result each.  No labelled text at all, so also an empty
-training table: ``und`` for all.  Extra columns are ignored.
+training table: ``und`` for all.  A language whose labelled texts have no letter has no
+dictionary and is never predicted.  More than ``MOST_IDS`` languages are an error.
+Letters are the characters of Unicode's category L.  Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,10 +35,11 @@ DICTIONARY_BYTES = 96 * 1024
 SAMPLE_DOCS = 300             # a language
 LEVEL = 5
 NARROW = 0.02                 # of the smallest size
-MOST_LANGUAGES = 200
+ALL_BYTES = 200 * DICTIONARY_BYTES
+MOST_IDS = 60_000             # ids of the sample, over all languages
 SHARPNESS = 60.0
 
-_OTHERS = re.compile(r"[\W\d_]+")
+_OTHERS = regex.compile(r"\P{L}+")
 
 
 def letters(text: str | None) -> bytes:
@@ -47,10 +51,13 @@ def dictionaries(docs: DataFrame, size: int = DICTIONARY_BYTES, sample: int = SA
     """A raw-content dictionary for each language, from documents whose crc32 fold of 4 is not 2."""
     known = (docs.where("doc_id IS NOT NULL AND lang IS NOT NULL AND text IS NOT NULL")
              .where(fold(F.col("doc_id"), 4) != 2).select("lang", "doc_id"))
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MOST_LANGUAGES)
-    # At most MOST_LANGUAGES * sample ids: a proven bound for the broadcast.
-    picked = F.broadcast(bounded_sample(known.join(F.broadcast(counts.select("lang")), "lang"), "lang", F.col("doc_id"), sample)
-                         .select("doc_id"))
+    n_langs = max(1, known.select("lang").distinct().count())
+    if n_langs > MOST_IDS:
+        raise ValueError(f"{n_langs} languages are more than {MOST_IDS}")
+    size = min(size, ALL_BYTES // n_langs)
+    sample = max(1, min(sample, MOST_IDS // n_langs, size // 64))
+    # At most MOST_IDS ids: a proven bound for the broadcast.
+    picked = F.broadcast(bounded_sample(known, "lang", F.col("doc_id"), sample).select("doc_id"))
     texts = docs.where("lang IS NOT NULL").select("doc_id", "lang", "text").join(picked, "doc_id").select("doc_id", "lang", "text")
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -66,8 +73,8 @@ def dictionaries(docs: DataFrame, size: int = DICTIONARY_BYTES, sample: int = SA
     out = {}
     for lang, found in sorted(by_lang.items()):
         content = b" ".join(p for _, p in sorted(found))[:size]
-        if len(content) >= 8:
-            out[lang] = content
+        if content.strip():
+            out[lang] = content.ljust(8)        # the least that makes a dictionary
     return out
 
 

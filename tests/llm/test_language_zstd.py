@@ -49,3 +49,23 @@ def test_the_smallest_size_wins():
     assert L.predict_one(sizes, "el perro y el gato se sienta en la mesa")[0] == "b"
     lang, score, rejected = L.predict_one(sizes, "qq")
     assert lang == "a" and rejected and score == pytest.approx(0.5)
+
+
+def test_only_letters_make_a_language():
+    for text in ("²", "½ ¼", "Ⅷ", "12 ٣", "...", "\u0301", "_"):
+        assert L.letters(text) == b""
+    assert L.letters("Ça va? 3²x") == "ça va x".encode()
+
+
+def test_every_language_has_a_dictionary(spark, monkeypatch):
+    """Many languages get smaller dictionaries; none is left out, however short its texts."""
+    from llm_data import SCHEMA
+    rows = [(i, f"word{chr(97 + i % 26)}{chr(97 + i // 26)} " * 5 if i else "ab", f"l{i}", "s", 10) for i in range(260)]
+    kept = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    found = L.dictionaries(spark.createDataFrame(rows, SCHEMA))
+    assert set(found) == {r[2] for r in kept}
+    monkeypatch.setattr(L, "ALL_BYTES", 260 * 16)
+    assert max(map(len, L.dictionaries(spark.createDataFrame(rows, SCHEMA)).values())) <= 21
+    monkeypatch.setattr(L, "MOST_IDS", 100)
+    with pytest.raises(ValueError):
+        L.dictionaries(spark.createDataFrame(rows, SCHEMA))
