@@ -42,6 +42,7 @@ class Built:
     changed: list = field(default_factory=list)      # years whose silver was built
     fact_years: list = field(default_factory=list)   # years whose fact was built
     gone: list = field(default_factory=list)         # years without loads any more
+    versions: dict = field(default_factory=dict)     # of the fact, by year: another one whenever a year was built
 
 
 def inputs_by_year(log: DataFrame, settings: str) -> dict[str, str]:
@@ -60,6 +61,12 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[dict[str, str], int]:
     return {r["source_year"]: r["inputs"] for r in rows if r["inputs"]}, max([r["place"] for r in rows], default=0)
 
 
+def write_manifest(spark: SparkSession, path: str, inputs: dict[str, str | None], place: int) -> None:
+    """Append what each year was made from (None: the year is gone); the newest record of a year counts."""
+    rows = [(y, i, place) for y, i in inputs.items()]
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(path)
+
+
 def _files(spark: SparkSession, folder: str) -> set[str]:
     path, fs = SF._fs_path(spark, folder)
     return {f.getPath().getName() for f in fs.listStatus(path)} if fs.exists(path) else set()
@@ -100,10 +107,11 @@ def update_gold(raw: DataFrame, log: DataFrame, path_of, on_bad: str = "error",
     silver = path_of("silver", "stg_inmet_weather")
     states = {n: path_of("silver", f"state_{n}") for n in STATES}
     fact_path, variants = path_of("gold", "fact_weather_hourly"), path_of("gold", "state_variants")
+    versions = path_of("gold", "manifest")
     scratch = new_scratch(spark)
     try:
         if not then:                          # nothing that a manifest vouches for
-            for path in (silver, fact_path, variants, *states.values()):
+            for path in (silver, fact_path, variants, versions, *states.values()):
                 SF.remove(spark, path)
         for y in gone:
             for path in (silver, fact_path, *states.values()):
@@ -139,11 +147,12 @@ def update_gold(raw: DataFrame, log: DataFrame, path_of, on_bad: str = "error",
             replace_years(fact_plan, fact_path, fact_years)
         if changed or gone:
             after.write.mode("overwrite").parquet(variants)
-            rows = [(y, now.get(y), place + 1) for y in [*changed, *gone]]
-            spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("append").parquet(manifest)
+            write_manifest(spark, versions, {**{y: str(place + 1) for y in fact_years}, **dict.fromkeys(gone)}, place + 1)
+            write_manifest(spark, manifest, {y: now.get(y) for y in [*changed, *gone]}, place + 1)
     finally:
         SF.remove(spark, scratch)
-    return Built(Gold(stg, station, calendar, time_dim, _table(fact_plan, fact_path), path_of("gold", "")), changed, fact_years, gone)
+    return Built(Gold(stg, station, calendar, time_dim, _table(fact_plan, fact_path), path_of("gold", "")), changed, fact_years, gone,
+                 read_manifest(spark, versions)[0])
 
 
 def _state(stg: DataFrame, name: str, columns: list[str]) -> DataFrame:

@@ -104,3 +104,42 @@ def test_year_left_without_rows_loses_its_folder(spark, workdir):
     I.replace_years(rows, f"{workdir}/t", ["2024", "2025"])
     I.replace_years(rows.where("x = 2").withColumn("x", F.lit(5)), f"{workdir}/t", ["2024", "2025"])
     assert [r["x"] for r in spark.read.parquet(f"{workdir}/t").collect()] == [5]
+
+
+def marts_of(spark, gold):
+    from meteomart.operators import marts as M
+    return {"rain_by_station_month": M.rain_by_station_month(gold.fact, gold.dim_station, gold.dim_date),
+            **{n: getattr(M, n)(gold.fact, gold.dim_station) for n in M.MARTS if n != "rain_by_station_month"}}
+
+
+def check_marts(spark, cfg, paths, gold):
+    for name, want in marts_of(spark, gold).items():
+        got = spark.read.parquet(paths[name])
+        assert [(f.name, f.dataType) for f in got.schema] == [(f.name, f.dataType) for f in want.schema], name
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())), name
+
+
+def test_marts_from_states_equal_those_of_the_fact(spark, workdir):
+    """Also after a year was refreshed, and after a run that stopped between the fact and the marts."""
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    SD.build_year_2026(src)
+    os.remove(f"{src}/2026/extra_A004.csv")
+    station(src, 2025, "A001", 2, n=5)
+    cfg = P.PipelineConfig(src, wh, years="2025,2026", load_mode="incremental", on_bad="null")
+    P.ingest(spark, cfg)
+    built = P.update_models(spark, cfg)
+    check_marts(spark, cfg, P.update_marts(spark, cfg, built), built.gold)
+    old = files(wh, "marts", "state_temp_humidity_by_day")
+    station(src, 2025, "A009", 3, uf="RS", regiao="S")
+    P.ingest(spark, cfg)
+    P.update_models(spark, cfg)                       # stopped here: the marts were not written
+    built = P.update_models(spark, cfg)
+    assert built.fact_years == []
+    check_marts(spark, cfg, P.update_marts(spark, cfg, built), built.gold)
+    now = files(wh, "marts", "state_temp_humidity_by_day")
+    assert {f for f in now if "2026" in f.split("=")[1]} == {f for f in old if "2026" in f.split("=")[1]}
+    assert not {f for f in now if "source_year=2025" in f} & set(old)
+    P.ingest(spark, P.PipelineConfig(src, wh, years="2026", on_bad="null"))
+    built = P.update_models(spark, cfg)
+    assert built.gone == ["2025"]
+    check_marts(spark, cfg, P.update_marts(spark, cfg, built), built.gold)
