@@ -126,12 +126,35 @@ def _text_lines(spark: SparkSession, folder: str, year: str, paths: list[str] |
     reader = spark.read.format("text")
     raw = (reader.option("pathGlobFilter", CSV_GLOB).option("recursiveFileLookup", "true").load(folder)
            if paths is None else reader.load(paths))
-    prefix = _folder_prefix(spark, folder)
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return _shaped(raw.selectExpr("value", *_PLACE), _folder_prefix(spark, folder), year)
+
+
+_PLACE = ["_metadata.file_path AS path", "_metadata.file_block_start AS block"]
+
+
+def _shaped(raw: DataFrame, prefix: str, year: str | None) -> DataFrame:
+    """Lines with their file's name below ``prefix``; without a year the first folder is one."""
+    path = F.url_decode(F.replace(F.col("path"), F.lit("+"), F.lit("%2B")))
+    name = F.substr(_bare(path), F.lit(len(prefix) + 1))
+    first = F.substring_index(name, "/", 1)
     return raw.select(
-        F.lit(year).alias("source_year"), F.substr(_bare(path), F.lit(len(prefix) + 1)).alias("source_file"),
-        F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("mid"),
-        F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"))
+        (first if year is None else F.lit(year)).alias("source_year"),
+        (F.substr(name, F.length(first) + 2) if year is None else name).alias("source_file"),
+        "block", F.monotonically_increasing_id().alias("mid"), F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("line"))
+
+
+def line_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """The lines of station files that appear under ``root``, with their places in the files."""
+    reader = (spark.readStream.format("text").option("pathGlobFilter", CSV_GLOB).option("recursiveFileLookup", "true"))
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(root.rstrip("/")).selectExpr("value", *_PLACE)
+
+
+def lines_of_batch(batch: DataFrame, root: str) -> DataFrame:
+    """Lines of a micro-batch of ``line_stream``, as ``read_lines`` gives them; folders that are no year are left out."""
+    lines = _shaped(batch, _folder_prefix(batch.sparkSession, root.rstrip("/")), None)
+    return _split_breaks(lines.where(F.col("source_year").rlike("^[0-9]+$")))
 
 
 def read_lines(spark: SparkSession, root: str, files: DataFrame, year: int, only: bool = False) -> DataFrame:

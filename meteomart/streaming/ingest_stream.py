@@ -1,11 +1,11 @@
-"""Incremental ingestion triggered by a file stream.
-
-The stream only watches the station folders and archives: its micro-batches
-say which years have new files, and each such year goes through the batch
-loader in incremental mode.  The file log decides what is loaded, so batch
-loads and streams never load a file twice, a replayed batch finds nothing to
-do, and a file that failed is tried again.  A file without a header is logged
-alone; the others are loaded.
+"""Incremental ingestion by file streams.
+
+Station files come as a stream of their lines: each micro-batch holds the lines of the
+files that are new, with their places in them, and is loaded as it is.  Nothing is listed
+again, and no path reaches the driver.  Archives come as a stream of names; the year of a
+new archive goes through the batch loader in incremental mode.  In both the file log
+decides what is loaded, so batch loads and streams never load a file twice and a replayed
+batch finds nothing to do.  A file without a header is logged alone; the others are loaded.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from meteomart.plans import pipeline as P
 from meteomart.session import configure
+from meteomart.sources import station_files as SF
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -27,31 +28,29 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
-def station_file_stream(spark: SparkSession, source_root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """The year of every station file or archive under ``source_root`` (no content is read)."""
-    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*.{[cC][sS][vV],zip}").option("recursiveFileLookup", "true"))
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    # The first folder below the root, or the archive's name: a year.
-    below = F.substring_index(F.col("path"), source_root.rstrip("/").rpartition("/")[2] + "/", -1)
-    return reader.load(source_root.rstrip("/")).select(F.regexp_extract(below, r"^([0-9]+)(?:/|[.]zip$)", 1).alias("source_year"))
+def archive_stream(spark: SparkSession, source_root: str) -> DataFrame:
+    """The year of every archive under ``source_root`` (no content is read)."""
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA).option("pathGlobFilter", "*.zip"))
+    return reader.load(source_root.rstrip("/")).select(F.regexp_extract("path", r"([0-9]+)[.]zip$", 1).alias("source_year"))
 
 
 def run_stream_ingest(spark: SparkSession, source_root: str, warehouse: str, run_name: str = "ingest",
                       checkpoint: str | None = None, max_files_per_trigger: int | None = None) -> None:
-    """Load the years with files not seen before, then stop (availableNow)."""
+    """Load the files and archives not seen before, then stop (availableNow)."""
     configure(spark)
     cfg = P.PipelineConfig(source_root, warehouse, load_mode="incremental")
     checkpoint = checkpoint or P.Tables(warehouse).path("_streams", run_name)
 
-    def write(batch: DataFrame, _: int) -> None:
-        years = sorted(int(r[0]) for r in batch.where("source_year <> ''").distinct().collect())
-        for year in years:                  # a year that fails does not keep the others back
+    def load_lines(batch: DataFrame, _: int) -> None:
+        P.ingest_lines(batch.sparkSession, cfg, SF.lines_of_batch(batch, source_root))
+
+    def load_archives(batch: DataFrame, _: int) -> None:
+        for year in sorted(int(r[0]) for r in batch.where("source_year <> ''").distinct().collect()):
             P.ingest(batch.sparkSession, replace(cfg, years=[year]), isolate_files=True)
-    query = (station_file_stream(spark, source_root, max_files_per_trigger)
-             .writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
-    if query.exception() is not None:
-        raise query.exception()
+    for name, stream, load in (("lines", SF.line_stream(spark, source_root, max_files_per_trigger), load_lines),
+                               ("archives", archive_stream(spark, source_root), load_archives)):
+        query = (stream.writeStream.foreachBatch(load).option("checkpointLocation", f"{checkpoint}/{name}")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+        if query.exception() is not None:
+            raise query.exception()

@@ -64,3 +64,28 @@ def test_new_stream_with_restarted_epochs_is_not_mistaken_for_a_replay(spark, wo
                       [SD.row("2026/01/01", f"{h:02d}00 UTC") for h in range(2 + i)])
         run_stream_ingest(spark, src, wh, checkpoint=f"{workdir}/ckpt{i}")   # epochs start at 0 twice
     assert P.read_raw(spark, P.Tables(wh)).count() == 5
+
+
+def test_a_micro_batch_lists_nothing(spark, workdir, monkeypatch):
+    """Files, quoted line ends and blocks of any size come from the batch's own lines."""
+    from meteomart.sources import station_files as SF
+    src, wh = f"{workdir}/src", f"{workdir}/wh"
+    body = [SD.row("2026/01/01", f"{h % 24:02d}00 UTC", rain='"1;\n2"' if h % 7 == 0 else str(h)) for h in range(60)]
+    text = "\n".join([*SD.preamble(code="A009"), SD.MODERN_HEADER, *body])
+    SD.write_file(f"{src}/2026/sub folder", "PORTO +1%.csv", text.split("\n"))
+    SD.write_file(f"{src}/2025", "A001.csv", file_of("A001", 5))
+    SD.write_file(f"{src}/notes", "A002.csv", file_of("A002", 5))
+
+    def no_listing(*_):
+        raise AssertionError("listed")
+    monkeypatch.setattr(SF, "listing", no_listing)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+        run_stream_ingest(spark, src, wh, max_files_per_trigger=1)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    raw = P.read_raw(spark, P.Tables(wh))
+    assert {(r["source_year"], r["source_file"]): r["count"] for r in raw.groupBy("source_year", "source_file").count().collect()} == {
+        ("2026", "sub folder/PORTO +1%.csv"): 60, ("2025", "A001.csv"): 5}
+    assert raw.where("precipitacao_total_horario = '1;\n2'").count() == 9
