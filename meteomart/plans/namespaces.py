@@ -7,6 +7,8 @@ dropping an entry touches no data.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import SparkSession
 
 from meteomart.plans.docs import COLUMN_COMMENTS, TABLE_COMMENTS
@@ -21,6 +23,11 @@ def _name(x: str) -> str:
     return "`" + x.replace("`", "``") + "`"
 
 
+def _database(name: str) -> str:
+    """The catalog takes letters, digits and underscores; anything else becomes an underscore."""
+    return _name(re.sub(r"[^A-Za-z0-9_]", "_", name))
+
+
 def _text(x: str) -> str:
     return "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -31,7 +38,7 @@ def register(spark: SparkSession, path_of, layer_name=lambda layer: layer, prefi
     ``path_of(layer, table)`` is its folder, ``layer_name`` routes a layer to a database name.
     """
     for layer, about in LAYERS.items():
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_name(prefix + layer_name(layer))} COMMENT {_text(about)}")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_database(prefix + layer_name(layer))} COMMENT {_text(about)}")
     out = {}
     for table, layer in LAYER_OF.items():
         path = path_of(layer, table)
@@ -40,7 +47,7 @@ def register(spark: SparkSession, path_of, layer_name=lambda layer: layer, prefi
         schema = spark.read.parquet(path).schema
         columns = ", ".join(f"{_name(f.name)} {f.dataType.simpleString() if f.name != 'source_year' else 'string'}"
                             + (f" COMMENT {_text(COLUMN_COMMENTS[f.name])}" if f.name in COLUMN_COMMENTS else "") for f in schema.fields)
-        full = f"{_name(prefix + layer_name(layer))}.{_name(table)}"
+        full = f"{_database(prefix + layer_name(layer))}.{_name(table)}"
         by_year = "source_year" in schema.names
         spark.sql(f"DROP TABLE IF EXISTS {full}")
         spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet {'PARTITIONED BY (source_year) ' if by_year else ''}"
@@ -54,7 +61,7 @@ def register(spark: SparkSession, path_of, layer_name=lambda layer: layer, prefi
 def drop(spark: SparkSession, layer_name=lambda layer: layer, prefix: str = "") -> None:
     """Forget the entries; the folders stay."""
     for layer in LAYERS:
-        spark.sql(f"DROP DATABASE IF EXISTS {_name(prefix + layer_name(layer))} CASCADE")
+        spark.sql(f"DROP DATABASE IF EXISTS {_database(prefix + layer_name(layer))} CASCADE")
 
 
 def described(spark: SparkSession, tables: dict[str, str]) -> list[tuple]:
