@@ -1,11 +1,14 @@
 """N-gram Jaccard join with a MinHash LSH forest.
 
 Each document's shingles (five consecutive words) give ``TREES`` labels of
-``DEPTH`` minimum hashes.  A tree is the sorted trie of its labels; two
-documents meet in a tree when their labels share a prefix.  The prefix starts
-at the whole label and is shortened until pairs at the threshold meet in some
-tree with probability ``RECALL``.  Every meeting is then verified on the exact
-shingle sets.
+``DEPTH`` minimum hashes.  A tree is the trie of its labels: they are sorted, and
+what a label shares with its neighbours in that order is its longest matched
+prefix.  Labels that share nothing leave; they are most of all.  From whole
+labels, the trees' prefixes are shortened one by one until pairs at the threshold
+meet in some tree with probability ``RECALL``: no document meets others by a longer prefix.
+A matched prefix is shortened further, by each document, as far as at most
+``SMALL`` classes share it, so the recall is higher where that is cheap.
+Every meeting is then verified on the exact shingle sets.
 
 Documents with equal shingle sets are one class from the start.  Where a
 prefix has at most ``SMALL`` classes, all of them are compared as rows.  A prefix
@@ -36,6 +39,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -43,7 +47,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from pyspark.sql.window import Window
 
 from meteomart.llm import text as X
@@ -54,7 +58,7 @@ from meteomart.plans.joins import bounded_broadcast
 WORDS = 5
 THRESHOLD = 0.8
 TREES = 20
-DEPTH = 8
+DEPTH = 6
 RECALL = 0.999
 SMALL = 24
 BLOCK_ROWS = 1024             # sets in a block
@@ -71,11 +75,20 @@ class Source(NamedTuple):
     classes: DataFrame | None = None      # id, least (an id of its documents), f1, f2, size
 
 
-def shortened(trees: int, depth: int, threshold: float, recall: float) -> int:
-    """The longest prefix at which a pair at the threshold meets with probability ``recall``."""
-    while depth > 1 and 1 - (1 - threshold ** depth) ** trees < recall:
-        depth -= 1
-    return depth
+def longest(trees: int, depth: int, threshold: float, recall: float) -> list[int]:
+    """Each tree's longest prefix at which pairs at the threshold meet somewhere with probability ``recall``.
+
+    Whole labels are shortened by one hash, a tree after the other, until the recall is
+    reached (or no prefix can be shortened).  The order does not depend on the documents, so
+    a pair's chance to meet does not, either.
+    """
+    out = [depth] * trees
+    missed = lambda: math.prod(1 - threshold ** p for p in out)
+    for step in range(trees * (depth - 1)):
+        if 1 - missed() >= recall:
+            break
+        out[step % trees] -= 1
+    return out
 
 
 def sorted_shingles(chunk: X.Chunk, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -106,14 +119,17 @@ def _content(h: np.ndarray, off: np.ndarray) -> list[pa.Array]:
     return [pa.array(f1.view(np.int64)), pa.array(X.mix(f2).view(np.int64)), pa.array(np.diff(off).astype(np.int64))]
 
 
-def signatures(docs: DataFrame, words: int, trees: int, depth: int, prefix: int) -> DataFrame:
-    """doc_id, two hashes and the size of the shingle set, and one key a tree.
+def signatures(docs: DataFrame, words: int, depth: int, prefixes: list[int], shortest: int) -> DataFrame:
+    """doc_id, two hashes and the size of the shingle set, and the keys of each tree's prefixes.
 
-    The key is the hash of the tree's number and the label's prefix.
+    A key is the hash of the tree's number and a prefix of its label; a tree has one for each
+    length from ``shortest`` to its longest prefix, ascending.
     """
+    trees = len(prefixes)
     rng = np.random.default_rng(SEED)
     mult = (rng.integers(0, 1 << 31, trees * depth, dtype=np.uint32) * np.uint32(2) + np.uint32(1))
     add = rng.integers(0, 1 << 32, trees * depth, dtype=np.uint32)
+    wanted = np.arange(shortest, max(prefixes) + 1)[None, :] <= np.array(prefixes)[:, None]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -126,15 +142,83 @@ def signatures(docs: DataFrame, words: int, trees: int, depth: int, prefix: int)
                         labels[d] = _labels(h[off[d]:off[d + 1]], mult, add)
                 by_tree = labels.reshape(n, trees, depth).astype(np.uint64)
                 keys = np.broadcast_to(np.arange(1, trees + 1, dtype=np.uint64), (n, trees)).copy()
-                for j in range(prefix):
+                levels = []
+                for j in range(max(prefixes)):
                     keys = X.mix(keys * np.uint64(0x100000001B3) + by_tree[:, :, j])
+                    if j + 1 >= shortest:
+                        levels.append(keys)
+                flat = np.stack(levels, axis=2)[:, wanted]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(c.first, n), *_content(h, off), X.lists(keys.ravel().view(np.int64), np.arange(n + 1) * trees, pa.int64())],
+                    [b.column(0).slice(c.first, n), *_content(h, off),
+                     X.lists(flat.ravel().view(np.int64), np.arange(n + 1) * flat.shape[1], pa.int64())],
                     ["doc_id", "f1", "f2", "size", "keys"])
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id long, f1 long, f2 long, size long, keys array<long>")
 
 
+def _labels_of(classes: DataFrame, prefixes: list[int], shortest: int) -> DataFrame:
+    """id, size and k0, k1, ...: the keys of one tree's prefixes, ascending in length (null beyond its longest)."""
+    width, rows, at = max(prefixes) - shortest + 1, [], 1
+    for p in prefixes:
+        own = p - shortest + 1
+        key = lambda j: F.element_at("keys", at + j) if j < own else F.lit(None).cast("long")  # noqa: B023, E731
+        rows.append(F.struct(*[key(j).alias(f"k{j}") for j in range(width)]))
+        at += own
+    return classes.select("id", "size", F.explode(F.array(*rows)).alias("label")).select("id", "size", "label.*")
+
+
+def _matched(labels: DataFrame) -> DataFrame:
+    """The labels that share a prefix with a neighbour in the sorted trie; ``matched``: how many keys.
+
+    The first and last label of a partition count as matched, as their neighbours are elsewhere.
+    """
+    keys = [c for c in labels.columns if c not in ("id", "size")]
+    width = len(keys)
+
+    def shared(t: pa.RecordBatch, left: np.ndarray, right: np.ndarray) -> pa.RecordBatch:
+        own = sum(t.column(c).is_valid().to_numpy(zero_copy_only=False).astype(np.int32) for c in keys)
+        matched = np.minimum(np.maximum(left, right), own).astype(np.int32)
+        some = pa.array(np.flatnonzero(matched > 0))
+        return pa.RecordBatch.from_arrays([*[c.take(some) for c in t.columns], pa.array(matched).take(some)],
+                                          [*t.schema.names, "matched"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, before = None, width                 # the last label so far, and what it shares with the one before it
+        for b in batches:
+            if not b.num_rows:
+                continue
+            t = b if held is None else pa.Table.from_batches([held, b]).combine_chunks().to_batches()[0]
+            table = np.stack([t.column(c).fill_null(0).to_numpy(zero_copy_only=False) for c in keys], axis=1)
+            alike = np.logical_and.accumulate(table[1:] == table[:-1], axis=1).sum(axis=1)
+            left = np.concatenate([[before], alike])
+            yield shared(t.slice(0, t.num_rows - 1), left[:-1], alike)
+            held, before = t.slice(t.num_rows - 1), int(left[-1])
+        if held is not None:
+            yield shared(held, np.array([width]), np.array([width]))
+    order = [*keys, "id"]
+    schema = StructType([*labels.schema.fields, StructField("matched", IntegerType())])
+    return labels.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema)
+
+
+def _meetings(labels: DataFrame) -> DataFrame:
+    """id, size, key and n (> 1) of the prefixes by which classes meet.
+
+    A label's matched prefix is the shortest that at most SMALL classes share, or
+    its tree's longest.
+    """
+    keys = [c for c in labels.columns if c not in ("id", "size")]
+    path = F.array_compact(F.array(*keys))
+    trie = cut(_matched(labels).select("id", "size", "matched", path.alias("path")))
+    each = trie.select("id", "size", "path", F.posexplode(F.slice("path", 1, F.col("matched"))).alias("at", "key"))
+    parent = F.when(F.col("at") > 0, F.get("path", F.col("at") - 1)).otherwise(F.col("key"))
+    nodes = cut(each.groupBy("key").agg(F.first(parent).alias("parent"), F.first("at").alias("at"),
+                                        F.first(F.col("at") + 1 == F.size("path")).alias("last"), F.count("*").alias("n")).where("n > 1"))
+    above = nodes.select(F.col("key").alias("parent"), F.col("n").alias("above"))
+    ends = (nodes.join(above, "parent").where((F.col("n") <= SMALL) | F.col("last"))
+            .where((F.col("at") == 0) | (F.col("above") > SMALL)).select("key", "n"))
+    return cut(each.select("id", "size", "key").join(ends, "key"))
+
+
 def _sets(source: Source | DataFrame, ids: DataFrame, words: int) -> DataFrame:
     """The shingle sets of the classes in ``ids`` (id)."""
     source = source if isinstance(source, Source) else Source(source)
@@ -192,19 +276,19 @@ def _named(classes: DataFrame) -> tuple[DataFrame, bool]:
 
 def _met(docs: DataFrame, threshold: float, words: int, trees: int, depth: int,
          recall: float) -> tuple[DataFrame, DataFrame, Source]:
-    """(members, meet, source): class of every row; id, size, key and n of every prefix with n > 1 classes."""
-    prefix = shortened(trees, depth, threshold, recall)
-    rows = cut(signatures(docs.where("doc_id IS NOT NULL"), words, trees, depth, prefix))
+    """(members, meet, source): class of every row; id, size, key and n of the prefixes by which classes meet."""
+    prefixes = longest(trees, depth, threshold, recall)
+    shortest = max(1, min(prefixes) - 1)
+    rows = cut(signatures(docs.where("doc_id IS NOT NULL"), words, depth, prefixes, shortest))
     # A text without shingles is a class with all rows of its id that have none, either.
     same = F.struct(F.col("size"), F.when(F.col("size") > 0, F.col("f1")).otherwise(F.col("doc_id")).alias("f1"), F.col("f2"))
     rows = rows.withColumn("same", same)
     classes = cut(rows.groupBy("same").agg(F.min("doc_id").alias("least"), F.first(F.when(F.col("size") > 0, F.col("keys"))).alias("keys")))
     classes, clashing = _named(classes)
     members = rows.select("doc_id", "same").join(classes.select("same", "id"), "same").select("doc_id", F.col("id").alias("representative"))
-    meet = classes.select("id", F.col("same.size").alias("size"), F.explode("keys").alias("key"))
-    sizes = meet.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    labels = _labels_of(classes.where("keys IS NOT NULL").select("id", F.col("same.size").alias("size"), "keys"), prefixes, shortest)
     contents = classes.select("id", "least", "same.f1", "same.f2", "same.size") if clashing else None
-    return members, cut(meet.join(sizes, "key")), Source(docs, contents)
+    return members, _meetings(labels), Source(docs, contents)
 
 
 def _connecting(meet: DataFrame, docs: Source, words: int, threshold: float) -> DataFrame:

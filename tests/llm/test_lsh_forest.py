@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -102,9 +103,39 @@ def test_rare_pairs_hold_all_similar_pairs(spark):
 
 
 def test_prefix_is_shortened_to_the_recall():
-    assert L.shortened(20, 8, 0.8, 0.999) == 5
-    assert L.shortened(20, 8, 0.8, 0.0) == 8
-    assert L.shortened(1, 8, 0.8, 1.0) == 1
+    missed = lambda prefixes: math.prod(1 - 0.8 ** p for p in prefixes)
+    found = L.longest(20, 6, 0.8, 0.999)
+    assert 1 - missed(found) >= 0.999 and set(found) == {5, 6}
+    longer = [*found]
+    longer[longer.index(5, found.count(5) - 1)] += 1
+    assert 1 - missed(longer) < 0.999
+    assert L.longest(20, 8, 0.8, 0.0) == [8] * 20
+    assert L.longest(2, 8, 0.8, 1.0) == [1, 1]
+
+
+@pytest.mark.parametrize("small", [2, 5])
+def test_meetings_match_a_trie_by_hand(spark, monkeypatch, small):
+    """Every label ends at the shortest prefix that few share, at any number of partitions."""
+    monkeypatch.setattr(L, "SMALL", small)
+    rng = random.Random(5)
+    rows = []
+    for i in range(300):
+        a = rng.randrange(60)
+        b = 1_000 + a * 10 + rng.randrange(3)
+        rows.append((i, 9, a, b, None if a % 2 else b * 100 + rng.randrange(3)))
+    rows += [(1000 + i, 9, 7_000, 8_000, 9_000) for i in range(40)]
+    got = {(r["id"], r["key"], r["n"]) for r in L._meetings(
+        spark.createDataFrame(rows, "id long, size long, k0 long, k1 long, k2 long").repartition(7)).collect()}
+    want = set()
+    for i, _, *path in rows:
+        path = [k for k in path if k is not None]
+        for at, key in enumerate(path):
+            n = sum(key == r[2 + at] for r in rows)
+            if n <= small or at + 1 == len(path):
+                if n > 1:
+                    want.add((i, key, n))
+                break
+    assert got == want
 
 
 def test_ids_that_repeat_with_other_texts(spark):
