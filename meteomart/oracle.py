@@ -409,6 +409,12 @@ def oracle_queries() -> dict[str, str]:
         "SELECT step, rows_loaded, n_rows, n_files FROM (SELECT count(*) AS n_rows, "
         "count(DISTINCT source_year || '/' || source_file) AS n_files FROM raw) c, "
         "LATERAL (VALUES ('1 refresh', n_rows), ('2 failed refresh', 0), ('3 incremental', 0)) s(step, rows_loaded)")
+    wave = "cast(regexp_extract(source_file, '([0-9]+)', 1) as bigint) % 3"
+    q["compacted_loads"] = _raw_with(
+        f"SELECT step, CASE WHEN step < '2' THEN n_parts ELSE n_years END AS n_folders, n_parts AS n_loads, n_files, n_rows "
+        f"FROM (SELECT count(DISTINCT source_year || '/' || cast({wave} as varchar)) AS n_parts, count(DISTINCT source_year) AS n_years, "
+        "count(DISTINCT source_year || '/' || source_file) AS n_files, count(*) AS n_rows "
+        "FROM raw) c, (VALUES ('1 loaded'), ('2 compacted'), ('3 vacuumed')) s(step)")
     year = "cast(2021 + cast(regexp_extract(source_file, '([0-9]+)', 1) as bigint) % 3 as varchar)"
     # Three years of stations; the last one is loaded after the first build.
     q["incremental_models"] = _with(

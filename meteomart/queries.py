@@ -27,6 +27,7 @@ from meteomart.operators import marts as M
 from meteomart.operators import quality as Q
 from meteomart.operators.silver import stg_weather
 from meteomart.oracle import DATE_TEXT_SQL, HOUR_TEXT_SQL, UNION_SPLIT_SQL, WIND_PRESSURE
+from meteomart.plans import compaction as C
 from meteomart.plans import namespaces as N
 from meteomart.plans import pipeline as P
 from meteomart.plans.ledger import read_ledger
@@ -45,6 +46,8 @@ MISSING_YEAR = 1900
 QUOTED = "data LIKE '%-1_'"
 # A year for each station, so that there are several.
 YEAR_OF_STATION = "cast(2021 + cast(regexp_extract(source_file, '([0-9]+)', 1) as bigint) % 3 as string)"
+# Three loads of stations.
+WAVE_OF_STATION = "cast(regexp_extract(source_file, '([0-9]+)', 1) as bigint) % 3"
 # Stations whose files keep only a preamble and a header.
 EMPTY = "source_file LIKE '%3.csv'"
 DAMAGED = "source_file LIKE '%7.csv' OR data LIKE '%-05'"
@@ -452,6 +455,28 @@ def q_incremental_models(spark, sf):
                     F.coalesce("fact_before", F.lit(0)).alias("fact_before"), touched[0].alias("silver_built"), touched[1].alias("fact_built")))
 
 
+def q_compacted_loads(spark, sf):
+    """What readers see of three loads of stations, after they are compacted, and after old folders are removed."""
+    root, tables, by_wave = new_scratch(spark), None, raw(spark, sf)
+    for wave in range(3):
+        years = write_station_files(by_wave.where(F.expr(WAVE_OF_STATION) == wave), f"{root}/files")
+        cfg = P.PipelineConfig(f"{root}/files", f"{root}/warehouse", years=years, load_mode="incremental" if wave else "full_refresh")
+        P.ingest(spark, cfg)
+        tables = P.Tables(cfg.warehouse)
+    out = None
+    for step in ("1 loaded", "2 compacted", "3 vacuumed"):
+        if step == "2 compacted":
+            C.compact(spark, tables)
+        if step == "3 vacuumed":
+            C.vacuum(spark, tables, retained_hours=0)
+        seen = cut_rows(P.raw_rows(spark, tables).agg(
+            F.lit(step).alias("step"), F.count_distinct(L.FOLDER, "source_year").alias("n_folders"),
+            F.count_distinct("load_id").alias("n_loads"), F.count_distinct("source_year", "source_file").alias("n_files"),
+            F.count(F.lit(1)).alias("n_rows")))
+        out = seen if out is None else out.unionByName(seen)
+    return out
+
+
 def _rows_by_year(g: Gold) -> DataFrame:
     count = lambda df, name: df.groupBy("source_year").agg(F.count(F.lit(1)).alias(name))
     return count(g.stg, "n_silver").join(count(g.fact, "n_fact"), "source_year")
