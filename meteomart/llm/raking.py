@@ -7,9 +7,12 @@ probability: the token budget times the cell's share over the cell's tokens,
 at most 1, with what a full cell cannot take given to the others.  A document
 stays when a uniform number made from its id is below its cell's probability.
 
-The number of cells that reach the driver is bounded by the configuration: at
-most ``max_levels`` levels a dimension, the rest folded into one level
-``OTHER``; nothing depends on the number of documents.
+The number of cells that reach the driver is bounded: every level that a target names,
+and where none is given the ``max_levels`` largest of a dimension, have one of their
+own; all others share the level ``OTHER`` and its target (that of the name
+``OTHER``, if targets are given; none: their documents leave).  Nothing depends on the number of documents.
+Targets that name more than ``max_levels`` levels raise an error; marginals that do
+not settle (empty cells may rule them out) are reported by a warning.
 
 Defined results.  Null source, language or topic: the level ``NULL_LEVEL``.  Null
 or empty text: one token (its end).  Null id: the uniform number of the text
@@ -21,6 +24,7 @@ with the columns made here are never read.
 from __future__ import annotations
 
 import itertools
+import warnings
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -34,6 +38,7 @@ MAX_LEVELS = 200
 TEMPERATURE = 0.5
 BUDGET_SHARE = 0.6
 ROUNDS = 200
+SETTLED = 1e-6                # the largest difference to a target marginal
 CELL = "source string, lang string, topic string, tokens double, share double, probability double"
 
 
@@ -96,6 +101,9 @@ def rake(cells: np.ndarray, targets: list[np.ndarray], rounds: int = ROUNDS, clo
             w = w * factor.reshape([-1 if x == a else 1 for x in axes])
         if worst < close:
             break
+    else:
+        if worst > SETTLED:
+            warnings.warn(f"marginals differ by {worst:.2g} from their targets after {rounds} rounds", stacklevel=2)
     return w
 
 
@@ -130,7 +138,9 @@ def _cells(rows: DataFrame, targets, budget_share, max_levels) -> list[tuple]:
     kept = {}
     for d in DIMENSIONS:
         if targets and d in targets:
-            kept[d] = sorted(targets[d])[:max_levels]
+            if len(targets[d]) > max_levels:
+                raise ValueError(f"targets name {len(targets[d])} levels of {d}; max_levels is {max_levels}")
+            kept[d] = sorted(set(targets[d]) - {OTHER})
         else:
             # The largest max_levels levels by tokens: a bounded list.
             top = cells.groupBy(d).agg(F.sum("tokens").alias("t")).orderBy(F.desc("t"), d).limit(max_levels).collect()

@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 from llm_data import no_docs, odd_docs, odd_rows
 from pyspark.sql import functions as F
 
@@ -68,3 +69,14 @@ def test_levels_beyond_the_bound_are_folded(spark):
     cells = raking.calibrate(docs, max_levels=2)
     assert cells.select("source").distinct().count() <= 3
     assert raking.decide(docs, max_levels=2).count() == len(odd_rows())
+
+
+def test_every_named_level_has_its_target(spark):
+    docs = spark.range(260).selectExpr("id AS doc_id", "concat('s', id % 130) AS source", "'en' AS lang", "'a b c' AS text")
+    names = [f"s{i}" for i in range(130)]
+    cells = raking.calibrate(docs, {"source": {n: 1 / 130 for n in names}}).collect()
+    assert {r["source"] for r in cells} == set(names) and all(abs(r["share"] - 1 / 130) < 1e-9 for r in cells)
+    with pytest.raises(ValueError, match="130 levels of source"):
+        raking.calibrate(docs, {"source": {n: 1 / 130 for n in names}}, max_levels=100)
+    other = raking.calibrate(docs, {"source": {"s1": 0.25, raking.OTHER: 0.75}}).collect()
+    assert {(r["source"], round(r["share"], 9)) for r in other} == {("s1", 0.25), (raking.OTHER, 0.75)}
