@@ -47,6 +47,7 @@ CALIBRATION = 400
 BLOCK = 4096
 EVERY = 50
 NEAREST = 5
+SPARE = 16                    # other vectors that may look tied with the last one
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -233,10 +234,15 @@ def _within(postings: DataFrame, probes: DataFrame, nearest: int) -> DataFrame:
                 sims = np.round(uq[i:i + 256] @ ux.T, 12)
                 sims[q_ids[i:i + 256, None] == ids[None, :]] = -3
                 # Rows are in order of id, so a stable sort puts ties in that order.
-                top = np.argsort(-sims, axis=1, kind="stable")[:, :nearest]
+                # Some more than asked for, as the exact scores rank those that seem tied.
+                top = np.argsort(-sims, axis=1, kind="stable")[:, :nearest + SPARE]
                 r, k = np.nonzero(np.take_along_axis(sims, top, axis=1) > -2)
-                a, b = q[i + r], x[top[r, k]]
-                found.append((q_ids[i + r], ids[top[r, k]], cosine(a, b)))
+                k = top[r, k]
+                score = cosine(q[i + r], x[k])
+                order = np.lexsort((ids[k], -score, r))
+                r, k, score = r[order], k[order], score[order]
+                some = np.arange(len(r)) - np.searchsorted(r, r) < nearest
+                found.append((q_ids[i + r[some]], ids[k[some]], score[some]))
         columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
         return pa.table({"query_id": pa.array(columns[0], pa.int64()), "vec_id": pa.array(columns[1], pa.int64()), "score": pa.array(columns[2], pa.float64())})
     key = ["list", "block", "q_block"]

@@ -77,3 +77,12 @@ def test_lists_are_balanced():
     c = P.balanced_centroids(x, 20)
     size = np.bincount(np.argmax(x @ c.T, axis=1), minlength=20)
     assert len(c) == 20 and size.max() < 4 * size.mean()
+
+
+def test_a_larger_cosine_beats_a_smaller_id(spark):
+    """Cosines that differ in the 13th digit only."""
+    tilt = [0.1, 0.1 + 4e-13, 0.1 + 2e-13, 0.1 - 3e-13, 0.1 + 1e-13, 0.1 - 1e-13, 0.1 - 2e-13]
+    rows = [(0, [1.0, 0.0])] + [(i + 1, [1.0, t]) for i, t in enumerate(tilt)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    exact = [(float(P.cosine(np.array([[1.0, 0.0]]), np.array([[1.0, t]]))[0]), i + 1) for i, t in enumerate(tilt)]
+    assert found(P.search(df, 50, 5))[0] == [i for _, i in sorted(exact, key=lambda x: (-x[0], x[1]))[:5]]
