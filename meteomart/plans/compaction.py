@@ -25,6 +25,7 @@ from meteomart.plans import pipeline as P
 from meteomart.sources import station_files as SF
 
 TARGET_BYTES = 512 << 20
+TARGET_ROWS = 1_000_000       # of a file: the task that writes it sorts them in memory
 RETAINED_HOURS = 24.0
 
 
@@ -48,22 +49,25 @@ def _size(spark: SparkSession, folder: str) -> tuple[int, int]:
     return sum(sizes), len(sizes)
 
 
-def _small(spark: SparkSession, tables: P.Tables, folders: list[str], target_bytes: int) -> tuple[list[str], int]:
-    """The folders whose files are on the average under half the target, and the files they should make."""
-    sizes = {f: _size(spark, f"{tables.raw}/load_id={f}") for f in folders}
-    small = [f for f, (n_bytes, n) in sizes.items() if n and n_bytes / n < target_bytes / 2]
-    wanted = max(1, math.ceil(sum(sizes[f][0] for f in small) / target_bytes))
+def _small(spark: SparkSession, tables: P.Tables, rows: dict[str, int], target_bytes: int, target_rows: int) -> tuple[list[str], int]:
+    """The folders (with their rows) whose files are on the average under half the targets, and the files they should make."""
+    sizes = {f: _size(spark, f"{tables.raw}/load_id={f}") for f in rows}
+    small = [f for f, (n_bytes, n) in sizes.items() if n and n_bytes / n < target_bytes / 2 and rows[f] / n < target_rows / 2]
+    wanted = max(1, math.ceil(sum(sizes[f][0] for f in small) / target_bytes), math.ceil(sum(rows[f] for f in small) / target_rows))
     return (small, wanted) if sum(sizes[f][1] for f in small) > wanted else ([], 0)
 
 
-def compact(spark: SparkSession, tables: P.Tables, target_bytes: int = TARGET_BYTES) -> dict[str, str]:
+def compact(spark: SparkSession, tables: P.Tables, target_bytes: int = TARGET_BYTES, target_rows: int = TARGET_ROWS) -> dict[str, str]:
     """Rewrite each year's small files; the new folder of every year that had some."""
     by_year: dict[str, list] = {}
     for r in _stored(spark, tables):
         by_year.setdefault(r["source_year"], []).append(r)
     out = {}
+    # A row a folder and year, from the footers.
+    counts = P.raw_rows(spark, tables).groupBy("source_year", L.FOLDER).count().collect() if by_year else []
     for year, loads in sorted(by_year.items()):
-        small, wanted = _small(spark, tables, sorted({r["stored"] for r in loads}), target_bytes)
+        of_year = {r[L.FOLDER]: r["count"] for r in counts if r["source_year"] == year}
+        small, wanted = _small(spark, tables, {f: of_year.get(f, 0) for f in sorted({r["stored"] for r in loads})}, target_bytes, target_rows)
         if not small:
             continue
         stored = f"compact-{uuid.uuid4().hex}-{year}"

@@ -49,6 +49,15 @@ def test_rows_loads_and_models_stay(spark, workdir):
     assert C.compact(spark, tables) == {}
 
 
+def test_no_file_gets_more_rows_than_its_task_can_sort(spark, workdir):
+    _, _, tables = loaded(spark, workdir)
+    seen = rows(spark, tables)
+    made = C.compact(spark, tables, target_rows=7)["2025"]          # nine rows in three files
+    files = [f for _, _, names in os.walk(f"{tables.raw}/load_id={made}") for f in names if f.endswith(".parquet")]
+    assert len(files) == 2 and rows(spark, tables) == seen
+    assert C.compact(spark, tables, target_rows=7) == {}
+
+
 def test_a_crash_at_each_step_shows_nothing(spark, workdir, monkeypatch):
     _, _, tables = loaded(spark, workdir)
     before, seen = folders(tables), rows(spark, tables)
