@@ -5,11 +5,13 @@ import io
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from meteomart import queries as QR
 from meteomart.operators import gold as G
 from meteomart.operators import marts as M
 from meteomart.operators import quality as Q
+from meteomart.sources.proxy import proxy_raw
 
 SF = "/root/testdata/sf0.001"
 
@@ -74,3 +76,13 @@ def test_silver_prunes_and_pushes_filters(spark):
     p = plan(QR._stg(spark, SF))
     assert "PushedFilters: [IsNotNull(user_id)]" in p
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,user_id:bigint,value:double>" in p
+
+
+def test_proxy_rows_of_one_row_group_are_made_by_many_tasks(spark, tmp_path):
+    tables = {"events": "SELECT id AS event_id, id % 5 AS user_id, timestamp_ntz'2024-01-01 00:00:00' AS ts, cast(id AS double) AS value FROM range(0, 2000, 1, 1)",
+              "customer": "SELECT id AS c_custkey, concat('c', id) AS c_name, 0L AS c_nationkey FROM range(0, 5, 1, 1)",
+              "nation": "SELECT 0L AS n_nationkey, 0L AS n_regionkey", "region": "SELECT 0L AS r_regionkey, 'R' AS r_name"}
+    for name, sql in tables.items():
+        spark.sql(sql).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    rows = proxy_raw(spark, str(tmp_path)).select("source_file", F.spark_partition_id().alias("task")).collect()
+    assert len(rows) == 2000 and len({r["task"] for r in rows}) > 1
