@@ -48,6 +48,8 @@ BLOCK = 4096
 EVERY = 50
 NEAREST = 5
 SPARE = 16                    # other vectors that may look tied with the last one
+AT_ONCE = 256                 # rows whose distances to all centroids are in memory at once
+ROWS_OUT = 8192               # copied vectors in one batch of ``_assign``
 
 
 def valid(vectors: DataFrame) -> DataFrame:
@@ -96,7 +98,9 @@ def balanced_centroids(x: np.ndarray, n_lists: int, seed: int = 11) -> np.ndarra
     centroids = unit_or_zero(np.stack([x[g].mean(axis=0) for g in groups]))
     size = np.array([len(g) for g in groups], float)
     for _ in range(6):
-        near = np.argmax(x @ centroids.T - 0.05 * size / size.mean(), axis=1)
+        # Rows times lists would be the largest array by far: some rows at a time.
+        far = 0.05 * size / size.mean()
+        near = np.concatenate([np.argmax(x[i:i + 4 * AT_ONCE] @ centroids.T - far, axis=1) for i in range(0, len(x), 4 * AT_ONCE)])
         size = np.bincount(near, minlength=len(centroids)).astype(float)
         total = np.zeros_like(centroids)
         np.add.at(total, near, x)
@@ -114,7 +118,9 @@ class Graph:
 
     def __init__(self, centroids: np.ndarray, degree: int = DEGREE):
         self.centroids = centroids
-        near = np.argsort(-(centroids @ centroids.T), axis=1, kind="stable")[:, 1:degree + 1]
+        # A copy of the few neighbours: a view would keep the ranks of all.
+        near = np.concatenate([np.argsort(-(centroids[i:i + AT_ONCE] @ centroids.T), axis=1, kind="stable")[:, 1:degree + 1].copy()
+                               for i in range(0, len(centroids), AT_ONCE)])
         # A ring through all centroids keeps the graph connected.
         ring = (np.arange(len(centroids))[:, None] + 1) % len(centroids)
         self.neighbours = np.concatenate([near, ring], axis=1)
@@ -152,8 +158,8 @@ class Graph:
     def lists(self, x: np.ndarray, ratio: float, fewest: int, most: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(row, list) pairs whose centroid is within the ratio, or among the ``fewest`` nearest."""
         found = [np.zeros((0, 2), int)]
-        for i in range(0, len(x), 256):
-            d = self.distances(x[i:i + 256], ratio, fewest)
+        for i in range(0, len(x), AT_ONCE):
+            d = self.distances(x[i:i + AT_ONCE], ratio, fewest)
             order = np.argsort(d, axis=1, kind="stable")
             ranked = np.take_along_axis(d, order, axis=1)
             keep = np.isfinite(ranked) & (ranked <= (1 + ratio) * ranked[:, :1] + 1e-12)
@@ -168,18 +174,19 @@ class Graph:
 
 def calibrated_ratio(x: np.ndarray, graph: Graph, target: float = TARGET) -> float:
     """The smallest ratio at which the lists read hold ``target`` of the sample's true neighbours."""
-    many = len(graph.centroids)
-    home = np.zeros((len(x), many), bool)
+    home = np.full((len(x), REPLICAS), -1)                 # the few lists of each row
     r, c = graph.lists(x, BOUNDARY, 1, REPLICAS)
-    home[r, c] = True
+    home[r, np.arange(len(r)) - np.searchsorted(r, r)] = c
     probes = np.arange(0, len(x), max(1, len(x) // CALIBRATION))[:CALIBRATION]
     sims = x[probes] @ x.T
     sims[np.arange(len(probes)), probes] = -2
-    near = np.argsort(-sims, axis=1, kind="stable")[:, :NEAREST]
+    near = np.argsort(-sims, axis=1, kind="stable")[:, :NEAREST].copy()
+    del sims
     d = np.sqrt(np.maximum(2 - 2 * x[probes] @ graph.centroids.T, 0))
     relative = d / np.maximum(d.min(axis=1, keepdims=True), 1e-12) - 1
     # What each true neighbour needs: the ratio of the nearest of its lists.
-    needs = np.where(home[near], relative[:, None, :], np.inf).min(axis=2)
+    lists = home[near]
+    needs = np.where(lists >= 0, relative[np.arange(len(probes))[:, None, None], lists], np.inf).min(axis=2)
     return float(np.quantile(needs, target, method="higher")) if needs.size else 0.0
 
 
@@ -201,11 +208,13 @@ def _assign(rows: DataFrame, name: str, centroids: np.ndarray, ratio: float, few
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graph = Graph(centroids)
         for b in batches:
-            if not len(b):
-                continue
-            r, c = graph.lists(unit(matrix(b.column(1))), ratio, fewest, most)
-            yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int32)), b.column(0).take(pa.array(r)), b.column(1).take(pa.array(r))],
-                                             ["list", name, "embedding"])
+            # A row goes to many lists, each with a copy of its vector: what is held is bounded, whatever their number.
+            for i in range(0, len(b), AT_ONCE):
+                part = b.slice(i, AT_ONCE)
+                rows, lists = graph.lists(unit(matrix(part.column(1))), ratio, fewest, most)
+                for j in range(0, len(rows), ROWS_OUT):
+                    r, c = pa.array(rows[j:j + ROWS_OUT]), pa.array(lists[j:j + ROWS_OUT].astype(np.int32))
+                    yield pa.RecordBatch.from_arrays([c, part.column(0).take(r), part.column(1).take(r)], ["list", name, "embedding"])
     return rows.mapInArrow(run, f"list int, {name} long, embedding array<double>")
 
 

@@ -86,3 +86,34 @@ def test_a_larger_cosine_beats_a_smaller_id(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
     exact = [(float(P.cosine(np.array([[1.0, 0.0]]), np.array([[1.0, t]]))[0]), i + 1) for i, t in enumerate(tilt)]
     assert found(P.search(df, 50, 5))[0] == [i for _, i in sorted(exact, key=lambda x: (-x[0], x[1]))[:5]]
+
+
+def test_memory_does_not_grow_with_rows_times_lists():
+    import tracemalloc
+    x = P.unit(np.random.default_rng(5).normal(size=(4000, 8)))
+    tracemalloc.start()
+    try:
+        centroids = P.balanced_centroids(x, 1500)
+        graph = P.Graph(centroids)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 4000 * 1500 * 8                       # before: two such arrays at once
+    near = np.argsort(-(centroids @ centroids.T), axis=1, kind="stable")[:, 1:P.DEGREE + 1]
+    assert (graph.neighbours[:, :-1] == near).mean() > 0.999
+
+
+def test_copies_for_many_lists_come_in_bounded_batches(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(P, "ROWS_OUT", 500)
+    rng = np.random.default_rng(6)
+    centroids, x = P.unit(rng.normal(size=(40, 8))), rng.normal(size=(700, 8))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(700)), pa.array(x.tolist(), pa.list_(pa.float64()))], ["vec_id", "embedding"])
+
+    class Rows:
+        def mapInArrow(self, run, _):
+            return list(run(iter([batch, batch.slice(0, 0)])))
+    out = P._assign(Rows(), "vec_id", centroids, 10.0, 4, None)
+    assert max(map(len, out)) == 500 and sum(map(len, out)) == 40 * 700
+    for b in out[::7]:
+        assert np.array_equal(P.matrix(b.column("embedding")), x[b.column("vec_id").to_numpy()])
